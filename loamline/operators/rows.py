@@ -1,0 +1,15 @@
+"""Small frames."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def one_row(*singles: DataFrame) -> DataFrame:
+    """The columns of several one-row frames in one row."""
+    names = [c for df in singles for c in df.columns]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), singles)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in names])
