@@ -232,35 +232,57 @@ job_runs AS (
 # --- landing folders ---------------------------------------------------------------
 
 
-def land_by_day(df: DataFrame, label: str) -> str:
+def land_by_day(frames: list[DataFrame], label: str) -> str:
     """Write readings as a landing folder with one ``YYYY-MM-DD.parquet`` per UTC day.
 
     Spark writes one folder per day; the folders then get the landing name. The rename touches
-    one path per day and no data.
+    one path per day and no data. Frames must not share days; their columns may differ.
     """
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    day = F.date_format(
-        F.convert_timezone(None, F.lit("UTC"), F.col("timestamp").cast("timestamp_ntz")), "yyyy-MM-dd"
-    )
-    dated = df.withColumn("day", day)
-    dated.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(path)
+    spark = frames[0].sparkSession
+    target = new_path(spark, label)
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    root = hadoop_path(path)
+    root = hadoop_path(target)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for entry in fs.listStatus(root):
-        name = entry.getPath().getName()
-        if name.startswith("day="):
-            fs.rename(entry.getPath(), hadoop_path(root, f"{name[4:]}.parquet"))
-    return path
+    fs.mkdirs(root)
+    for frame in frames:
+        part = new_path(spark, label + "-days")
+        frame.withColumn("day", utc_day()).hint("rebalance", F.col("day")).write.partitionBy(
+            "day"
+        ).parquet(part)
+        for entry in fs.listStatus(hadoop_path(part)):
+            name = entry.getPath().getName()
+            if name.startswith("day="):
+                fs.rename(entry.getPath(), hadoop_path(root, f"{name[4:]}.parquet"))
+    return target
 
 
-_landings: dict[tuple[str, str], str] = {}
+def utc_day():
+    wall = F.convert_timezone(None, F.lit("UTC"), F.col("timestamp").cast("timestamp_ntz"))
+    return F.date_format(wall, "yyyy-MM-dd")
 
 
-def landing(spark: SparkSession, sf_dir: str) -> str:
-    """The dirty readings as a landing folder, written once per application and table folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+_landings: dict[tuple[str, str, str], str] = {}
+
+
+def _land_once(spark: SparkSession, sf_dir: str, label: str, frames) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _landings:
-        _landings[key] = land_by_day(readings_dirty(spark, sf_dir), "landing")
+        _landings[key] = land_by_day(frames(), label)
     return _landings[key]
+
+
+def landing(spark: SparkSession, sf_dir: str) -> str:
+    """The dirty readings as a landing folder, written once per application and table folder."""
+    return _land_once(spark, sf_dir, "landing", lambda: [readings_dirty(spark, sf_dir)])
+
+
+def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The same, but every third day of the month lacks the battery column."""
+    dirty = readings_dirty(spark, sf_dir)
+    third = F.substring(utc_day(), 9, 2).cast("int") % 3 == 0
+    return _land_once(
+        spark,
+        sf_dir,
+        "mixed-landing",
+        lambda: [dirty.where(~third), dirty.where(third).drop("battery_level")],
+    )

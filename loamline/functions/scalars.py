@@ -20,7 +20,8 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def percent_text(value: Column) -> Column:
-    return F.format_string("%.2f%%", value)
+    """Two decimals, ties to even, and a percent sign."""
+    return F.format_string("%.2f%%", F.bround(value, 2))
 
 
 def z_score(value: Column, mean: Column, std: Column) -> Column:
@@ -29,11 +30,12 @@ def z_score(value: Column, mean: Column, std: Column) -> Column:
 
 
 def format_duration(seconds: Column) -> Column:
-    """Seconds as ``x.xs``, ``x.xm`` or ``x.xh``."""
+    """Seconds as ``x.xs``, ``x.xm`` or ``x.xh``; one decimal, ties to even."""
+    shown = lambda pattern, x: F.format_string(pattern, F.bround(x, 1))
     return (
-        F.when(seconds < 60, F.format_string("%.1fs", seconds))
-        .when(seconds < 3600, F.format_string("%.1fm", seconds / 60))
-        .otherwise(F.format_string("%.1fh", seconds / 3600))
+        F.when(seconds < 60, shown("%.1fs", seconds))
+        .when(seconds < 3600, shown("%.1fm", seconds / 60))
+        .otherwise(shown("%.1fh", seconds / 3600))
     )
 
 

@@ -22,6 +22,8 @@ from loamline.staging import stage
 
 BINS_PER_OCTAVE = 128
 LINEAR_BINS = 4096
+# A bin of at most this many values is ranked directly, without the second histogram.
+DIRECT_VALUES = 1_000_000
 # Above the largest |log2| of a double, so the sign alone decides the side of zero.
 _OCTAVES = 1100
 
@@ -101,30 +103,31 @@ def medians_of(df: DataFrame, key: str, value: str, hist: DataFrame) -> DataFram
         "rank", F.explode(middle)
     )
     by = [key, "rank"]
-    coarse = stage(_holding(counts, by, "bin", F.col("rank")), "median-bin")
+    # At most two rows per key, made from the staged histogram of known size.
+    target = _holding(counts, by, "bin", F.col("rank"))
+    if (hist.agg(F.max("c")).first()[0] or 0) > DIRECT_VALUES:
+        target = _refined(df, key, value, stage(target, "median-bin"))
 
-    # A staged table of at most two rows per key: Spark broadcasts it if its size allows.
+    values = (
+        _within(df, key, value, target)
+        .groupBy(key, "rank", F.col("local_rank").alias("wanted"), "v")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    exact = _holding(values, by, "v", F.col("wanted"))
+    return exact.groupBy(key).agg(F.avg("v").alias("median"))
+
+
+def _refined(df: DataFrame, key: str, value: str, coarse: DataFrame) -> DataFrame:
+    """The targets again, each within one of many equal cells of its bin; staged."""
     width = F.col("hi") - F.col("lo")
     share = F.try_divide(F.col("v") - F.col("lo"), width)
     cell = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * LINEAR_BINS), F.lit(LINEAR_BINS - 1))
     cells = (
         _within(df, key, value, coarse)
-        .groupBy(key, "rank", "local_rank", cell.alias("cell"))
+        .groupBy(key, "rank", F.col("local_rank").alias("wanted"), cell.alias("cell"))
         .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
-    wanted = F.col("wanted")
-    fine = stage(
-        _holding(cells.withColumnRenamed("local_rank", "wanted"), by, "cell", wanted),
-        "median-cell",
-    )
-
-    values = (
-        _within(df, key, value, fine)
-        .groupBy(key, "rank", "local_rank", "v")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    exact = _holding(values.withColumnRenamed("local_rank", "wanted"), by, "v", wanted)
-    return exact.groupBy(key).agg(F.avg("v").alias("median"))
+    return stage(_holding(cells, [key, "rank"], "cell", F.col("wanted")), "median-cell")
 
 
 def group_profile(df: DataFrame, key: str, value: str, medians: bool = True) -> DataFrame:

@@ -50,10 +50,16 @@ def missing_values(
 ) -> DataFrame:
     """(column, total_count, missing_count, missing_percentage, is_acceptable): one pass."""
     names = list(columns or df.columns)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total_count"),
-        *[F.count_if(F.col(c).isNull()).alias(f"missing_{i}") for i, c in enumerate(names)],
-    )
+    counts = df.agg(F.count(F.lit(1)).alias("total_count"), *_missing_counts(names))
+    return _missing_section(counts, names, cfg)
+
+
+def _missing_counts(names: list[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(f"missing_{i}") for i, c in enumerate(names)]
+
+
+def _missing_section(counts: DataFrame, names: list[str], cfg: PipelineConfig) -> DataFrame:
+    """The section from one row of ``total_count`` and the ``missing_<i>`` counts."""
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.col(f"missing_{i}").alias("missing_count"))
@@ -70,8 +76,10 @@ def missing_values(
     )
 
 
-def type_summary(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Counts per non-null type that both range and anomaly sections are made of: one pass.
+def type_summary(
+    df: DataFrame, cfg: PipelineConfig, missing_columns: list[str] | None = None
+) -> DataFrame:
+    """Counts per type that range, anomaly and missing-value sections are made of: one pass.
 
     The range is joined before the grouping, so it costs a map lookup per row and no shuffle.
     """
@@ -79,7 +87,7 @@ def type_summary(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     inside = (value >= F.col("expected_min")) & (value <= F.col("expected_max"))
     anomalous = F.col("anomalous_reading") if "anomalous_reading" in df.columns else F.lit(False)
     return (
-        with_range(df.where(F.col("reading_type").isNotNull()), cfg)
+        with_range(df, cfg)
         .groupBy("reading_type", "expected_min", "expected_max")
         .agg(
             F.min("value").alias("actual_min"),
@@ -88,13 +96,14 @@ def type_summary(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
             F.count(F.lit(1)).alias("total_count"),
             F.count_if(inside).alias("valid_count"),
             F.count_if(anomalous).alias("anomalous_count"),
+            *_missing_counts(missing_columns or []),
         )
     )
 
 
 def value_ranges(summary: DataFrame) -> DataFrame:
     """Range section from :func:`type_summary`; a null value counts as out of range."""
-    return summary.select(
+    return summary.where(F.col("reading_type").isNotNull()).select(
         "reading_type",
         "expected_min",
         "expected_max",
@@ -110,7 +119,7 @@ def value_ranges(summary: DataFrame) -> DataFrame:
 
 def anomaly_rates(summary: DataFrame) -> DataFrame:
     """Anomaly section from :func:`type_summary`."""
-    return summary.select(
+    return summary.where(F.col("reading_type").isNotNull()).select(
         "reading_type",
         "total_count",
         "anomalous_count",
@@ -345,14 +354,15 @@ def validate(
     Pass a written frame (a table or a staged one): each pass reads only its columns.
     An empty frame is an error.
     """
-    missing = stage(missing_values(df, cfg, missing_columns), "missing-values")
-    total = missing.select("total_count").first()
-    if total is None or total[0] == 0:
+    names = list(missing_columns or df.columns)
+    summary = stage(type_summary(df, cfg, names), "type-summary")
+    if summary.isEmpty():
         raise ValueError("no data to validate")
-    summary = stage(type_summary(df, cfg), "type-summary")
+    added = ["total_count", *[f"missing_{i}" for i in range(len(names))]]
+    missing = _missing_section(summary.agg(*[F.sum(c).alias(c) for c in added]), names, cfg)
     hours = stage(active_hours(df, cfg), "active-hours")
     ranges, anomalies = value_ranges(summary), anomaly_rates(summary)
-    gaps = stage(gap_counts(hours), "gap-counts")
+    gaps = gap_counts(hours)
     lost = deductions(missing, ranges, anomalies, gaps)
     return Quality(
         data_types=type_validity(df),

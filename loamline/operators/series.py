@@ -131,6 +131,19 @@ def _sliced(
 # --- entry points -----------------------------------------------------------
 
 
+def _large_groups(
+    df: DataFrame, key: list[str], limit: int
+) -> tuple[DataFrame | None, int]:
+    """The keys with more than ``limit`` rows and their row total; (None, 0) if there are none.
+
+    The probe reads the key columns and combines map-side. There are at most total/limit such
+    keys; they are staged, so Spark broadcasts them by measured size.
+    """
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > limit)
+    rows = sizes.agg(F.sum("rows")).first()[0]
+    return (stage(sizes, "large-groups"), rows) if rows else (None, 0)
+
+
 def series_fields(
     df: DataFrame,
     cfg: PipelineConfig,
@@ -139,16 +152,9 @@ def series_fields(
 ) -> DataFrame:
     """Add the wanted neighbour fields, slicing exactly the series that are too large."""
     order = total_order(df, tiebreak)
-    large = stage(
-        df.groupBy(*SERIES)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > cfg.max_series_rows),
-        "large-series",
-    )
-    rows = large.agg(F.sum("rows")).first()[0]
-    if not rows:
+    large, rows = _large_groups(df, SERIES, cfg.max_series_rows)
+    if large is None:
         return _plain(df, cfg, wanted, order)
-    # At most total/max_series_rows keys; staged, so Spark broadcasts them by measured size.
     keys = large.select(*SERIES)
     ordinary = _plain(df.join(keys, SERIES, "left_anti"), cfg, wanted, order)
     slices = ceil(rows / cfg.rows_per_slice)
@@ -185,7 +191,7 @@ def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_av
         F.lit(1).alias("kind"),
     )
     hours = own.groupBy(*SERIES, "span_hour").agg(
-        F.sum("value").alias("s"), F.count("value").alias("c"), F.count(F.lit(1)).alias("rows")
+        F.sum("value").alias("s"), F.count("value").alias("c")
     )
     earlier = W.partitionBy(*SERIES).orderBy("span_hour").rangeBetween(-(span_hours - 1), -1)
     middle = hours.select(
@@ -195,13 +201,9 @@ def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_av
         F.sum("c").over(earlier).alias("mid_c"),
     )
 
-    large = stage(
-        hours.where(F.col("rows") > cfg.max_series_rows).select(*SERIES, "span_hour", "rows"),
-        "large-hours",
-    )
-    rows = large.agg(F.sum("rows")).first()[0]
     key = [*SERIES, "span_hour"]
-    if not rows:
+    large, rows = _large_groups(own, key, cfg.max_series_rows)
+    if large is None:
         return _rolling_plain(own, aged, middle, cfg, out).select(*df.columns, out)
     keys = large.select(*key)
     # An hour is heavy through its own rows or through those that age into it.
