@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from loamline import functions as fx
 from loamline.sources.readings import (
     READING_COLUMNS,
-    all_present,
     normalise,
+    stored_present,
     union_readings,
 )
 from loamline.staging import stage
@@ -254,7 +254,7 @@ def scan_checked(
             paths = [r.path for r in good.where(F.col("signature") == signature).select("path").collect()]
             raw = spark.read.parquet(*[_glob_escape(p) for p in paths])
         # Presence is judged on the stored columns, before any conversion.
-        kept = raw.select(*READING_COLUMNS, _metadata_file().alias("file"), all_present().alias("present"))
+        kept = raw.select(*READING_COLUMNS, _metadata_file().alias("file"), stored_present(raw).alias("present"))
         frames.append(normalise(kept, keep=("file", "present")))
     return union_readings(frames)
 

@@ -35,6 +35,14 @@ def all_present(columns=CRITICAL_COLUMNS) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
+def stored_present(df: DataFrame) -> Column:
+    """:func:`all_present` on stored columns, where a NaN value still stands for "missing"."""
+    present = all_present()
+    if isinstance(df.schema["value"].dataType, (T.DoubleType, T.FloatType)):
+        present = present & ~F.isnan("value")
+    return present
+
+
 def scan_readings(spark: SparkSession, *paths: str) -> DataFrame:
     """The five reading columns as stored; other columns are never read."""
     return spark.read.parquet(*paths).select(*READING_COLUMNS)
