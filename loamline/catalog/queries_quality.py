@@ -49,8 +49,9 @@ _MISSING = " UNION ALL ".join(
     for c in _COLUMNS
 )
 _RANGES = """
-SELECT reading_type, CASE reading_type WHEN 'error' THEN 5.0 ELSE 0.0 END AS expected_min,
-  CASE reading_type WHEN 'click' THEN 60.0 WHEN 'error' THEN 120.0 ELSE 100.0 END AS expected_max,
+SELECT reading_type, (CASE reading_type WHEN 'error' THEN 5.0 ELSE 0.0 END)::DOUBLE AS expected_min,
+  (CASE reading_type WHEN 'click' THEN 60.0 WHEN 'error' THEN 120.0 ELSE 100.0 END)::DOUBLE
+    AS expected_max,
   min(value) AS actual_min, max(value) AS actual_max, avg(value) AS actual_avg,
   count(*) AS total_count,
   count(*) FILTER (value BETWEEN CASE reading_type WHEN 'error' THEN 5.0 ELSE 0.0 END
@@ -162,7 +163,8 @@ SELECT sensor_id, reading_type, reading_count, {sql_text('first', 'first_reading
   round(days_with_data * 100.0 / time_span_days, 6) AS coverage_percentage FROM c""",
 )
 def _(spark, d):
-    out = quality.time_coverage(quality.active_hours(b.readings(spark, d), b.CONFIG))
+    active = quality.active_hours(b.readings(spark, d), b.CONFIG)
+    out = quality.time_coverage(quality.series_calendar(active))
     return out.select(
         "sensor_id", "reading_type", "reading_count", text("first_reading"), text("last_reading"),
         "time_span_days", "days_with_data", r6("coverage_percentage"),

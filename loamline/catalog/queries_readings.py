@@ -357,11 +357,11 @@ def _(spark, d):
 @query(
     "scl_safe_divide",
     f"""WITH {b.READINGS_SQL}
-SELECT event_id, round(coalesce(value / nullif(battery_level, 0), -1.0), 6) AS ratio FROM readings""",
+SELECT event_id, coalesce(value / nullif(battery_level, 0), -1.0) AS ratio FROM readings""",
 )
 def _(spark, d):
     ratio = fx.safe_divide(F.col("value"), F.col("battery_level"), -1.0)
-    return b.readings(spark, d, with_id=True).select("event_id", F.round(ratio, 6).alias("ratio"))
+    return b.readings(spark, d, with_id=True).select("event_id", ratio.alias("ratio"))
 
 
 # --- joins ---------------------------------------------------------------------------
@@ -370,10 +370,11 @@ def _(spark, d):
 @query(
     "join_dim_default",
     f"""WITH {b.READINGS_SQL}
-SELECT event_id, CASE reading_type WHEN 'click' THEN 1.02 ELSE 1.0 END AS multiplier,
-       CASE reading_type WHEN 'click' THEN -1.0 ELSE 0.0 END AS "offset",
-       CASE reading_type WHEN 'error' THEN 5.0 ELSE 0.0 END AS expected_min,
-       CASE reading_type WHEN 'click' THEN 60.0 WHEN 'error' THEN 120.0 ELSE 100.0 END AS expected_max
+SELECT event_id, (CASE reading_type WHEN 'click' THEN 1.02 ELSE 1.0 END)::DOUBLE AS multiplier,
+       (CASE reading_type WHEN 'click' THEN -1.0 ELSE 0.0 END)::DOUBLE AS "offset",
+       (CASE reading_type WHEN 'error' THEN 5.0 ELSE 0.0 END)::DOUBLE AS expected_min,
+       (CASE reading_type WHEN 'click' THEN 60.0 WHEN 'error' THEN 120.0 ELSE 100.0 END)::DOUBLE
+         AS expected_max
 FROM readings""",
 )
 def _(spark, d):

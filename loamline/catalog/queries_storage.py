@@ -105,7 +105,7 @@ def _(spark, d):
 
 @query(
     "snk_multi_batch",
-    f"WITH {b.READINGS_SQL} SELECT 2 AS total_files, count(*) AS total_records FROM readings",
+    f"WITH {b.READINGS_SQL} SELECT 2::BIGINT AS total_files, count(*) AS total_records FROM readings",
 )
 def _(spark, d):
     df = dated(spark, d)

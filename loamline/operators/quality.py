@@ -149,52 +149,49 @@ def active_hours(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
-def time_coverage(hours: DataFrame) -> DataFrame:
-    """Coverage per (sensor, type): calendar days with data over whole elapsed days + 1."""
-    day = fx.day_of_hour(F.col("hour_no"))
-    days = hours.groupBy(*SERIES, day.alias("day_no")).agg(
-        F.sum("readings").alias("readings"), F.min("first").alias("first"), F.max("last").alias("last")
+def series_calendar(hours: DataFrame) -> DataFrame:
+    """One row per (sensor, type) that coverage and gap counts are made of.
+
+    ``first_hour`` and ``last_hour`` span whole days; ``active`` counts hours with readings.
+    """
+    days = hours.groupBy(*SERIES, fx.day_of_hour(F.col("hour_no")).alias("day_no")).agg(
+        F.sum("readings").alias("readings"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.count("hour_no").alias("active"),
     )
-    span = F.timestamp_diff("DAY", F.col("first_reading"), F.col("last_reading")) + 1
-    return (
-        days.groupBy(*SERIES)
-        .agg(
-            F.sum("readings").alias("reading_count"),
-            F.min("first").alias("first_reading"),
-            F.max("last").alias("last_reading"),
-            F.count("day_no").alias("days_with_data"),
-        )
-        .withColumn("time_span_days", F.coalesce(span, F.lit(0)))
-        .select(
-            *SERIES,
-            "reading_count",
-            "first_reading",
-            "last_reading",
-            "time_span_days",
-            "days_with_data",
-            fx.percent(F.col("days_with_data"), F.col("time_span_days")).alias(
-                "coverage_percentage"
-            ),
-        )
+    return days.groupBy(*SERIES).agg(
+        F.sum("readings").alias("reading_count"),
+        F.min("first").alias("first_reading"),
+        F.max("last").alias("last_reading"),
+        F.count("day_no").alias("days_with_data"),
+        (F.min("day_no") * 24).alias("first_hour"),
+        (F.max("day_no") * 24 + 23).alias("last_hour"),
+        F.sum("active").alias("active"),
     )
 
 
-def hour_bounds(hours: DataFrame) -> DataFrame:
-    """(sensor, type, first_hour, last_hour, active): day-aligned calendar of each series."""
-    return (
-        hours.where(F.col("hour_no").isNotNull())
-        .groupBy(*SERIES)
-        .agg(
-            (fx.day_of_hour(F.min("hour_no")) * 24).alias("first_hour"),
-            (fx.day_of_hour(F.max("hour_no")) * 24 + 23).alias("last_hour"),
-            F.count(F.lit(1)).alias("active"),
-        )
+def time_coverage(calendar: DataFrame) -> DataFrame:
+    """Coverage per (sensor, type): calendar days with data over whole elapsed days + 1."""
+    span = F.timestamp_diff("DAY", F.col("first_reading"), F.col("last_reading")) + 1
+    return calendar.withColumn("time_span_days", F.coalesce(span, F.lit(0))).select(
+        *SERIES,
+        "reading_count",
+        "first_reading",
+        "last_reading",
+        "time_span_days",
+        "days_with_data",
+        fx.percent(F.col("days_with_data"), F.col("time_span_days")).alias("coverage_percentage"),
     )
 
 
+def _bounded(calendar: DataFrame) -> DataFrame:
+    return calendar.where(F.col("first_hour").isNotNull())
+
+
 def expected_hours(hours: DataFrame) -> DataFrame:
     """(sensor, type, hour_no): every hour of each series' calendar."""
-    return hour_bounds(hours).select(
+    return _bounded(series_calendar(hours)).select(
         *SERIES, F.explode(F.sequence("first_hour", "last_hour")).alias("hour_no")
     )
 
@@ -209,7 +206,7 @@ def gap_spans(hours: DataFrame) -> DataFrame:
 
     One row per gap however long it is; only active hours are sorted.
     """
-    bounds = hour_bounds(hours)
+    bounds = _bounded(series_calendar(hours))
     known = hours.where(F.col("hour_no").isNotNull()).select(*SERIES, "hour_no")
     fences = bounds.select(
         *SERIES, F.explode(F.array(F.col("first_hour") - 1, F.col("last_hour") + 1)).alias("hour_no")
@@ -235,10 +232,10 @@ def gap_hours(hours: DataFrame) -> DataFrame:
     )
 
 
-def gap_counts(hours: DataFrame) -> DataFrame:
+def gap_counts(calendar: DataFrame) -> DataFrame:
     """(sensor, type, start_date, end_date, missing_hours_count), by counting alone."""
     date_of = lambda h: F.to_date(fx.hour_start(F.col(h)))
-    return hour_bounds(hours).select(
+    return _bounded(calendar).select(
         *SERIES,
         date_of("first_hour").alias("start_date"),
         date_of("last_hour").alias("end_date"),
@@ -267,7 +264,7 @@ def gap_report(hours: DataFrame) -> DataFrame:
     )
     empty = F.array().cast("array<timestamp_ntz>")
     return (
-        gap_counts(hours)
+        gap_counts(series_calendar(hours))
         .join(lists, SERIES, "left")
         .select(
             *SERIES,
@@ -362,14 +359,15 @@ def validate(
     missing = _missing_section(summary.agg(*[F.sum(c).alias(c) for c in added]), names, cfg)
     hours = stage(active_hours(df, cfg), "active-hours")
     ranges, anomalies = value_ranges(summary), anomaly_rates(summary)
-    gaps = gap_counts(hours)
+    calendar = stage(series_calendar(hours), "series-calendar")
+    gaps = gap_counts(calendar)
     lost = deductions(missing, ranges, anomalies, gaps)
     return Quality(
         data_types=type_validity(df),
         missing=missing,
         ranges=ranges,
         anomalies=anomalies,
-        coverage=time_coverage(hours),
+        coverage=time_coverage(calendar),
         gaps=gaps,
         hours=hours,
         deductions=lost,

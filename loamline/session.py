@@ -33,6 +33,8 @@ def local_session(cpus: int | None = None, memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Call-site capture costs more than the calls when plans are built from many columns.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)

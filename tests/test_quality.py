@@ -55,7 +55,8 @@ def test_null_values_count_as_out_of_range(spark):
 def test_coverage_can_exceed_one_hundred(spark):
     # 23:00 to 01:00 local: two calendar days, less than one elapsed day.
     data = [("s", at(450), "t", 1.0, 1.0), ("s", at(570), "t", 1.0, 1.0)]
-    (r,) = quality.time_coverage(quality.active_hours(readings(spark, data), CFG)).collect()
+    hours = quality.active_hours(readings(spark, data), CFG)
+    (r,) = quality.time_coverage(quality.series_calendar(hours)).collect()
     assert (r.days_with_data, r.time_span_days, r.coverage_percentage) == (2, 1, 200.0)
     assert r.first_reading.hour == 23 and r.last_reading.hour == 1
 
