@@ -75,8 +75,7 @@ readings_dirty AS (
   SELECT CASE WHEN event_id % 97 <> 0 THEN sensor_id END AS sensor_id, "timestamp", wall,
          reading_type, CASE WHEN event_id % 11 <> 0 THEN value END AS value,
          CASE WHEN event_id % 7 <> 0 THEN battery_level END AS battery_level
-  FROM readings CROSS JOIN (VALUES (1), (2)) AS v(copy)
-  WHERE copy = 1 OR event_id % 50 = 0),
+  FROM (SELECT * FROM readings UNION ALL SELECT * FROM readings WHERE event_id % 50 = 0)),
 deduped AS (SELECT DISTINCT * FROM readings_dirty),
 cleaned AS (
   SELECT sensor_id, "timestamp", wall, reading_type, value,

@@ -168,7 +168,7 @@ def _(spark, d):
 
 
 @query(
-    "cmp_pipeline_metrics",
+    "cmp_batch_metrics",
     f"""WITH {SECTIONS_SQL}, m AS (
 SELECT 'ingest' AS stage, 'total_records' AS metric, count(*)::DOUBLE AS value FROM readings_dirty
 UNION ALL SELECT 'ingest', 'valid_records', count(*) FILTER (sensor_id IS NOT NULL AND value IS NOT NULL)
@@ -205,7 +205,7 @@ def _(spark, d):
 
 
 @query(
-    "cmp_pipeline_output",
+    "cmp_batch_output",
     f"""WITH {b.ENRICHED_SQL}
 SELECT sensor_id, {TS}, reading_type, round(value, 6) AS value, is_outlier, anomalous_reading
 FROM enriched WHERE "timestamp" >= TIMESTAMP '2024-01-01'""",

@@ -174,7 +174,8 @@ def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_av
     of three parts, each a running total, so a row costs the same however dense the series:
     the current hour up to the row, the whole hours before it, and the rest of the hour that
     is just leaving the span (seen through copies of its rows moved forward by the span).
-    Only rows of one (sensor, type, hour) meet in a task.
+    Only rows of one (sensor, type, hour) meet in a task. The input is scanned three times, so
+    pass a written frame.
     """
     span_hours = cfg.rolling_days * 24
     span = span_hours * _MICROS_PER_HOUR
@@ -190,8 +191,12 @@ def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_av
         "value",
         F.lit(1).alias("kind"),
     )
-    hours = own.groupBy(*SERIES, "span_hour").agg(
-        F.sum("value").alias("s"), F.count("value").alias("c")
+    key = [*SERIES, "span_hour"]
+    hours = stage(
+        own.groupBy(*key).agg(
+            F.sum("value").alias("s"), F.count("value").alias("c"), F.count(F.lit(1)).alias("rows")
+        ),
+        "span-hours",
     )
     earlier = W.partitionBy(*SERIES).orderBy("span_hour").rangeBetween(-(span_hours - 1), -1)
     middle = hours.select(
@@ -201,9 +206,9 @@ def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_av
         F.sum("c").over(earlier).alias("mid_c"),
     )
 
-    key = [*SERIES, "span_hour"]
-    large, rows = _large_groups(own, key, cfg.max_series_rows)
-    if large is None:
+    large = hours.where(F.col("rows") > cfg.max_series_rows)
+    rows = large.agg(F.sum("rows")).first()[0]
+    if not rows:
         return _rolling_plain(own, aged, middle, cfg, out).select(*df.columns, out)
     keys = large.select(*key)
     # An hour is heavy through its own rows or through those that age into it.

@@ -13,7 +13,7 @@ from loamline.plans.transform import Transformed, transform, transform_stats
 from loamline.sinks import parquet as sink
 from loamline.sinks.reports import write_report
 from loamline.sources import files
-from loamline.staging import stage
+from loamline.staging import Scope, stage
 
 
 class IngestError(RuntimeError):
@@ -30,6 +30,11 @@ class PipelineResult:
     quality_error: str | None
     report_paths: tuple[str, str] | None
     metrics: DataFrame
+    staged: Scope
+
+    def release(self) -> int:
+        """Delete the run's intermediate tables; ``output`` and the reports stay."""
+        return self.staged.drop()
 
 
 def run_pipeline(
@@ -46,8 +51,27 @@ def run_pipeline(
     """One batch. Ingest, transform and load failures abort; a failed validation does not.
 
     The enriched rows are written once, as the result; counters and validation then read the
-    columns they need from that written table, so nothing is computed twice.
+    columns they need from that written table, so nothing is computed twice. The frames of the
+    result read intermediate tables in the shared folder until ``release`` is called.
     """
+    with Scope(spark) as scope:
+        return _run(
+            scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by
+        )
+
+
+def _run(
+    scope: Scope,
+    raw_path: str,
+    output_path: str,
+    cfg: PipelineConfig,
+    start: str | None,
+    end: str | None,
+    validate_output: bool,
+    report_path: str | None,
+    partition_by: tuple[str, ...] | None,
+) -> PipelineResult:
+    spark = scope.spark
     taken = files.ingest(spark, raw_path, start, end)
     if taken.readings is None:
         raise IngestError(f"no readable file in {raw_path}")
@@ -69,7 +93,7 @@ def run_pipeline(
         spark, output_path, len(output.columns), output.agg(F.count(F.lit(1)).alias("records_loaded"))
     )
     metrics = stage(pipeline_metrics(files.ingest_summary(taken.stats), counters, quality, loaded), "metrics")
-    return PipelineResult(output_path, output, taken, done, quality, problem, report, metrics)
+    return PipelineResult(output_path, output, taken, done, quality, problem, report, metrics, scope)
 
 
 def _long(df: DataFrame, stage_name: str, columns: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes: list["Scope"] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -36,7 +37,10 @@ def shared_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/loamline/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_root(spark)}/loamline/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    for scope in _scopes:
+        scope.paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -46,10 +50,35 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scope:
+    """Collects the tables staged while it is open, so that they can be dropped together."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> "Scope":
+        _scopes.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scopes.remove(self)
+
+    def drop(self) -> int:
+        """Delete the tables; frames that read them become unusable. Returns their number."""
+        gone = 0
+        for path in self.paths:
+            gone += _delete(self.spark, path)
+        self.paths.clear()
+        return gone
+
+
 def drop_staged(spark: SparkSession) -> bool:
-    """Delete every table this application staged (frames on them become unreadable)."""
-    folder = f"{shared_root(spark)}/loamline/{spark.sparkContext.applicationId}"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
+    """Delete every table this application staged."""
+    return _delete(spark, f"{shared_root(spark)}/loamline/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(path, True))

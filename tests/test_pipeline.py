@@ -45,6 +45,7 @@ def test_full_run(spark, folder):
     assert done.ingest.quarantined.count() == 1
     lines = spark.read.option("header", "true").csv(done.report_paths[1]).collect()
     assert {"Overall Quality Score", "Total Missing Hours"} <= {r.metric for r in lines}
+    assert done.release() > 5 and done.output.count() == 864
 
 
 def test_date_window(spark, folder):
