@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from loamline.config import PipelineConfig
 from loamline.operators import cleaning, outliers, series
 from loamline.operators.rows import one_row
-from loamline.sources.readings import READING_COLUMNS, all_present, normalise
+from loamline.sources.readings import (
+    READING_COLUMNS,
+    SPELLING,
+    all_present,
+    keep_spelling,
+    normalise,
+)
 from loamline.staging import stage
 
 ENRICHED_COLUMNS = (
@@ -42,13 +48,21 @@ class Transformed:
     cfg: PipelineConfig
 
 
+def distinct_readings(raw: DataFrame) -> DataFrame:
+    """Normalised readings without full-row copies, compared as they were stored."""
+    spelled = keep_spelling(raw)
+    kept = tuple(c for c in spelled.columns if c == SPELLING)
+    rows = normalise(spelled.select(*READING_COLUMNS, *kept), keep=kept)
+    return cleaning.dedupe(rows).select(*READING_COLUMNS)
+
+
 def transform(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Transformed:
     """clean → time zone → calibrate → outliers → neighbour fields → anomalies.
 
     The de-duplicated rows are written once; the per-type statistics and the main pass read
     that table, and everything up to the windows is row-wise on top of it.
     """
-    distinct = stage(cleaning.dedupe(normalise(raw.select(*READING_COLUMNS))), "distinct")
+    distinct = stage(distinct_readings(raw), "distinct")
     cleaned = cleaning.clean(distinct, cfg)
     moments = outliers.type_moments(cleaned)
     replaced = outliers.replace_outliers(cleaned, moments, cfg)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from loamline import functions as fx
 from loamline.sources.readings import (
     READING_COLUMNS,
+    keep_spelling,
     normalise,
     stored_present,
     union_readings,
@@ -254,8 +255,14 @@ def scan_checked(
             paths = [r.path for r in good.where(F.col("signature") == signature).select("path").collect()]
             raw = spark.read.parquet(*[_glob_escape(p) for p in paths])
         # Presence is judged on the stored columns, before any conversion.
-        kept = raw.select(*READING_COLUMNS, _metadata_file().alias("file"), stored_present(raw).alias("present"))
-        frames.append(normalise(kept, keep=("file", "present")))
+        kept = keep_spelling(
+            raw.select(
+                *READING_COLUMNS,
+                _metadata_file().alias("file"),
+                stored_present(raw).alias("present"),
+            )
+        )
+        frames.append(normalise(kept, keep=tuple(c for c in kept.columns if c not in READING_COLUMNS)))
     return union_readings(frames)
 
 
@@ -280,7 +287,7 @@ def ingest(
     checked = stage(schema_check(files_in_window(spark, directory, start, end)), "schema-check")
     scanned = scan_checked(spark, directory, checked, start, end)
     stats = stage(file_stats(checked, scanned), "file-stats")
-    readings = None if scanned is None else scanned.select(*READING_COLUMNS)
+    readings = None if scanned is None else scanned.drop("file", "present")
     return Ingest(readings, stats, stats.where(~F.col("success")))
 
 

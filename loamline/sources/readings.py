@@ -48,6 +48,18 @@ def scan_readings(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths).select(*READING_COLUMNS)
 
 
+# The stored spelling of a text timestamp. It takes part in de-duplication only: two spellings
+# of one instant are two rows.
+SPELLING = "timestamp_text"
+
+
+def keep_spelling(df: DataFrame) -> DataFrame:
+    """Remember text timestamps as stored; other representations have no spelling."""
+    if SPELLING in df.columns or not isinstance(df.schema["timestamp"].dataType, T.StringType):
+        return df
+    return df.withColumn(SPELLING, F.col("timestamp"))
+
+
 def _number(df: DataFrame, name: str) -> Column:
     # NaN means "missing" in the data model, so it becomes null once, here.
     as_double = F.col(name).try_cast("double")

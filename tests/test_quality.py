@@ -149,6 +149,15 @@ def test_transform_counters(spark):
     assert len(s.derived_fields_added) == 4
 
 
+def test_copies_are_compared_as_stored(spark):
+    rows = [("s", "2023-06-01T10:00:00Z", "t", 1.0, 1.0)] * 2 + [("s", "2023-06-01T10:00:00", "t", 1.0, 1.0)]
+    raw = spark.createDataFrame(
+        rows, "sensor_id string, timestamp string, reading_type string, value double, battery_level double"
+    )
+    (s,) = transform_stats(transform(raw, CFG)).collect()
+    assert (s.original_records, s.duplicates_removed, s.records_final) == (3, 1, 2)
+
+
 def test_transform_columns_and_empty_input(spark):
     done = transform(readings(spark, []), CFG)
     assert done.frame.count() == 0
