@@ -265,11 +265,18 @@ _landings: dict[tuple[str, str, str], str] = {}
 
 def _land_once(spark: SparkSession, sf_dir: str, label: str, frames) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _landings:
+    known = _landings.get(key)
+    if known is None or not _exists(spark, known):
         _landings[key] = land_by_day(frames(), label)
     return _landings[key]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hadoop_path))
+
+
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """The dirty readings as a landing folder, written once per application and table folder."""
     return _land_once(spark, sf_dir, "landing", lambda: [readings_dirty(spark, sf_dir)])

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamline.rows import local_frame
+
 
 @dataclass(frozen=True)
 class Calibration:
@@ -74,15 +76,10 @@ class PipelineConfig:
         return any(c.multiplier != 1.0 or c.offset != 0.0 for c in self.calibrations.values())
 
 
-def _inline(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    # An explicit VALUES-like relation: its size is what the config holds.
-    return spark.createDataFrame(rows, ddl)
-
-
 def calibration_dim(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """(reading_type, multiplier, offset, unit) — one row per configured type."""
     rows = [(t, c.multiplier, c.offset, c.unit) for t, c in sorted(cfg.calibrations.items())]
-    return _inline(
+    return local_frame(
         spark, rows, "reading_type string, multiplier double, offset double, unit string"
     )
 
@@ -92,7 +89,7 @@ def range_dim(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     entries = dict(cfg.ranges)
     entries.setdefault("battery_level", cfg.battery_range)
     rows = [(t, r.low, r.high, r.unit) for t, r in sorted(entries.items())]
-    return _inline(
+    return local_frame(
         spark, rows, "reading_type string, expected_min double, expected_max double, unit string"
     )
 

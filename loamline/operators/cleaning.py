@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loamline import functions as fx
 from loamline.config import PipelineConfig, with_calibration, with_range
-from loamline.operators.rows import one_row
+from loamline.rows import one_row
 from loamline.sources.readings import CRITICAL_COLUMNS
 
 

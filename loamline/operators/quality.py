@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from loamline import functions as fx
 from loamline.config import PipelineConfig, with_range
 from loamline.operators.series import SERIES
+from loamline.rows import unit
 from loamline.sources.readings import READING_COLUMNS, uncastable_counts
 from loamline.staging import stage
 
@@ -37,7 +38,7 @@ def type_validity(df: DataFrame) -> DataFrame:
             for f in df.schema.fields
         ]
     )
-    one = df.sparkSession.range(1).select(F.inline(verdicts))
+    one = unit(df.sparkSession).select(F.inline(verdicts))
     counts = uncastable_counts(df, READING_COLUMNS).select("column", "uncastable_count")
     # One row per column on both sides.
     return one.join(F.broadcast(counts), "column", "left").withColumn(

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loamline import functions as fx
-from loamline.operators.rows import one_row
+from loamline.rows import one_row
 
 # --- filters ---------------------------------------------------------------------
 

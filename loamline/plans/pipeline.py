@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loamline.config import PipelineConfig
 from loamline.operators.quality import Quality, validate
 from loamline.plans.transform import Transformed, transform, transform_stats
+from loamline.session import size_shuffles
 from loamline.sinks import parquet as sink
 from loamline.sinks.reports import write_report
 from loamline.sources import files
@@ -72,6 +73,8 @@ def _run(
     partition_by: tuple[str, ...] | None,
 ) -> PipelineResult:
     spark = scope.spark
+    stored = files.files_in_window(spark, raw_path, start, end).agg(F.sum("length")).first()[0]
+    size_shuffles(spark, stored or 0)
     taken = files.ingest(spark, raw_path, start, end)
     if taken.readings is None:
         raise IngestError(f"no readable file in {raw_path}")

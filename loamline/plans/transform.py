@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loamline.config import PipelineConfig
 from loamline.operators import cleaning, outliers, series
-from loamline.operators.rows import one_row
+from loamline.rows import one_row
 from loamline.sources.readings import (
     READING_COLUMNS,
     SPELLING,

@@ -24,6 +24,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Bytes one shuffle partition should hold, and how much stored readings grow when decoded.
+PARTITION_BYTES = 128 * 1024 * 1024
+DECODED_GROWTH = 4
+
+
+def size_shuffles(spark: SparkSession, stored_bytes: int) -> int:
+    """Raise the shuffle partition count to what this much stored input needs.
+
+    The count is only ever raised: adaptive execution merges partitions that turn out small,
+    but cannot split one that no skew rule applies to. Returns the count in force.
+    """
+    wanted = -(-stored_bytes * DECODED_GROWTH // PARTITION_BYTES)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def local_session(cpus: int | None = None, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))

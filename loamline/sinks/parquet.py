@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from loamline import functions as fx
 from loamline.config import PipelineConfig
-from loamline.operators.rows import one_row
+from loamline.rows import local_frame, one_row
 from loamline.sources.files import list_files, partition_values
 
 # --- writing -------------------------------------------------------------------
@@ -201,7 +201,7 @@ def narrow_plan(df: DataFrame) -> DataFrame:
                 target = "int"
         if target:
             rows.append((f.name, f.dataType.simpleString(), target))
-    return df.sparkSession.createDataFrame(rows, "column string, from_type string, to_type string")
+    return local_frame(df.sparkSession, rows, "column string, from_type string, to_type string")
 
 
 def _mostly_repeated(df: DataFrame, name: str, sketched: int, rows: int) -> bool:

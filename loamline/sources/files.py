@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline import functions as fx
+from loamline.rows import local_frame
 from loamline.sources.readings import (
     READING_COLUMNS,
     keep_spelling,
@@ -50,7 +51,7 @@ def list_files(spark: SparkSession, directory: str, recursive: bool = False) ->
     else:
         found = _or_none(lambda: reader.load(f"{directory.rstrip('/')}/*.parquet"))
     if found is None:
-        return spark.createDataFrame([], LISTING_SCHEMA)
+        return local_frame(spark, [], LISTING_SCHEMA)
     return found.select("path", "length", "modificationTime").orderBy("path")
 
 

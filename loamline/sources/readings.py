@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loamline import functions as fx
+from loamline.rows import unit
 
 # The expected columns and their declared types.
 READING_TYPES = {
@@ -103,7 +104,7 @@ def uncastable_counts(df: DataFrame, columns=READING_COLUMNS) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     checks = {c: _uncastable(c, df.schema[c].dataType, READING_TYPES[c]) for c in present}
     doubtful = [agg.alias(c) for c, agg in checks.items() if agg is not None]
-    counts = df.agg(*doubtful) if doubtful else df.sparkSession.range(1)
+    counts = df.agg(*doubtful) if doubtful else unit(df.sparkSession)
     rows = F.array(
         *[
             F.struct(
