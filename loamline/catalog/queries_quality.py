@@ -219,7 +219,7 @@ def _(spark, d):
 @query(
     "gen_gap_report",
     f"""{_EXPECTED}, lists AS (
-  SELECT sensor_id, reading_type, string_agg(strftime(h, '%Y-%m-%d %H'), ',' ORDER BY h) AS hours,
+  SELECT sensor_id, reading_type, string_agg(strftime(h, '%Y-%m-%d %H:%M:%S'), ',' ORDER BY h) AS hours,
          count(*) AS n FROM missing_hour GROUP BY 1, 2)
 SELECT b.sensor_id, b.reading_type, strftime(lo, '%Y-%m-%d') AS start_date,
        strftime(hi, '%Y-%m-%d') AS end_date, coalesce(hours, '') AS missing_hours,
@@ -228,7 +228,7 @@ FROM bounds b LEFT JOIN lists l ON b.sensor_id = l.sensor_id AND b.reading_type
 )
 def _(spark, d):
     out = quality.gap_report(hours(spark, d))
-    listed = F.transform("missing_hours", lambda h: F.date_format(h, "yyyy-MM-dd HH"))
+    listed = F.col("missing_hours").cast("array<string>")
     return out.select(
         "sensor_id",
         "reading_type",

@@ -327,8 +327,9 @@ def _(spark, d):
     # Five kinds of output: one JSON line, JSON then noise, two JSON lines, a broken one, none.
     runs = b.job_runs(spark, d)
     kind, n = F.col("id") % 5, F.coalesce("records_processed", F.lit(0))
-    stats = lambda shown: F.format_string(
-        '{"records_processed": %d, "records_failed": %d}', shown, F.col("id") % 7
+    failed = F.col("id") % 7
+    stats = lambda shown: F.concat(
+        F.lit('{"records_processed": '), shown, F.lit(', "records_failed": '), failed, F.lit("}")
     )
     stdout = (
         F.when(kind == 0, F.concat(F.lit("starting\n"), stats(n), F.lit("\n")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loamline import functions as fx
 from loamline.config import PipelineConfig, with_calibration, with_range
 from loamline.rows import one_row
-from loamline.sources.readings import CRITICAL_COLUMNS
+from loamline.sources.readings import all_present
 
 
 def dedupe(df: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def fill_battery(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 def drop_critical(df: DataFrame) -> DataFrame:
     """Drop rows lacking any of sensor, time, type or value."""
-    return df.dropna(subset=list(CRITICAL_COLUMNS))
+    return df.where(all_present())
 
 
 def local_fields(df: DataFrame, cfg: PipelineConfig) -> DataFrame:

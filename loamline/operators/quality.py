@@ -251,7 +251,9 @@ def gap_report(hours: DataFrame) -> DataFrame:
 
     The list is part of the report's contract; it holds calendar hours, not readings.
     """
-    starts = lambda a, b: F.transform(F.sequence(a, b), fx.hour_start)
+    starts = lambda a, b: F.sequence(
+        fx.hour_start(a), fx.hour_start(b), F.make_dt_interval(hours=F.lit(1))
+    )
     lists = (
         gap_spans(hours)
         .groupBy(*SERIES)

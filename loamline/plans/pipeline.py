@@ -73,9 +73,9 @@ def _run(
     partition_by: tuple[str, ...] | None,
 ) -> PipelineResult:
     spark = scope.spark
-    stored = files.files_in_window(spark, raw_path, start, end).agg(F.sum("length")).first()[0]
-    size_shuffles(spark, stored or 0)
-    taken = files.ingest(spark, raw_path, start, end)
+    checked = files.check_window(spark, raw_path, start, end)
+    size_shuffles(spark, checked.agg(F.sum("length")).first()[0] or 0)
+    taken = files.ingest(spark, raw_path, start, end, checked)
     if taken.readings is None:
         raise IngestError(f"no readable file in {raw_path}")
     done = transform(taken.readings, cfg)

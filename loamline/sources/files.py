@@ -281,11 +281,26 @@ class Ingest:
     quarantined: DataFrame
 
 
-def ingest(
+def check_window(
     spark: SparkSession, directory: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """The staged :func:`schema_check` of the files in the window."""
+    return stage(schema_check(files_in_window(spark, directory, start, end)), "schema-check")
+
+
+def ingest(
+    spark: SparkSession,
+    directory: str,
+    start: str | None = None,
+    end: str | None = None,
+    checked: DataFrame | None = None,
 ) -> Ingest:
-    """Check every file of the window, read the good ones, set the bad ones aside."""
-    checked = stage(schema_check(files_in_window(spark, directory, start, end)), "schema-check")
+    """Check every file of the window, read the good ones, set the bad ones aside.
+
+    ``checked`` is the window's :func:`check_window` if the caller already has it.
+    """
+    if checked is None:
+        checked = check_window(spark, directory, start, end)
     scanned = scan_checked(spark, directory, checked, start, end)
     stats = stage(file_stats(checked, scanned), "file-stats")
     readings = None if scanned is None else scanned.drop("file", "present")
