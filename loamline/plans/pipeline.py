@@ -51,6 +51,8 @@ def run_pipeline(
 ) -> PipelineResult:
     """One batch. Ingest, transform and load failures abort; a failed validation does not.
 
+    Loading replaces the partitions this batch touches and keeps the others of the table.
+
     The enriched rows are written once, as the result; counters and validation then read the
     columns they need from that written table, so nothing is computed twice. The frames of the
     result read intermediate tables in the shared folder until ``release`` is called.
@@ -79,8 +81,15 @@ def _run(
     if taken.readings is None:
         raise IngestError(f"no readable file in {raw_path}")
     done = transform(taken.readings, cfg)
-    sink.load(done.frame, output_path, cfg, partition_by)
+    keys = sink.partition_keys(done.frame, cfg, partition_by)
+    grows = sink.read_or_none(lambda: spark.read.schema(done.frame.schema).parquet(output_path))
+    sink.load(done.frame, output_path, cfg, keys)
     output = sink.read_back(spark, output_path, done.frame.schema)
+    written = None
+    if keys and grows is not None:
+        # The table holds other batches as well: look at this batch's partitions only.
+        written = stage(done.frame.select(*keys).distinct(), "written-partitions")
+        output = output.join(written, list(keys), "left_semi")
 
     quality, problem, report = None, None, None
     if validate_output:
@@ -93,7 +102,11 @@ def _run(
 
     counters = transform_stats(done, output)
     loaded = sink.load_stats(
-        spark, output_path, len(output.columns), output.agg(F.count(F.lit(1)).alias("records_loaded"))
+        spark,
+        output_path,
+        len(output.columns),
+        output.agg(F.count(F.lit(1)).alias("records_loaded")),
+        written,
     )
     metrics = stage(pipeline_metrics(files.ingest_summary(taken.stats), counters, quality, loaded), "metrics")
     return PipelineResult(output_path, output, taken, done, quality, problem, report, metrics, scope)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from loamline import functions as fx
 from loamline.config import PipelineConfig
 from loamline.rows import local_frame, one_row
-from loamline.sources.files import list_files, partition_values
+from loamline.sources.files import list_files, partition_values, read_or_none
 
 # --- writing -------------------------------------------------------------------
 
@@ -28,6 +28,7 @@ def write_partitioned(
 ) -> None:
     """Hive layout, one folder per key tuple; null keys go to the default partition.
 
+    Partitions that occur in ``df`` are replaced; others that the table already has stay.
     REBALANCE gathers each partition's rows so it gets few files, and lets adaptive execution
     split a partition that is far larger than the rest over several tasks.
     """
@@ -38,11 +39,20 @@ def write_partitioned(
         gathered.sortWithinPartitions(*clustering)
         .write.mode("overwrite")
         .option("compression", compression)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
 
 
+def partition_keys(
+    df: DataFrame, cfg: PipelineConfig, partition_by: tuple[str, ...] | None = None
+) -> tuple[str, ...]:
+    """The keys a load will use: none when some key column is absent."""
+    keys = cfg.partition_by if partition_by is None else partition_by
+    return tuple(keys) if all(k in df.columns for k in keys) else ()
+
+
 def load(
     df: DataFrame,
     path: str,
@@ -51,17 +61,23 @@ def load(
     compression: str | None = None,
 ) -> None:
     """Partitioned when every key column is there, else a plain write."""
-    keys = cfg.partition_by if partition_by is None else partition_by
+    keys = partition_keys(df, cfg, partition_by)
     codec = compression or cfg.compression
-    if keys and all(k in df.columns for k in keys):
-        write_partitioned(df, path, tuple(keys), codec)
+    if keys:
+        write_partitioned(df, path, keys, codec)
     else:
         write_single(df, path, codec)
 
 
 def read_back(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A written table with its original column types, partition columns included."""
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    """A written table with its original column types, partition columns included.
+
+    A path to which only empty frames were written reads as an empty frame.
+    """
+    found = read_or_none(lambda: spark.read.schema(schema).parquet(path))
+    if found is None:
+        found = spark.createDataFrame([], schema)
+    return found.select(*schema.fieldNames())
 
 
 def load_batches(frames: list[DataFrame], base: str, cfg: PipelineConfig, **options) -> list[str]:
@@ -96,9 +112,35 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]+$", "")
 
 
-def load_stats(spark: SparkSession, path: str, columns: int, rows: DataFrame) -> DataFrame:
-    """One row about a written table; ``rows`` is a one-row count (``records_loaded``)."""
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def files_of_partitions(listing: DataFrame, written: DataFrame) -> DataFrame:
+    """The listed files that lie in the partitions named by ``written`` (distinct key tuples)."""
+    values = partition_values(F.col("path"))
+    keys = written.columns
+    named = written.select(
+        *[F.coalesce(F.col(k).cast("string"), F.lit(_NULL_PARTITION)).alias(f"_{k}") for k in keys]
+    )
+    escaped = lambda k: F.replace(values[k], F.lit("+"), F.lit("%2B"))
+    spelled = listing.withColumns({f"_{k}": F.url_decode(escaped(k)) for k in keys})
+    return spelled.join(named, [f"_{k}" for k in keys], "left_semi").drop(*[f"_{k}" for k in keys])
+
+
+def load_stats(
+    spark: SparkSession,
+    path: str,
+    columns: int,
+    rows: DataFrame,
+    written: DataFrame | None = None,
+) -> DataFrame:
+    """One row about a written table; ``rows`` is a one-row count (``records_loaded``).
+
+    ``written`` restricts the files to the partitions of one load into a larger table.
+    """
     listing = list_files(spark, path, recursive=True)
+    if written is not None:
+        listing = files_of_partitions(listing, written)
     written = listing.agg(
         F.coalesce(F.sum("length"), F.lit(0)).alias("size"),
         F.count_distinct(_folder(F.col("path"))).alias("partition_count"),

@@ -29,7 +29,7 @@ LISTING_SCHEMA = "path string, length bigint, modificationTime timestamp"
 _DAY_IN_PATH = r"/(\d{4}-\d{2}-\d{2})\.parquet(?:/[^/]+)?$"
 
 
-def _or_none(load):
+def read_or_none(load):
     """Run a reader; None when there is nothing to read at the path."""
     try:
         return load()
@@ -47,9 +47,9 @@ def list_files(spark: SparkSession, directory: str, recursive: bool = False) ->
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        found = _or_none(lambda: reader.load(directory))
+        found = read_or_none(lambda: reader.load(directory))
     else:
-        found = _or_none(lambda: reader.load(f"{directory.rstrip('/')}/*.parquet"))
+        found = read_or_none(lambda: reader.load(f"{directory.rstrip('/')}/*.parquet"))
     if found is None:
         return local_frame(spark, [], LISTING_SCHEMA)
     return found.select("path", "length", "modificationTime").orderBy("path")

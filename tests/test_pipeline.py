@@ -57,6 +57,39 @@ def test_date_window(spark, folder):
     assert not any(r.stage == "validate" for r in done.metrics.collect())
 
 
+def test_a_second_batch_keeps_the_first(spark, folder):
+    land(folder, 9)
+    out = f"{folder}-out"
+    run = lambda a, b: run_pipeline(spark, folder, out, CFG, a, b)
+    run("2023-06-01", "2023-06-03")
+    later = run("2023-06-07", "2023-06-08")
+    m = {(r.stage, r.metric): r.value for r in later.metrics.collect()}
+    assert m["load", "records_loaded"] == m["validate", "total_records"] == 576
+    assert m["load", "partition_count"] == 3
+    whole = spark.read.parquet(out)
+    assert whole.count() == 864 + 576
+    # Loading a batch again replaces its partitions.
+    assert run("2023-06-07", "2023-06-08").output.count() == 576
+    assert spark.read.parquet(out).count() == 864 + 576
+
+
+def test_no_valid_row_at_all(spark, folder):
+    table = pa.table(
+        {
+            "sensor_id": pa.array([None, None], pa.string()),
+            "timestamp": ["2023-06-01T10:00:00", "2023-06-01T11:00:00"],
+            "reading_type": ["t", "t"],
+            "value": [1.0, 2.0],
+            "battery_level": [1.0, 2.0],
+        }
+    )
+    pq.write_table(table, f"{folder}/2023-06-01.parquet")
+    done = run_pipeline(spark, folder, f"{folder}-out", CFG)
+    assert done.output.count() == 0 and "no data" in done.quality_error
+    m = {(r.stage, r.metric): r.value for r in done.metrics.collect()}
+    assert m["load", "records_loaded"] == 0 and m["transform", "original_records"] == 2
+
+
 def test_nothing_to_read_aborts(spark, folder):
     with pytest.raises(IngestError):
         run_pipeline(spark, f"{folder}/none", f"{folder}/out", CFG)
