@@ -182,7 +182,9 @@ SELECT DISTINCT event_type AS reading_type, CAST(user_id AS VARCHAR) AS sensor_i
 )
 def _(spark, d):
     paths = b.readings(spark, d).select(
-        F.format_string("/data/reading_type=%s/sensor_id=%s/part-0.parquet", "reading_type", "sensor_id").alias("p")
+        F.format_string(
+            "/data/reading_type=%s/sensor_id=%s/part-0.parquet", "reading_type", "sensor_id"
+        ).alias("p")
     )
     values = files.partition_values(F.col("p"))
     return paths.select(

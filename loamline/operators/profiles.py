@@ -5,7 +5,7 @@ reading type can be a third of a data set. Here the group is narrowed down inste
 that combine map-side and whose number does not depend on the number of rows:
 
 1. a histogram on logarithmic bins gives count, moments and the bin of each middle rank;
-2. a histogram on linear bins within that bin gives a far smaller bin;
+2. while that bin is large, a histogram on linear cells within it gives a far smaller one;
 3. the few values of that bin are counted per value and ranked.
 
 Every row takes part in the counts and the bins are monotone in the value, so the result is
@@ -22,7 +22,7 @@ from loamline.staging import stage
 
 BINS_PER_OCTAVE = 128
 LINEAR_BINS = 4096
-# A bin of at most this many values is ranked directly, without the second histogram.
+# A bin of at most this many values is ranked directly, without another histogram.
 DIRECT_VALUES = 1_000_000
 # Above the largest |log2| of a double, so the sign alone decides the side of zero.
 _OCTAVES = 1100
@@ -106,7 +106,10 @@ def medians_of(df: DataFrame, key: str, value: str, hist: DataFrame) -> DataFram
     # At most two rows per key, made from the staged histogram of known size.
     target = _holding(counts, by, "bin", F.col("rank"))
     if (hist.agg(F.max("c")).first()[0] or 0) > DIRECT_VALUES:
-        target = _refined(df, key, value, stage(target, "median-bin"))
+        target = stage(target, "median-bin")
+        # The ends of a bin fall into different cells, so every round makes it smaller.
+        while _widest(target) > DIRECT_VALUES:
+            target = _refined(df, key, value, target)
 
     values = (
         _within(df, key, value, target)
@@ -117,6 +120,11 @@ def medians_of(df: DataFrame, key: str, value: str, hist: DataFrame) -> DataFram
     return exact.groupBy(key).agg(F.avg("v").alias("median"))
 
 
+def _widest(target: DataFrame) -> int:
+    """The largest count of a target that still holds different values."""
+    return target.where("lo < hi").agg(F.max("c")).first()[0] or 0
+
+
 def _refined(df: DataFrame, key: str, value: str, coarse: DataFrame) -> DataFrame:
     """The targets again, each within one of many equal cells of its bin; staged."""
     width = F.col("hi") - F.col("lo")

@@ -390,9 +390,24 @@ def report_rows(q: Quality) -> DataFrame:
     parts = [
         row(q.score, F.lit("Overall Quality Score"), F.col("quality_score"), "Overall"),
         row(q.totals, F.lit("Total Records"), F.col("total_records"), "Overall"),
-        row(q.missing, label("Missing Values - ", "column"), text("missing_percentage"), "Data Completeness"),
-        row(q.ranges, label("Valid Range - ", "reading_type"), text("valid_percentage"), "Data Accuracy"),
-        row(q.anomalies, label("Anomalous Readings - ", "reading_type"), text("anomalous_percentage"), "Data Quality"),
+        row(
+            q.missing,
+            label("Missing Values - ", "column"),
+            text("missing_percentage"),
+            "Data Completeness",
+        ),
+        row(
+            q.ranges,
+            label("Valid Range - ", "reading_type"),
+            text("valid_percentage"),
+            "Data Accuracy",
+        ),
+        row(
+            q.anomalies,
+            label("Anomalous Readings - ", "reading_type"),
+            text("anomalous_percentage"),
+            "Data Quality",
+        ),
         row(gap_total, F.lit("Total Missing Hours"), F.col("hours"), "Data Continuity"),
     ]
     out = parts[0]

@@ -199,7 +199,11 @@ def partition_info(spark: SparkSession, path: str) -> DataFrame:
     listing = list_files(spark, path, recursive=True)
     below = F.substring_index(F.col("path"), root, -1)
     return (
-        listing.select(F.explode(partition_values(_folder(F.concat(F.lit("/"), below)))).alias("column", "value"))
+        listing.select(
+            F.explode(partition_values(_folder(F.concat(F.lit("/"), below)))).alias(
+                "column", "value"
+            )
+        )
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("files"))
     )
