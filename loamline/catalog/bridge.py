@@ -9,7 +9,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from loamline import functions as fx
 from loamline.config import Calibration, PipelineConfig, ValueRange
 from loamline.staging import new_path
 
@@ -35,9 +37,7 @@ def readings(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFra
     keep = ["event_id"] if with_id else []
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("sensor_id"),
-        F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
-        .cast("timestamp")
-        .alias("timestamp"),
+        fx.instant_of(F.col("ts"), T.TimestampNTZType()).alias("timestamp"),
         F.col("event_type").alias("reading_type"),
         "value",
         F.get_json_object("props", "$.k").cast("double").alias("battery_level"),
@@ -256,8 +256,7 @@ def land_by_day(frames: list[DataFrame], label: str) -> str:
 
 
 def utc_day():
-    wall = F.convert_timezone(None, F.lit("UTC"), F.col("timestamp").cast("timestamp_ntz"))
-    return F.date_format(wall, "yyyy-MM-dd")
+    return F.to_date(fx.wall_time(F.col("timestamp"), "UTC")).cast("string")
 
 
 _landings: dict[tuple[str, str, str], str] = {}

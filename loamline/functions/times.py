@@ -30,15 +30,19 @@ def instant_of(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
         return col
     if isinstance(dtype, T.TimestampNTZType):
-        return F.convert_timezone(F.lit("UTC"), F.current_timezone(), col).cast("timestamp")
+        return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), col))
     if isinstance(dtype, T.DateType):
         return instant_of(col.cast("timestamp_ntz"), T.TimestampNTZType())
     return parse_instant(col.cast("string"))
 
 
 def wall_time(instant: Column, zone: str) -> Column:
-    """The wall-clock time of an instant in ``zone``."""
-    return F.convert_timezone(None, F.lit(zone), instant.cast("timestamp_ntz"))
+    """The wall-clock time of an instant in ``zone``.
+
+    The shift is done on the instant, where a literal zone is resolved once rather than per row.
+    """
+    shifted = instant if zone == "UTC" else F.from_utc_timestamp(instant, zone)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(shifted), F.expr(_EPOCH))
 
 
 def iso_in_zone(instant: Column, zone: str) -> Column:

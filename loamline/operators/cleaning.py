@@ -43,7 +43,7 @@ def local_fields(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """``date`` (text) and ``hour`` of the target-zone wall time."""
     wall = fx.wall_time(F.col("timestamp"), cfg.target_timezone)
     return df.withColumns(
-        {"date": F.date_format(wall, "yyyy-MM-dd"), "hour": F.hour(wall).cast("int")}
+        {"date": F.to_date(wall).cast("string"), "hour": F.hour(wall).cast("int")}
     )
 
 

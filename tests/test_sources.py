@@ -177,21 +177,25 @@ def test_normalise_accepts_text_and_nan(spark):
 
 
 def test_session_zone_does_not_matter(spark):
-    df = spark.createDataFrame([("2023-06-01T10:17:00",), ("2023-06-01 10:17:00+05:30",)], "timestamp string")
+    # The last two are one wall hour in New York.
+    stamps = ["2023-06-01T10:17:00", "2023-06-01 10:17:00+05:30", "2023-11-05T05:30:00Z", "2023-11-05T06:30:00Z"]
+    df = spark.createDataFrame([(t,) for t in stamps], "timestamp string")
     df = df.selectExpr("'s' sensor_id", "timestamp", "'t' reading_type", "1D value", "1D battery_level")
     from loamline.operators.cleaning import local_fields
 
     seen = []
     before = spark.conf.get("spark.sql.session.timeZone")
-    for zone in ("UTC", "Asia/Tokyo"):
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
         spark.conf.set("spark.sql.session.timeZone", zone)
         try:
             out = local_fields(readings.normalise(df), PipelineConfig())
             seen.append([(r.us, r.date, r.hour) for r in out.select(F.unix_micros("timestamp").alias("us"), "date", "hour").collect()])
         finally:
             spark.conf.set("spark.sql.session.timeZone", before)
-    assert seen[0] == seen[1]
-    assert [x[1:] for x in seen[0]] == [("2023-06-01", 15), ("2023-06-01", 10)]
+    assert seen[0] == seen[1] == seen[2]
+    assert [x[1:] for x in seen[0]] == [
+        ("2023-06-01", 15), ("2023-06-01", 10), ("2023-11-05", 11), ("2023-11-05", 12)
+    ]
 
 
 def test_partition_values(spark):
