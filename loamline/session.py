@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +24,27 @@ RUNTIME_CONF = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever the driver was started; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="loamline-package-"), "loamline-package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(path.relative_to(root.parent)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 # Bytes one shuffle partition should hold, and how much stored readings grow when decoded.
 PARTITION_BYTES = 128 * 1024 * 1024
 DECODED_GROWTH = 4

@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from loamline import catalog
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = catalog.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in catalog.queries()}
 
 
 @pytest.fixture(scope="module")
