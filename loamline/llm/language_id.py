@@ -191,23 +191,26 @@ def train_network(sample: list[tuple[str, str]], epochs: int = 12, seed: int = 7
     return network
 
 
-def identify(docs: DataFrame, network: ByteNetwork, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: id, the columns ``keep``, lang_pred, score.
+def identify(
+    docs: DataFrame, network: ByteNetwork, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per row of ``docs``: id, the columns ``keep`` (the text may be one), lang_pred, score.
 
     A text that is null, empty or without a letter is ``und`` with score 0, and so is every text if
     no language was learned. Repeated rows repeat, an empty table gives no rows; nothing but the
     text enters a prediction.
     """
-    plain = docs.select(docs[text].alias("_text"), docs[id_col], *[docs[c] for c in keep])
-    others = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[1:])
+    first = 0 if text in keep else 1
+    plain = docs.select(docs[text], docs[id_col], *[docs[c] for c in keep if c != text])
+    others = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[first:])
 
     def run(batches):
         tables = network.tables()
         for batch in batches:
             for part in slices(batch, 250):
                 found = network.predict(part.column(0).to_pylist(), tables)
-                columns = [*part.columns[1:], pa.array([a for a, _ in found]), pa.array([b for _, b in found])]
-                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[1:], "lang_pred", "score"])
+                columns = [*part.columns[first:], pa.array([a for a, _ in found]), pa.array([b for _, b in found])]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[first:], "lang_pred", "score"])
 
     return plain.mapInArrow(run, f"{others}, lang_pred string, score double")
 

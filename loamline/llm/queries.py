@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import exact_dedup, html_text, language_id, packing, pii, quality, token_files, unigram
+from loamline.llm import exact_dedup, html_text, language_id, near_dedup, packing, pii, quality, token_files, topk, unigram
 from loamline.llm.tables import crc_bucket, table
 from loamline.staging import new_path, stage
 
@@ -20,6 +20,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_personal_data(table(spark, sf_dir, "documents"), DEMO_KEY)
 
@@ -60,6 +64,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.rank(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -67,6 +76,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
     "op3_packing": op3_packing,
     "op4_html_text": op4_html_text,
@@ -74,10 +84,51 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_unigram": op7_unigram,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_topk": op9_topk,
     "op10_quality": op10_quality,
 }
 
 SQL = {
+    "op1_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 1 THEN [words[1]]
+                       ELSE [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))] END) AS shingle
+            FROM w WHERE len(words) > 0),
+        n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+        k AS (SELECT shingle, doc_id, dense_rank() OVER (ORDER BY shingle) AS id FROM s),
+        p AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+            FROM k a JOIN k b ON a.id = b.id AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        l AS (
+            SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+            WHERE 100 * common >= 80 * (nx.size + ny.size - common)),
+        e AS (SELECT x AS u, y AS v FROM l UNION SELECT y, x FROM l),
+        r(doc_id, reached) AS (
+            SELECT doc_id, doc_id FROM w
+            UNION
+            SELECT r.doc_id, e.v FROM r JOIN e ON e.u = r.reached)
+        SELECT r.doc_id, coalesce(max(n.size), 0) AS n_shingles, min(reached) AS component_id,
+               min(reached) = r.doc_id AS kept
+        FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+    """,
+    "op9_topk": """
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        p AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM p)
+        SELECT query_id, place AS rank, vec_id, score FROM r WHERE place <= 10
+    """,
     "op8_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, coalesce(text, '') AS t,
