@@ -215,6 +215,20 @@ def _(spark, d):
     return out.select("sensor_id", "reading_type", text("missing_hour"))
 
 
+@query(
+    "gen_gap_spans",
+    f"""{_EXPECTED}, numbered AS (
+  SELECT *, h - row_number() OVER (PARTITION BY sensor_id, reading_type ORDER BY h) * INTERVAL 1 HOUR AS run
+  FROM missing_hour)
+SELECT sensor_id, reading_type, strftime(min(h), '%Y-%m-%d %H:%M:%S') AS from_hour,
+       strftime(max(h), '%Y-%m-%d %H:%M:%S') AS to_hour, count(*) AS missing_hours_count
+FROM numbered GROUP BY sensor_id, reading_type, run""",
+)
+def _(spark, d):
+    out = quality.gap_span_report(hours(spark, d))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("from_hour", "to_hour")})
+
+
 @query(
     "gen_gap_report",
     f"""{_EXPECTED}, lists AS (

@@ -242,18 +242,24 @@ def _(spark, d):
 @query(
     "prj_parse_ts",
     """
-SELECT event_id, strftime(CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN ts
-         WHEN 2 THEN ts - INTERVAL 330 MINUTE END, '%Y-%m-%d %H:%M:%S.%f') AS parsed
+SELECT event_id, strftime(CASE event_id % 8 WHEN 0 THEN ts WHEN 1 THEN ts
+         WHEN 2 THEN ts - INTERVAL 330 MINUTE WHEN 4 THEN ts - INTERVAL 5 HOUR
+         WHEN 5 THEN date_trunc('minute', ts) WHEN 6 THEN date_trunc('second', ts)
+         WHEN 7 THEN ts END, '%Y-%m-%d %H:%M:%S.%f') AS parsed
 FROM events""",
 )
 def _(spark, d):
-    # Four spellings: naive, with Z, with an offset, and not a time at all.
+    # Eight spellings: naive, Z, offset, no time at all, hour-only offset, no seconds, basic, UTC.
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    kind = F.col("event_id") % 4
+    kind = F.col("event_id") % 8
     spelled = (
         F.when(kind == 0, iso)
         .when(kind == 1, F.concat(iso, F.lit("Z")))
         .when(kind == 2, F.concat(iso, F.lit("+05:30")))
+        .when(kind == 4, F.concat(iso, F.lit("+05")))
+        .when(kind == 5, F.date_format("ts", "yyyy-MM-dd HH:mm"))
+        .when(kind == 6, F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"))
+        .when(kind == 7, F.concat(iso, F.lit(" UTC")))
         .otherwise(F.lit("not a time"))
     )
     events = b.table(spark, d, "events").select("event_id", fx.parse_instant(spelled).alias("t"))
@@ -476,12 +482,15 @@ def _(spark, d):
 
 @query(
     "agg_transform_stats",
-    f"""WITH {b.ENRICHED_SQL}
-SELECT (SELECT count(*) FROM readings_dirty) AS original_records,
+    f"""WITH {b.ENRICHED_SQL}, timeless AS (
+  SELECT sensor_id, reading_type, value, battery_level FROM readings WHERE event_id % 13 = 0)
+SELECT (SELECT count(*) FROM readings_dirty) + (SELECT count(*) FROM timeless) AS original_records,
+  (SELECT count(*) FROM timeless) AS unparsable_times, 'success' AS status,
   (SELECT count(*) FROM cleaned) AS records_after_cleaning,
   (SELECT count(*) FROM cleaned) AS records_after_outlier_removal,
   count(*) AS records_final,
-  (SELECT count(*) FROM readings_dirty) - (SELECT count(*) FROM deduped) AS duplicates_removed,
+  (SELECT count(*) FROM readings_dirty) - (SELECT count(*) FROM deduped) + (SELECT count(*) FROM timeless)
+    - (SELECT count(*) FROM (SELECT DISTINCT * FROM timeless)) AS duplicates_removed,
   (SELECT count(*) FROM deduped WHERE battery_level IS NULL) AS missing_values_filled,
   count(*) FILTER (is_outlier) AS outliers_detected,
   count(*) FILTER (anomalous_reading) + count(*) FILTER (battery_anomalous) AS anomalous_readings,
@@ -489,7 +498,12 @@ SELECT (SELECT count(*) FROM readings_dirty) AS original_records,
 FROM enriched""",
 )
 def _(spark, d):
-    stats = transform_stats(transform(b.readings_dirty(spark, d), b.CONFIG))
+    # Times as text, and rows whose time is no time at all.
+    iso = F.date_format(fx.wall_time(F.col("timestamp"), "UTC"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    dirty = b.readings_dirty(spark, d).withColumn("timestamp", iso)
+    some = b.readings(spark, d, with_id=True).where(F.col("event_id") % 13 == 0).drop("event_id")
+    raw = dirty.unionByName(some.withColumn("timestamp", F.lit("no time")))
+    stats = transform_stats(transform(raw, b.CONFIG))
     joined = F.array_join("derived_fields_added", ",")
     return stats.withColumn("derived_fields_added", joined)
 

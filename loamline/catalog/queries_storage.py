@@ -105,13 +105,18 @@ def _(spark, d):
 
 @query(
     "snk_multi_batch",
-    f"WITH {b.READINGS_SQL} SELECT 2::BIGINT AS total_files, count(*) AS total_records FROM readings",
+    f"""WITH {b.READINGS_SQL} SELECT 2::BIGINT AS total_files, count(*) AS total_records,
+  2::BIGINT AS successful_batches, 1::BIGINT AS failed_batches FROM readings""",
 )
 def _(spark, d):
     df = dated(spark, d)
     halves = [df.where(F.col("hour") < 12), df.where(F.col("hour") >= 12)]
-    paths = sink.load_batches(halves, new_path(spark, "batch"), b.CONFIG, partition_by=())
-    return sink.batch_totals(spark, paths).select("total_files", "total_records")
+    # A third frame cannot be computed: it fails alone.
+    broken = df.withColumn("value", F.raise_error(F.lit("no value")).cast("double"))
+    done = sink.load_batches([*halves, broken], new_path(spark, "batch"), b.CONFIG, partition_by=())
+    return sink.batch_totals(spark, done).select(
+        "total_files", "total_records", "successful_batches", "failed_batches"
+    )
 
 
 @query(
@@ -187,8 +192,10 @@ UNION ALL SELECT 'validate', 'quality_score',
   round(greatest(0.0, 100.0 - coalesce(sum(deduction), 0.0)), 2) FROM deductions
 UNION ALL SELECT 'validate', 'total_records', count(*) FROM enriched
 UNION ALL SELECT 'load', 'records_loaded', count(*) FROM enriched
-UNION ALL SELECT 'load', 'partition_count', count(DISTINCT date) FROM enriched)
-SELECT stage, metric, round(value, 2) AS value FROM m""",
+UNION ALL SELECT 'load', 'partition_count', count(DISTINCT date) FROM enriched
+UNION ALL SELECT unnest(['ingest', 'transform', 'validate', 'load']), 'completed', 1)
+SELECT stage, metric, round(value, 2) AS value, CASE metric WHEN 'completed' THEN 'success' END AS status
+FROM m""",
 )
 def _(spark, d):
     done = run_pipeline(
@@ -198,10 +205,10 @@ def _(spark, d):
     told = {
         "total_records", "valid_records", "invalid_records", "records_after_cleaning", "records_final",
         "duplicates_removed", "missing_values_filled", "outliers_detected", "anomalous_readings",
-        "quality_score", "records_loaded", "partition_count",
+        "quality_score", "records_loaded", "partition_count", "completed",
     }
     shown = done.metrics.where(F.col("metric").isin(*sorted(told)))
-    return shown.withColumn("value", F.round("value", 2))
+    return shown.select("stage", "metric", F.round("value", 2).alias("value"), "status")
 
 
 @query(
@@ -218,3 +225,18 @@ def _(spark, d):
     return done.output.select(
         "sensor_id", utc_text(), "reading_type", r6("value"), "is_outlier", "anomalous_reading"
     )
+
+
+@query(
+    "cmp_batch_daily_loads",
+    f"""WITH {b.ENRICHED_SQL}
+SELECT sensor_id, {TS}, reading_type, battery_level, strftime(wall, '%Y-%m-%d') AS date FROM cleaned
+WHERE "timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-13'""",
+)
+def _(spark, d):
+    # Adjacent days into one table, one of them twice, in the default layout.
+    landed, path = b.landing(spark, d), new_path(spark, "daily")
+    for day in ("2024-01-10", "2024-01-11", "2024-01-12", "2024-01-11"):
+        done = run_pipeline(spark, landed, path, start=day, end=day, validate_output=False)
+    table = sink.read_back(spark, path, done.output.schema)
+    return table.select("sensor_id", utc_text(), "reading_type", "battery_level", "date")

@@ -55,7 +55,8 @@ class PipelineConfig:
     rolling_rows: int = 7
     rolling_days: int = 7
     rolling_min_rows: int = 2
-    partition_by: tuple[str, ...] = ("date", "sensor_id")
+    # One folder per day; files are sorted by sensor. A key per sensor makes a folder per sensor and day.
+    partition_by: tuple[str, ...] = ("date",)
     compression: str = "snappy"
     calibrations: dict[str, Calibration] = field(default_factory=_default_calibrations)
     ranges: dict[str, ValueRange] = field(default_factory=lambda: dict(_RANGES))

@@ -11,18 +11,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
-_OFFSET_SUFFIX = r"([Zz]|[+-]\d{2}:?\d{2})$"
+_USUAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?"
+_OFFSET = r"(?:Z|[+-]\d{2}:\d{2})$"
+_DATE = r"^(\d{4})-?(\d{2})-?(\d{2})"
+_CLOCK = r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?)?"
+_ZONE = r"\s*(?:([Zz]|UTC|GMT)|([+-])(\d{2}):?(\d{2})?)?$"
+_ISO = _DATE + _CLOCK + _ZONE
 
 
 def parse_instant(text: Column) -> Column:
-    """ISO-8601 text to an instant; no offset means UTC; unparsable means null."""
+    """ISO-8601 text to an instant; no offset means UTC; unparsable means null.
+
+    Extended and basic forms, with or without seconds, fractions cut to microseconds, offsets with
+    or without minutes, and the zone names Z, UTC and GMT. Other texts are tried as they stand.
+    """
     text = F.trim(text)
-    with_zone = (
-        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(_OFFSET_SUFFIX), text)
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
-    return F.try_to_timestamp(with_zone)
+    part = lambda i: F.regexp_extract(text, _ISO, i)
+    or_zero = lambda c: F.when(c == "", F.lit("00")).otherwise(c)
+    fraction = F.rpad(F.substring(part(7), 1, 6), 6, "0")
+    zone = F.when(part(9) == "", F.lit("+00:00")).otherwise(F.concat(part(9), part(10), F.lit(":"), or_zero(part(11))))
+    spelled = F.concat(
+        part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit("T"), or_zero(part(4)), F.lit(":"),
+        or_zero(part(5)), F.lit(":"), or_zero(part(6)), F.lit("."), fraction, zone,
+    )
+    # The usual spellings cost one match each; only others are taken apart.
+    usual = F.when(text.rlike(_USUAL + _OFFSET), text).when(text.rlike(_USUAL + "$"), F.concat(text, F.lit("Z")))
+    return F.try_to_timestamp(usual.when(text.rlike(_ISO), spelled).otherwise(text))
 
 
 def instant_of(col: Column, dtype: T.DataType) -> Column:

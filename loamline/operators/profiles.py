@@ -103,10 +103,10 @@ def medians_of(df: DataFrame, key: str, value: str, hist: DataFrame) -> DataFram
         "rank", F.explode(middle)
     )
     by = [key, "rank"]
-    # At most two rows per key, made from the staged histogram of known size.
-    target = _holding(counts, by, "bin", F.col("rank"))
+    # At most two rows per key. Written, so that the join below knows their size and does not
+    # shuffle the data on a key that may be hot.
+    target = stage(_holding(counts, by, "bin", F.col("rank")), "median-bin")
     if (hist.agg(F.max("c")).first()[0] or 0) > DIRECT_VALUES:
-        target = stage(target, "median-bin")
         # The ends of a bin fall into different cells, so every round makes it smaller.
         while _widest(target) > DIRECT_VALUES:
             target = _refined(df, key, value, target)

@@ -190,11 +190,29 @@ def _bounded(calendar: DataFrame) -> DataFrame:
     return calendar.where(F.col("first_hour").isNotNull())
 
 
+# Days a row of an expansion holds at most: longer spans become several rows before they are opened.
+_DAYS_AT_ONCE = 24
+
+
+def _each_hour(df: DataFrame, low: str, high: str) -> DataFrame:
+    """(sensor, type, hour_no) of every hour from ``low`` to ``high``.
+
+    A span is opened step by step — into stretches, days and hours — so that no array grows with
+    it: arrays hold at most the stretches of a span, 24 days and 24 hours.
+    """
+    for hours in (24 * _DAYS_AT_ONCE**3, 24 * _DAYS_AT_ONCE**2, 24 * _DAYS_AT_ONCE, 24, 1):
+        steps = F.sequence(F.col("_low"), F.col("_high"), F.lit(hours).cast("bigint"))
+        start = df.select(*SERIES, F.col(low).alias("_low"), F.col(high).alias("_high"))
+        opened = start.select(*SERIES, "_high", F.explode(steps).alias("_from"))
+        df = opened.select(
+            *SERIES, F.col("_from").alias(low), F.least("_high", F.col("_from") + hours - 1).alias(high)
+        )
+    return df.select(*SERIES, F.col(low).alias("hour_no"))
+
+
 def expected_hours(hours: DataFrame) -> DataFrame:
     """(sensor, type, hour_no): every hour of each series' calendar."""
-    return _bounded(series_calendar(hours)).select(
-        *SERIES, F.explode(F.sequence("first_hour", "last_hour")).alias("hour_no")
-    )
+    return _each_hour(_bounded(series_calendar(hours)), "first_hour", "last_hour")
 
 
 def missing_by_anti_join(hours: DataFrame) -> DataFrame:
@@ -227,12 +245,21 @@ def gap_spans(hours: DataFrame) -> DataFrame:
 
 def gap_hours(hours: DataFrame) -> DataFrame:
     """(sensor, type, missing_hour): one row per missing hour."""
-    each = F.explode(F.sequence("from_hour", "to_hour"))
-    return gap_spans(hours).select(*SERIES, each.alias("hour_no")).select(
+    return _each_hour(gap_spans(hours), "from_hour", "to_hour").select(
         *SERIES, fx.hour_start(F.col("hour_no")).alias("missing_hour")
     )
 
 
+def gap_span_report(hours: DataFrame) -> DataFrame:
+    """(sensor, type, from_hour, to_hour, missing_hours_count) as wall times: one row per gap."""
+    return gap_spans(hours).select(
+        *SERIES,
+        fx.hour_start(F.col("from_hour")).alias("from_hour"),
+        fx.hour_start(F.col("to_hour")).alias("to_hour"),
+        (F.col("to_hour") - F.col("from_hour") + 1).alias("missing_hours_count"),
+    )
+
+
 def gap_counts(calendar: DataFrame) -> DataFrame:
     """(sensor, type, start_date, end_date, missing_hours_count), by counting alone."""
     date_of = lambda h: F.to_date(fx.hour_start(F.col(h)))
@@ -249,7 +276,8 @@ def gap_counts(calendar: DataFrame) -> DataFrame:
 def gap_report(hours: DataFrame) -> DataFrame:
     """Gap counts plus the sorted list of missing hours of each (sensor, type).
 
-    The list is part of the report's contract; it holds calendar hours, not readings.
+    The list holds every missing hour of a series in one row: a stray time far away makes it long.
+    Use it for calendars of known length; reports take :func:`gap_span_report` unless asked.
     """
     starts = lambda a, b: F.sequence(
         fx.hour_start(a), fx.hour_start(b), F.make_dt_interval(hours=F.lit(1))
@@ -381,6 +409,7 @@ def validate(
 
 def report_rows(q: Quality) -> DataFrame:
     """Long (metric, value, category) form of a validation."""
+    # Metric and category texts of the report.
     row = lambda df, metric, value, category: df.select(
         metric.alias("metric"), value.cast("string").alias("value"), F.lit(category).alias("category")
     )

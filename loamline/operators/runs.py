@@ -299,16 +299,23 @@ def retention(runs: DataFrame, as_of: datetime, days: int = 30) -> Retention:
 def log_stats(df: DataFrame, stdout: str = "stdout") -> DataFrame:
     """Add ``records_processed`` and ``records_failed`` from captured output.
 
-    The last line that starts with ``{`` and ends with ``}`` counts; if that is not valid JSON
-    both stay null.
+    The last line that starts with ``{`` and ends with ``}`` counts. Unless it is one valid JSON
+    object, with nothing after it, and its two fields are whole numbers where they occur, both stay
+    null.
     """
-    lines = F.split(F.regexp_replace(F.col(stdout), r"^\s+|\s+$", ""), "\n")
-    candidates = F.filter(lines, lambda s: s.startswith("{") & s.endswith("}"))
-    last = F.try_element_at(candidates, F.lit(-1))
-    parsed = F.from_json(last, "records_processed bigint, records_failed bigint")
-    return df.withColumns(
-        {
-            "records_processed": parsed["records_processed"],
-            "records_failed": parsed["records_failed"],
-        }
-    )
+    last = F.regexp_extract(F.col(stdout), _LAST_OBJECT_LINE, 1)
+    # In brackets, text after the object is a syntax error and a second object another element.
+    tree = F.try_parse_json(F.when(last != "", F.concat(F.lit("["), last, F.lit("]"))))
+    number = lambda c: F.try_variant_get(tree, f"$[0].{c}", "bigint")
+    shown = lambda c: F.try_variant_get(tree, f"$[0].{c}", "string")
+    fields = ("records_processed", "records_failed")
+    fits = F.try_variant_get(tree, "$[1]", "string").isNull()
+    for c in fields:
+        # A quoted number is a text, not a number.
+        quoted = last.rlike(f'"{c}"\\s*:\\s*"')
+        fits = fits & (shown(c).isNull() | (shown(c).rlike(r"^-?\d+$") & ~quoted))
+    return df.withColumns({c: F.when(fits, number(c)) for c in fields})
+
+
+# The last line of a trimmed text that begins with { and ends with }: greedy, so one match finds it.
+_LAST_OBJECT_LINE = r"(?s)^\s*(?:.*\n)?(\{[^\n]*\})(?:\s*$|\n(?!.*(?:^|\n)\{[^\n]*\}(?:\n|\s*$)))"

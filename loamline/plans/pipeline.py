@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from loamline.config import PipelineConfig
 from loamline.operators.quality import Quality, validate
 from loamline.plans.transform import Transformed, transform, transform_stats
-from loamline.session import size_shuffles
+from loamline.rows import local_frame
+from loamline.session import sized_shuffles
 from loamline.sinks import parquet as sink
 from loamline.sinks.reports import write_report
 from loamline.sources import files
@@ -48,10 +49,14 @@ def run_pipeline(
     validate_output: bool = True,
     report_path: str | None = None,
     partition_by: tuple[str, ...] | None = None,
+    narrowed: bool = False,
 ) -> PipelineResult:
     """One batch. Ingest, transform and load failures abort; a failed validation does not.
 
-    Loading replaces the partitions this batch touches and keeps the others of the table.
+    The table at ``output_path`` holds one ``batch=<start>_<end>`` folder per window. A run replaces
+    the folder of its own window and no other, so adjacent windows keep all their rows and a run
+    that is repeated changes nothing. Windows that overlap without being equal are refused: their
+    common files would be stored twice. ``output`` is this batch; ``sink.read_back`` reads the table.
 
     The enriched rows are written once, as the result; counters and validation then read the
     columns they need from that written table, so nothing is computed twice. The frames of the
@@ -59,7 +64,7 @@ def run_pipeline(
     """
     with Scope(spark) as scope:
         return _run(
-            scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by
+            scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by, narrowed
         )
 
 
@@ -73,23 +78,50 @@ def _run(
     validate_output: bool,
     report_path: str | None,
     partition_by: tuple[str, ...] | None,
+    narrowed: bool,
 ) -> PipelineResult:
     spark = scope.spark
+    batch = batch_name(start, end)
+    _refuse_overlap(spark, output_path, batch)
     checked = files.check_window(spark, raw_path, start, end)
-    size_shuffles(spark, checked.agg(F.sum("length")).first()[0] or 0)
+    size = checked.agg(F.sum("length")).first()[0] or 0
+    with sized_shuffles(spark, size):
+        return _stages(
+            scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by, narrowed,
+            batch, checked,
+        )
+
+
+FIRST, LAST = "first", "last"
+
+
+def batch_name(start: str | None, end: str | None) -> str:
+    return f"{start or FIRST}_{end or LAST}"
+
+
+def _refuse_overlap(spark: SparkSession, output_path: str, batch: str) -> None:
+    """Raises if the table has another batch with days in common. One row per batch passes."""
+    bounds = lambda name: [
+        {FIRST: "0000-01-01", LAST: "9999-12-31"}.get(day, day) for day in name.split("_")
+    ]
+    low, high = bounds(batch)
+    for other in sink.stored_batches(spark, output_path):
+        first, last = bounds(other)
+        if other != batch and first <= high and low <= last:
+            raise ValueError(f"batch {batch} overlaps {other} in {output_path}; load equal or disjoint windows")
+
+
+def _stages(
+    scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by, narrowed, batch, checked
+) -> PipelineResult:
+    spark = scope.spark
     taken = files.ingest(spark, raw_path, start, end, checked)
     if taken.readings is None:
         raise IngestError(f"no readable file in {raw_path}")
     done = transform(taken.readings, cfg)
     keys = sink.partition_keys(done.frame, cfg, partition_by)
-    grows = sink.read_or_none(lambda: spark.read.schema(done.frame.schema).parquet(output_path))
-    sink.load(done.frame, output_path, cfg, keys)
-    output = sink.read_back(spark, output_path, done.frame.schema)
-    written = None
-    if keys and grows is not None:
-        # The table holds other batches as well: look at this batch's partitions only.
-        written = stage(done.frame.select(*keys).distinct(), "written-partitions")
-        output = output.join(written, list(keys), "left_semi")
+    written = sink.load(done.frame, output_path, cfg, keys, batch=batch, narrowed=narrowed)
+    output = sink.read_back(spark, written, done.frame.schema, narrowed)
 
     quality, problem, report = None, None, None
     if validate_output:
@@ -102,13 +134,10 @@ def _run(
 
     counters = transform_stats(done, output)
     loaded = sink.load_stats(
-        spark,
-        output_path,
-        len(output.columns),
-        output.agg(F.count(F.lit(1)).alias("records_loaded")),
-        written,
+        spark, written, len(output.columns), output.agg(F.count(F.lit(1)).alias("records_loaded"))
     )
-    metrics = stage(pipeline_metrics(files.ingest_summary(taken.stats), counters, quality, loaded), "metrics")
+    summary = files.ingest_summary(taken.stats)
+    metrics = stage(pipeline_metrics(summary, counters, quality, loaded, problem), "metrics")
     return PipelineResult(output_path, output, taken, done, quality, problem, report, metrics, scope)
 
 
@@ -120,9 +149,17 @@ def _long(df: DataFrame, stage_name: str, columns: list[str]) -> DataFrame:
 
 
 def pipeline_metrics(
-    ingested: DataFrame, counters: DataFrame, quality: Quality | None, loaded: DataFrame | None
+    ingested: DataFrame,
+    counters: DataFrame,
+    quality: Quality | None,
+    loaded: DataFrame | None,
+    problem: str | None = None,
 ) -> DataFrame:
-    """(stage, metric, value) of a run; every input is a one-row frame."""
+    """(stage, metric, value, status, error) of a run; every input is a one-row frame.
+
+    Every stage has a row ``completed``: 1 with status ``success``, or 0 with status ``failed`` and
+    the error. A validation that was not asked for has none.
+    """
     numbers = lambda df: [
         f.name for f in df.schema.fields if f.dataType.typeName() in ("long", "integer", "double")
     ]
@@ -134,4 +171,11 @@ def pipeline_metrics(
         out = out.unionByName(_long(quality.totals, "validate", ["total_records"]))
     if loaded is not None:
         out = out.unionByName(_long(loaded, "load", numbers(loaded)))
-    return out
+    ended = [("ingest", None), ("transform", None)]
+    if quality is not None or problem is not None:
+        ended.append(("validate", problem))
+    if loaded is not None:
+        ended.append(("load", None))
+    rows = [(s, "completed", float(e is None), "failed" if e else "success", e) for s, e in ended]
+    ddl = "stage string, metric string, value double, status string, error string"
+    return out.unionByName(local_frame(ingested.sparkSession, rows, ddl), allowMissingColumns=True)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamline import functions as fx
 from loamline.config import PipelineConfig
 from loamline.operators import cleaning, outliers, series
 from loamline.rows import one_row
@@ -72,13 +73,24 @@ def transform(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Transfo
     return Transformed(final.select(*columns), raw, distinct, cfg)
 
 
+def unparsable_time(raw: DataFrame) -> Column:
+    """Rows whose stored time is there but is no time; they are dropped with the incomplete ones."""
+    if SPELLING in raw.columns:
+        return F.col(SPELLING).isNotNull() & F.col("timestamp").isNull()
+    stored = F.col("timestamp")
+    return stored.isNotNull() & fx.instant_of(stored, raw.schema["timestamp"].dataType).isNull()
+
+
 def transform_stats(done: Transformed, enriched: DataFrame | None = None) -> DataFrame:
     """One row of counters. Pass the written result as ``enriched`` to read it from there.
 
     Plain aggregates rather than accumulators, so a re-run task cannot be counted twice.
     """
     frame = done.frame if enriched is None else enriched
-    original = done.raw.agg(F.count(F.lit(1)).alias("original_records"))
+    original = done.raw.agg(
+        F.count(F.lit(1)).alias("original_records"),
+        F.coalesce(F.count_if(unparsable_time(done.raw)), F.lit(0)).alias("unparsable_times"),
+    )
     distinct = done.distinct.agg(
         F.count(F.lit(1)).alias("distinct_records"),
         F.count_if(F.col("battery_level").isNull()).alias("missing_values_filled"),
@@ -98,8 +110,10 @@ def transform_stats(done: Transformed, enriched: DataFrame | None = None) -> Dat
         F.col("records_after_cleaning").alias("records_after_outlier_removal"),
         "records_final",
         (F.col("original_records") - F.col("distinct_records")).alias("duplicates_removed"),
+        "unparsable_times",
         "missing_values_filled",
         "outliers_detected",
         "anomalous_readings",
+        F.lit("success").alias("status"),
         F.array(*[F.lit(c) for c in derived]).alias("derived_fields_added"),
     )

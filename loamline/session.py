@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -18,10 +19,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Partition values such as sensor "001" must come back as written.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Nanosecond timestamps, which Spark has no type for, are read as whole numbers and scaled.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Set this package's runtime settings in the caller's session, for good, and ship the package."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     ship_package(spark)
@@ -45,22 +49,41 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-# Bytes one shuffle partition should hold, and how much stored readings grow when decoded.
-PARTITION_BYTES = 128 * 1024 * 1024
-DECODED_GROWTH = 4
+# Bytes a shuffle partition should hold while there are few, and where there are many: with more
+# reducers than this the status of every map task outgrows the driver, so partitions grow instead
+# (they spill) up to MANY_BYTES, and beyond MAX_PARTITIONS without limit.
+FEW_BYTES = 128 * 1024 * 1024
+MANY_BYTES = 1024 * 1024 * 1024
+FEW_PARTITIONS = 2_000
+MAX_PARTITIONS = 20_000
+# Five narrow columns: the shuffled rows are about twice their stored size.
+SHUFFLED_GROWTH = 2
 
 
-def size_shuffles(spark: SparkSession, stored_bytes: int) -> int:
-    """Raise the shuffle partition count to what this much stored input needs.
+def shuffle_partitions(stored_bytes: int) -> int:
+    """How many partitions the shuffles over this much stored input should have."""
+    shuffled = stored_bytes * SHUFFLED_GROWTH
+    few = -(-shuffled // FEW_BYTES)
+    if few <= FEW_PARTITIONS:
+        return max(1, few)
+    return min(MAX_PARTITIONS, max(FEW_PARTITIONS, -(-shuffled // MANY_BYTES)))
 
-    The count is only ever raised: adaptive execution merges partitions that turn out small,
-    but cannot split one that no skew rule applies to. Returns the count in force.
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, stored_bytes: int):
+    """Within the block, shuffles have at least ``shuffle_partitions``; afterwards the setting is as before.
+
+    The count is only ever raised: adaptive execution merges partitions that turn out small, but
+    cannot split one that no skew rule applies to. Plans made inside keep the count if they run
+    inside.
     """
-    wanted = -(-stored_bytes * DECODED_GROWTH // PARTITION_BYTES)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(shuffle_partitions(stored_bytes), int(before))))
+    try:
+        yield int(spark.conf.get(key))
+    finally:
+        spark.conf.set(key, before)
 
 
 def local_session(cpus: int | None = None, memory: str = "8g") -> SparkSession:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from math import sqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,11 +26,12 @@ def write_single(df: DataFrame, path: str, compression: str = "snappy", one_file
 
 
 def write_partitioned(
-    df: DataFrame, path: str, keys: tuple[str, ...], compression: str = "snappy"
+    df: DataFrame, path: str, keys: tuple[str, ...], compression: str = "snappy", whole: bool = False
 ) -> None:
     """Hive layout, one folder per key tuple; null keys go to the default partition.
 
-    Partitions that occur in ``df`` are replaced; others that the table already has stay.
+    Partitions that occur in ``df`` are replaced; others that the table already has stay, unless
+    the ``whole`` folder is to be replaced.
     REBALANCE gathers each partition's rows so it gets few files, and lets adaptive execution
     split a partition that is far larger than the rest over several tasks.
     """
@@ -39,7 +42,7 @@ def write_partitioned(
         gathered.sortWithinPartitions(*clustering)
         .write.mode("overwrite")
         .option("compression", compression)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
@@ -59,33 +62,95 @@ def load(
     cfg: PipelineConfig,
     partition_by: tuple[str, ...] | None = None,
     compression: str | None = None,
-) -> None:
-    """Partitioned when every key column is there, else a plain write."""
+    batch: str | None = None,
+    narrowed: bool = False,
+) -> str:
+    """Partitioned when every key column is there, else a plain write. Returns the folder written.
+
+    With a ``batch`` the rows go below ``batch=<name>`` of the table, and the load replaces exactly
+    what an earlier load of that batch wrote there: batches never touch each other's rows, even
+    where they share a partition value. With ``narrowed`` columns are stored as narrow as the batch
+    allows (see :func:`narrow_plan`); double → float loses digits.
+    """
     keys = partition_keys(df, cfg, partition_by)
     codec = compression or cfg.compression
-    if keys:
+    if narrowed:
+        df = narrow(df, narrow_plan(df))
+    if batch is not None:
+        path = batch_folder(path, batch)
+        if keys:
+            write_partitioned(df, path, keys, codec, whole=True)
+        else:
+            write_single(df, path, codec)
+    elif keys:
         write_partitioned(df, path, keys, codec)
     else:
         write_single(df, path, codec)
+    return path
+
+
+def batch_folder(path: str, batch: str) -> str:
+    return f"{path.rstrip('/')}/{BATCH}={batch}"
+
 
+BATCH = "batch"
 
-def read_back(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+
+def read_back(spark: SparkSession, path: str, schema: T.StructType, narrowed: bool = False) -> DataFrame:
     """A written table with its original column types, partition columns included.
 
-    A path to which only empty frames were written reads as an empty frame.
+    A path to which only empty frames were written reads as an empty frame. A ``narrowed`` table is
+    read with its stored types and widened.
     """
-    found = read_or_none(lambda: spark.read.schema(schema).parquet(path))
+    reader = spark.read if narrowed else spark.read.schema(schema)
+    found = read_or_none(lambda: reader.parquet(path))
     if found is None:
         found = spark.createDataFrame([], schema)
-    return found.select(*schema.fieldNames())
+    return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def stored_batches(spark: SparkSession, path: str) -> list[str]:
+    """The names of a table's batches, from its folder listing."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder) if status.isDirectory()]
+    return sorted(n.removeprefix(f"{BATCH}=") for n in names if n.startswith(f"{BATCH}="))
+
 
+@dataclass(frozen=True)
+class Loaded:
+    """One frame of several: where it went, or why it did not."""
 
-def load_batches(frames: list[DataFrame], base: str, cfg: PipelineConfig, **options) -> list[str]:
-    """Each frame to ``<base>_part_NNN.parquet``; returns the paths."""
-    paths = [f"{base}_part_{i:03d}.parquet" for i in range(len(frames))]
-    for frame, path in zip(frames, paths):
-        load(frame, path, cfg, **options)
-    return paths
+    path: str
+    error: str | None
+
+    @property
+    def success(self) -> bool:
+        return self.error is None
+
+
+def load_batches(
+    frames: list[DataFrame], base: str, cfg: PipelineConfig, at_once: int = 4, **options
+) -> list[Loaded]:
+    """Each frame to ``<base>_part_NNN.parquet``, ``at_once`` of them at a time.
+
+    A frame that fails leaves the others alone; its error is in its row of the result.
+    """
+    def one(numbered: tuple[int, DataFrame]) -> Loaded:
+        number, frame = numbered
+        path = f"{base}_part_{number:03d}.parquet"
+        try:
+            load(frame, path, cfg, **options)
+        except Exception as e:  # the caller sees every outcome
+            return Loaded(path, f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}")
+        return Loaded(path, None)
+
+    if not frames:
+        return []
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return list(pool.map(one, enumerate(frames)))
 
 
 # --- what was written ----------------------------------------------------------
@@ -156,26 +221,39 @@ def load_stats(
     )
 
 
-def batch_totals(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row over several loads: tables, records, megabytes, mean of the positive ratios."""
+def batch_totals(spark: SparkSession, loaded: list[Loaded]) -> DataFrame:
+    """One row over several loads: tables, records, megabytes, mean of the positive ratios, and how
+    many loads succeeded and failed. Failed loads count nowhere else."""
     per_batch = None
-    for path in paths:
+    for path in [b.path for b in loaded if b.success]:
         df = spark.read.parquet(path)
         one = load_stats(
             spark, path, len(df.columns), df.agg(F.count(F.lit(1)).alias("records_loaded"))
         )
         per_batch = one if per_batch is None else per_batch.unionByName(one)
+    failed = sum(not b.success for b in loaded)
     if per_batch is None:
-        raise ValueError("no batches")
+        ddl = (
+            "total_files bigint, total_records bigint, total_size_mb double, "
+            "average_compression_ratio double, successful_batches bigint, failed_batches bigint"
+        )
+        return local_frame(spark, [(0, 0, 0.0, 0.0, 0, failed)], ddl)
     ratio = F.col("compression_ratio")
     return per_batch.agg(
         F.count(F.lit(1)).alias("total_files"),
         F.sum("records_loaded").alias("total_records"),
         F.sum("file_size_mb").alias("total_size_mb"),
         F.coalesce(F.avg(F.when(ratio > 0, ratio)), F.lit(0.0)).alias("average_compression_ratio"),
+        F.count(F.lit(1)).alias("successful_batches"),
+        F.lit(failed).cast("bigint").alias("failed_batches"),
     )
 
 
+def batch_errors(spark: SparkSession, loaded: list[Loaded]) -> DataFrame:
+    """(output_path, error) of the loads that failed."""
+    return local_frame(spark, [(b.path, b.error) for b in loaded if not b.success], "output_path string, error string")
+
+
 def storage_summary(spark: SparkSession, path: str) -> DataFrame:
     """One row: files, megabytes, records and last modification below a path.
 
@@ -219,7 +297,9 @@ def narrow_plan(df: DataFrame) -> DataFrame:
     """(column, from_type, to_type) for the columns that can be stored narrower.
 
     One pass over the data. Distinct counts of text columns are sketched first; only when a
-    sketch is too close to the one-half limit to decide is that column counted exactly.
+    sketch is within ten standard errors of the one-half limit is that column counted exactly. So
+    the choice for a text column is approximate: it errs with the (negligible) probability that a
+    sketch is off by more. It never changes values.
     """
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema.fields):

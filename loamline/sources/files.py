@@ -6,8 +6,10 @@ part files a Spark writer leaves under that name.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -23,6 +25,7 @@ from loamline.sources.readings import (
     stored_present,
     union_readings,
 )
+from loamline.session import ship_package
 from loamline.staging import stage
 
 LISTING_SCHEMA = "path string, length bigint, modificationTime timestamp"
@@ -92,14 +95,25 @@ def read_window(
     """Readings of the files in the window.
 
     The predicate is on file metadata, so excluded files are pruned at listing
-    time and never opened.
+    time and never opened. Without a ``schema`` it comes from the footer of the
+    window's first readable file, never from a file outside of the window.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(f"{directory.rstrip('/')}/*.parquet")
+    if schema is None:
+        schema = window_schema(spark, directory, start, end)
+    df = spark.read.schema(schema).parquet(f"{directory.rstrip('/')}/*.parquet")
     inside = in_date_window(F.col("_metadata.file_path"), start, end)
     return df if inside is None else df.where(inside)
 
 
+def window_schema(spark: SparkSession, directory: str, start: str | None, end: str | None) -> str:
+    """DDL of the first file, by path, of the window whose footer can be read."""
+    checked = schema_check(files_in_window(spark, directory, start, end)).where("actual IS NOT NULL")
+    first = checked.agg(F.min_by("actual", "path").alias("actual")).first()
+    if first is None or first.actual is None:
+        raise ValueError(f"no readable file of the window in {directory}")
+    return ", ".join(f"`{name}` {spark_type(kind) or 'string'}" for name, kind in first.actual.items())
+
+
 def partition_values(path: Column) -> Column:
     """``col=value`` segments of a path as a map; a repeated column keeps the last."""
     segments = F.filter(F.split(path, "/"), lambda s: s.contains("="))
@@ -122,25 +136,60 @@ _FOOTER_SCHEMA = (
 )
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Parquet footers of the listed files; runs on executors, reads no data pages."""
+# Schemes that the footer reader's file systems know under another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs", "wasb": "abfs", "dbfs": "file"}
+
+
+def footer_location(path: str) -> str:
+    """A listed path as the footer reader's file systems spell it.
+
+    ``dbfs:`` paths are read through the mount every node of such a cluster has at /dbfs.
+    """
     from urllib.parse import quote
 
-    import pyarrow.parquet as pq
+    scheme, colon, rest = path.partition(":")
+    if not colon:
+        return "file://" + quote(path)
+    if scheme == "file":
+        return "file:///" + quote(rest.lstrip("/"))
+    if scheme == "dbfs":
+        return "file:///dbfs/" + quote(rest.lstrip("/"))
+    return f"{_SCHEMES.get(scheme, scheme)}:{quote(rest, safe=':/@')}"
+
+
+def footer_system(path: str):
+    """(file system, path in it); raises for a store that footers cannot be read from here.
+
+    That is a fault of the installation, not of the file, so it must not condemn files.
+    """
     from pyarrow import fs
 
+    try:
+        return fs.FileSystem.from_uri(footer_location(path))
+    except Exception as e:
+        raise RuntimeError(f"footers cannot be read from {path.split(':')[0]}: stores here: {e}") from e
+
+
+INT96 = "timestamp[int96]"
+
+
+def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Parquet footers of the listed files; runs on executors, reads no data pages."""
+    import pyarrow.parquet as pq
+
     for batch in batches:
         out = []
         for path, length in zip(batch["path"], batch["length"]):
             row = {"path": path, "length": length, "actual": None, "num_rows": None, "error": None}
+            system, inner = footer_system(path)
             try:
-                if path.startswith("file:"):
-                    system, inner = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-                else:
-                    system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
                 with system.open_input_file(inner) as handle:
                     meta = pq.ParquetFile(handle)
-                    row["actual"] = {f.name: str(f.type) for f in meta.schema_arrow}
+                    stored = meta.metadata.schema
+                    columns = [stored.column(i) for i in range(len(stored))]
+                    # The old 96-bit form of instants is not the 64-bit form of nanoseconds.
+                    old = {c.path for c in columns if c.physical_type == "INT96"}
+                    row["actual"] = {f.name: INT96 if f.name in old else str(f.type) for f in meta.schema_arrow}
                     row["num_rows"] = meta.metadata.num_rows
             except Exception as e:  # any unreadable file is a finding, not a failure
                 row["error"] = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
@@ -148,9 +197,33 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["path", "length", "actual", "num_rows", "error"])
 
 
+# How the footer reader spells a stored type, and the type the scan reads it as.
+_READ_AS = {
+    "string": "string", "large_string": "string", "bool": "boolean", "double": "double", "float": "float",
+    "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "date32[day]": "date",
+    "uint8": "smallint", "uint16": "int", "uint32": "bigint", "binary": "binary", "large_binary": "binary",
+}
+NANOS = "bigint"  # nanoseconds are read as whole numbers and scaled
+
+
+def spark_type(stored: str) -> str | None:
+    """The type to read a stored column as; None when the scan cannot read it."""
+    stored = re.sub(r"^dictionary<values=([^,]+),.*>$", r"\1", stored)
+    if stored == INT96:
+        return "timestamp"
+    if stored.startswith("timestamp[ns"):
+        return NANOS
+    if stored.startswith("timestamp[us") or stored.startswith("timestamp[ms"):
+        return "timestamp" if "tz=" in stored else "timestamp_ntz"
+    if re.fullmatch(r"decimal128\(\d+, \d+\)", stored):
+        return stored.replace("decimal128", "decimal")
+    return _READ_AS.get(stored)
+
+
 def schema_check(listing: DataFrame) -> DataFrame:
     """(path, length, actual, missing, num_rows, is_valid, error), one row per listed file."""
     spark = listing.sparkSession
+    ship_package(spark)
     # Footer reads are latency-bound: spread the paths over all slots.
     slots = spark.sparkContext.defaultParallelism * 4
     footers = (
@@ -233,43 +306,70 @@ def scan_checked(
 ) -> DataFrame | None:
     """Normalised readings of the valid files, with ``file`` and ``present`` columns.
 
-    Days may store the same column under different physical types (text or timestamp), so
-    valid files are scanned once per type signature. With one signature and nothing in
-    quarantine — the usual case — that is a single glob scan; otherwise the paths are named,
-    which hands the driver no more than the file index already holds there.
+    Days may store the same column under different physical types, so valid files are scanned
+    once per type signature, each time with an explicit schema and a predicate on file metadata:
+    files outside of the window, in quarantine or of another signature are pruned at listing time.
+    What passes the driver is one row per day and signature, and paths only of days whose files
+    disagree.
     """
-    good = checked.where("is_valid").withColumn(
-        "signature",
-        F.concat_ws(",", *[F.try_element_at("actual", F.lit(c)) for c in READING_COLUMNS]),
-    )
+    good = checked.where("is_valid").withColumn("signature", _signature())
     signatures = [r.signature for r in good.select("signature").distinct().collect()]
-    if not signatures:
-        return None
-    clean = len(signatures) == 1 and checked.where(~F.col("is_valid")).isEmpty()
     frames = []
-    for signature in signatures:
-        if clean:
-            raw = spark.read.parquet(f"{directory.rstrip('/')}/*.parquet")
-            inside = in_date_window(F.col("_metadata.file_path"), start, end)
-            raw = raw if inside is None else raw.where(inside)
-        else:
-            paths = [r.path for r in good.where(F.col("signature") == signature).select("path").collect()]
-            raw = spark.read.parquet(*[_glob_escape(p) for p in paths])
-        # Presence is judged on the stored columns, before any conversion.
-        kept = keep_spelling(
-            raw.select(
-                *READING_COLUMNS,
-                _metadata_file().alias("file"),
-                stored_present(raw).alias("present"),
-            )
+    for signature in sorted(signatures):
+        schema = ", ".join(
+            f"`{c}` {spark_type(kind)}" for c, kind in zip(READING_COLUMNS, signature.split(_BETWEEN))
         )
+        raw = spark.read.schema(schema).parquet(f"{directory.rstrip('/')}/*.parquet")
+        raw = raw.where(_files_of(checked.withColumn("signature", _signature()), signature))
+        # Presence is judged on the stored columns, before any conversion.
+        present = stored_present(raw)
+        if signature.split(_BETWEEN)[READING_COLUMNS.index("timestamp")].startswith("timestamp[ns"):
+            raw_time = F.timestamp_micros(F.call_function("div", F.col("timestamp"), F.lit(1000)))
+        else:
+            raw_time = F.col("timestamp")
+        stored = [raw_time.alias(c) if c == "timestamp" else F.col(c) for c in READING_COLUMNS]
+        kept = keep_spelling(raw.select(*stored, _metadata_file().alias("file"), present.alias("present")))
         frames.append(normalise(kept, keep=tuple(c for c in kept.columns if c not in READING_COLUMNS)))
-    return union_readings(frames)
+    return union_readings(frames) if frames else None
+
 
+_BETWEEN = "\u001f"
 
-def _glob_escape(path: str) -> str:
-    """Make a listed path literal: the reader would expand these characters."""
-    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
+
+def _signature() -> Column:
+    """The stored types of the reading columns as one text; null for a file that is not valid."""
+    kinds = F.concat_ws(_BETWEEN, *[F.try_element_at("actual", F.lit(c)) for c in READING_COLUMNS])
+    return F.when(F.col("is_valid"), kinds)
+
+
+def _files_of(checked: DataFrame, signature: str) -> Column:
+    """A predicate on file metadata that selects the checked files of one signature.
+
+    Days all of whose files have the signature are selected as date ranges between the days that
+    other checked files have; the files of other days by their paths.
+    """
+    mine = F.col("signature").eqNullSafe(F.lit(signature))
+    day = day_of_path(F.col("path"))
+    days = sorted(
+        (str(r.day), r.mine == r.n, r.mine > 0)
+        for r in checked.where(day.isNotNull())
+        .groupBy(day.alias("day"))
+        .agg(F.count_if(mine).alias("mine"), F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    path = F.col("_metadata.file_path")
+    chosen = F.lit(False)
+    for whole, run in groupby(days, key=lambda d: d[1]):
+        run = list(run)
+        if whole:
+            found = day_of_path(path)
+            chosen = chosen | ((found >= F.to_date(F.lit(run[0][0]))) & (found <= F.to_date(F.lit(run[-1][0]))))
+    mixed = [d for d, whole, some in days if some and not whole]
+    odd = checked.where(mine & (day.isNull() | day.cast("string").isin(*mixed)))
+    paths = [r.path for r in odd.select("path").collect()]
+    if paths:
+        chosen = chosen | _metadata_file().isin(*paths)
+    return chosen
 
 
 @dataclass(frozen=True)
@@ -284,8 +384,25 @@ class Ingest:
 def check_window(
     spark: SparkSession, directory: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    """The staged :func:`schema_check` of the files in the window."""
-    return stage(schema_check(files_in_window(spark, directory, start, end)), "schema-check")
+    """The staged :func:`schema_check` of the files in the window.
+
+    A valid footer with a column type that the scan cannot read puts the file in quarantine too.
+    """
+    checked = stage(schema_check(files_in_window(spark, directory, start, end)), "schema-check")
+    kinds = F.explode(F.map_entries(F.map_filter("actual", lambda k, v: k.isin(*READING_COLUMNS))))
+    stored = checked.where("is_valid").select(kinds.alias("e")).select("e.value").distinct().collect()
+    unreadable = sorted(r.value for r in stored if spark_type(r.value) is None)
+    if not unreadable:
+        return checked
+    wrong = F.map_filter("actual", lambda k, v: k.isin(*READING_COLUMNS) & v.isin(*unreadable))
+    said = F.transform(F.map_entries(wrong), lambda e: F.concat(e["key"], F.lit(" "), e["value"]))
+    problem = F.when(
+        F.col("is_valid") & (F.cardinality(wrong) > 0),
+        F.concat(F.lit("unreadable types "), F.array_join(F.array_sort(said), ", ")),
+    )
+    return checked.withColumn("error", F.coalesce("error", problem)).withColumn(
+        "is_valid", F.col("is_valid") & problem.isNull()
+    )
 
 
 def ingest(

@@ -11,19 +11,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
-_scopes: list["Scope"] = []
+# The scopes open in this thread or context, outermost first.
+_scopes: ContextVar[tuple["Scope", ...]] = ContextVar("scopes", default=())
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder for staged tables: the cluster's setting, else a local one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if configured:
+        if not sc.master.startswith("local") and _own_disk(spark, configured):
+            raise ValueError(
+                f"spark.checkpoint.dir is {configured}, which each machine reads on its own disk; if it is "
+                "a network mount, set spark.loamline.sharedMount to true"
+            )
         return configured.rstrip("/")
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise ValueError(
             "set spark.checkpoint.dir to a folder every executor can reach; "
@@ -34,11 +41,20 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[sc.applicationId]
 
 
+def _own_disk(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is a local path that nobody declared to be a network mount."""
+    if spark.conf.get("spark.loamline.sharedMount", "false") == "true":
+        return False
+    if "://" not in folder and not folder.startswith("file:"):
+        folder = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return folder.startswith("file:")
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path below the shared folder."""
+    """A fresh, unused path below the shared folder, owned by the scopes open in this context."""
     app = spark.sparkContext.applicationId
     path = f"{shared_root(spark)}/loamline/{app}/{label}-{uuid.uuid4().hex[:12]}"
-    for scope in _scopes:
+    for scope in _scopes.get():
         scope.paths.append(path)
     return path
 
@@ -51,18 +67,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 class Scope:
-    """Collects the tables staged while it is open, so that they can be dropped together."""
+    """Collects the tables staged while it is open, so that they can be dropped together.
+
+    Scopes belong to the context that opened them: runs in other threads have their own. A scope
+    left by an exception drops its tables.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
 
     def __enter__(self) -> "Scope":
-        _scopes.append(self)
+        self._token = _scopes.set((*_scopes.get(), self))
         return self
 
-    def __exit__(self, *_) -> None:
-        _scopes.remove(self)
+    def __exit__(self, kind, *_) -> None:
+        _scopes.reset(self._token)
+        if kind is not None:
+            self.drop()
 
     def drop(self) -> int:
         """Delete the tables; frames that read them become unusable. Returns their number."""

@@ -2,15 +2,19 @@
 
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from loamline import staging
 from loamline.config import PipelineConfig
 from loamline.plans import pipeline
 from loamline.plans.pipeline import IngestError, run_pipeline
+from loamline.sinks import parquet as sink
 
+DAYS = ("2023-06-01", "2023-06-02", "2023-06-03")
 CFG = PipelineConfig(partition_by=("date",))
 
 
@@ -68,9 +72,48 @@ def test_a_second_batch_keeps_the_first(spark, folder):
     assert m["load", "partition_count"] == 3
     whole = spark.read.parquet(out)
     assert whole.count() == 864 + 576
-    # Loading a batch again replaces its partitions.
+    # Loading a batch again replaces it.
     assert run("2023-06-07", "2023-06-08").output.count() == 576
     assert spark.read.parquet(out).count() == 864 + 576
+    with pytest.raises(ValueError, match="overlaps"):
+        run("2023-06-08", "2023-06-09")
+
+
+def test_adjacent_daily_runs_keep_every_row(spark, folder):
+    land(folder, 3)
+    out = f"{folder}-out"
+    runs = [run_pipeline(spark, folder, out, start=d, end=d, validate_output=False) for d in DAYS]
+    assert [r.output.count() for r in runs] == [288, 288, 288]
+    schema = runs[0].transformed.frame.schema
+    rows = sorted(sink.read_back(spark, out, schema).drop("daily_avg_value").collect())
+    assert len(rows) == 864
+    again = run_pipeline(spark, folder, out, start=DAYS[1], end=DAYS[1], validate_output=False)
+    assert sorted(sink.read_back(spark, out, schema).drop("daily_avg_value").collect()) == rows
+    m = {(r.stage, r.metric): r for r in again.metrics.collect()}
+    assert m["load", "records_loaded"].value == 288
+    assert m["load", "completed"].status == "success" and m["load", "completed"].error is None
+
+
+def test_concurrent_runs_do_not_share_tables(spark, folder):
+    land(folder, 2)
+    with ThreadPoolExecutor(2) as pool:
+        go = lambda d: run_pipeline(spark, folder, f"{folder}-{d}", CFG, d, d, validate_output=False)
+        one, two = pool.map(go, DAYS[:2])
+    assert not set(one.staged.paths) & set(two.staged.paths)
+    one.release()
+    assert two.transformed.distinct.count() == 288
+    two.release()
+
+
+def test_a_failing_run_leaves_no_table(spark, folder, monkeypatch):
+    land(folder, 1)
+    paths = []
+    make = staging.new_path
+    monkeypatch.setattr(staging, "new_path", lambda *a: paths.append(make(*a)) or paths[-1])
+    monkeypatch.setattr(pipeline, "transform", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_pipeline(spark, folder, f"{folder}-out", CFG)
+    assert paths and not any(os.path.exists(p.removeprefix("file:")) for p in paths)
 
 
 def test_no_valid_row_at_all(spark, folder):
@@ -104,3 +147,5 @@ def test_failed_validation_does_not_abort(spark, folder, monkeypatch):
     monkeypatch.setattr(pipeline, "validate", broken)
     done = run_pipeline(spark, folder, f"{folder}-out", CFG)
     assert done.quality_error == "RuntimeError: no" and done.output.count() == 288
+    (r,) = [r for r in done.metrics.collect() if r.stage == "validate"]
+    assert (r.metric, r.value, r.status, r.error) == ("completed", 0.0, "failed", "RuntimeError: no")

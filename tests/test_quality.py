@@ -1,6 +1,9 @@
 """Quality sections on hand-made frames."""
 
+from datetime import datetime, timezone
+
 import pytest
+from pyspark.sql import functions as F
 
 from loamline.config import Calibration, PipelineConfig, ValueRange
 from loamline.operators import cleaning, quality
@@ -72,6 +75,18 @@ def test_gaps(spark):
     assert quality.gap_hours(hours).count() == quality.missing_by_anti_join(hours).count() == 22
 
 
+def test_spans_of_a_stray_time_hold_no_long_array(spark):
+    data = [("s", at(0), "t", 1.0, 1.0), ("s", datetime(1970, 1, 1, 0, 30, tzinfo=timezone.utc), "t", 1.0, 1.0)]
+    hours = quality.active_hours(readings(spark, data), CFG)
+    spans = quality.gap_span_report(hours).collect()
+    counted = quality.gap_counts(quality.series_calendar(hours)).first().missing_hours_count
+    assert len(spans) == 3 and sum(s.missing_hours_count for s in spans) == counted > 460_000
+    each = quality.gap_hours(hours).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("missing_hour").alias("d")).first()
+    assert each.n == each.d == counted
+    sections = {r.section for r in report_sections(quality.validate(cleaning.flag_anomalies(readings(spark, data), CFG), CFG)).collect()}
+    assert "data_gap_spans" in sections
+
+
 def test_full_day_has_no_gap(spark):
     local_midnight = -15 * 60 - 30
     data = [("s", at(local_midnight + 60 * h), "t", 1.0, 1.0) for h in range(24)]

@@ -144,10 +144,19 @@ def test_log_stats(spark):
         "nothing",
         None,
         ' \n{"other": 1}\n  ',
+        '{"records_processed": 7, "records_failed": 1} extra }',
+        '{"records_processed": 7}{"records_failed": 1}',
+        '{"records_processed": 7},{"records_failed": 1}',
+        '{"records_processed": "x", "records_failed": 3}',
+        '{"records_processed": 1.5}',
+        '{"records_processed": "4"}',
+        '{"records_processed": 3, "records_failed": 0}\n{open\nclosed}\n}',
     ]
     df = spark.createDataFrame([(s,) for s in logs], "stdout string")
     out = [(r.records_processed, r.records_failed) for r in op.log_stats(df).collect()]
-    assert out == [(5, 1), (2, None), (None, None), (None, None), (None, None), (None, None)]
+    assert out == [(5, 1), (2, None), (None, None), (None, None), (None, None), (None, None)] + [
+        (None, None)
+    ] * 6 + [(3, 0)]
 
 
 # --- scalars ---------------------------------------------------------------------------

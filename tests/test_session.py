@@ -1,22 +1,36 @@
 """Session and staging helpers."""
 
+import threading
+
 import pytest
 
 from loamline.config import PipelineConfig, range_dim
 from loamline.rows import local_frame
-from loamline.session import size_shuffles
-from loamline.staging import Scope, shared_root, stage
+from loamline.session import shuffle_partitions, sized_shuffles
+from loamline.staging import Scope, _own_disk, new_path, shared_root, stage
 
 
-def test_shuffles_are_only_raised(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, 0) == int(before)
-        assert size_shuffles(spark, 10 * 1024**3) == 320
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "320"
-        assert size_shuffles(spark, 1) == 320
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_shuffle_counts_are_bounded():
+    gb = 1024**3
+    assert shuffle_partitions(0) == 1
+    assert shuffle_partitions(gb) == 16
+    assert shuffle_partitions(1024 * gb) == 2_048
+    assert shuffle_partitions(100 * 1024 * gb) == 20_000
+    sizes = [shuffle_partitions(x * gb) for x in range(1, 4_000, 7)]
+    assert sizes == sorted(sizes)
+
+
+def test_shuffles_are_only_raised_and_restored(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with sized_shuffles(spark, 0) as count:
+        assert count == int(before)
+    with sized_shuffles(spark, 10 * 1024**3) as count:
+        assert count == 160 and spark.conf.get(key) == "160"
+    assert spark.conf.get(key) == before
+    with pytest.raises(KeyError), sized_shuffles(spark, 10 * 1024**3):
+        raise KeyError
+    assert spark.conf.get(key) == before
 
 
 def test_dimensions_are_local_relations(spark):
@@ -42,3 +56,38 @@ def test_staging_follows_the_cluster_setting(spark):
         assert shared_root(spark) == configured.rstrip("/")
     else:
         assert "loamline-stage-" in shared_root(spark)
+
+
+def test_scopes_of_threads_are_their_own(spark):
+    seen, ready, go = {}, threading.Barrier(2), threading.Barrier(2)
+
+    def run(name):
+        with Scope(spark) as scope:
+            ready.wait()
+            path = new_path(spark, name)
+            go.wait()
+            seen[name] = (path, list(scope.paths))
+
+    threads = [threading.Thread(target=run, args=(n,)) for n in ("one", "two")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert all(paths == [path] for path, paths in seen.values())
+
+
+def test_a_failing_scope_leaves_no_table(spark):
+    with pytest.raises(KeyError), Scope(spark):
+        left = stage(spark.range(4).toDF("x"), "left")
+        raise KeyError
+    with pytest.raises(Exception):
+        left.count()
+
+
+def test_machine_local_folders_are_told(spark):
+    assert _own_disk(spark, "file:///tmp/x") and not _own_disk(spark, "hdfs://name/x")
+    spark.conf.set("spark.loamline.sharedMount", "true")
+    try:
+        assert not _own_disk(spark, "file:///mnt/x")
+    finally:
+        spark.conf.unset("spark.loamline.sharedMount")

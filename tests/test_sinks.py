@@ -66,10 +66,43 @@ def test_load_stats_and_storage_summary(spark, folder):
 
 def test_batches(spark, folder):
     df = dated(spark)
-    paths = sink.load_batches([df, df.limit(10)], f"{folder}/batch", CFG, partition_by=("date",))
-    assert [os.path.basename(p) for p in paths] == ["batch_part_000.parquet", "batch_part_001.parquet"]
-    (t,) = sink.batch_totals(spark, paths).collect()
-    assert (t.total_files, t.total_records) == (2, 210)
+    done = sink.load_batches([df, df.limit(10)], f"{folder}/batch", CFG, partition_by=("date",))
+    assert [os.path.basename(b.path) for b in done] == ["batch_part_000.parquet", "batch_part_001.parquet"]
+    (t,) = sink.batch_totals(spark, done).collect()
+    assert (t.total_files, t.total_records, t.successful_batches, t.failed_batches) == (2, 210, 2, 0)
+    assert t.total_size_mb > 0 and t.average_compression_ratio >= 0
+
+
+def test_a_failing_frame_leaves_the_others(spark, folder):
+    df = dated(spark)
+    broken = df.withColumn("value", F.raise_error(F.lit("no such value")).cast("double"))
+    done = sink.load_batches([df, broken, df.limit(5)], f"{folder}/batch", CFG, partition_by=())
+    assert [b.success for b in done] == [True, False, True]
+    (t,) = sink.batch_totals(spark, done).collect()
+    assert (t.total_records, t.successful_batches, t.failed_batches) == (205, 2, 1)
+    (e,) = sink.batch_errors(spark, done).collect()
+    assert e.output_path.endswith("_part_001.parquet") and e.error
+    (none,) = sink.batch_totals(spark, [done[1]]).collect()
+    assert (none.total_files, none.failed_batches) == (0, 1)
+    assert sink.load_batches([], f"{folder}/none", CFG) == []
+
+
+def test_batches_of_a_table_replace_themselves_only(spark, folder):
+    df = dated(spark)
+    path = f"{folder}/table"
+    for batch, rows in (("a", df), ("b", df.limit(10)), ("a", df.limit(7))):
+        sink.load(rows, path, CFG, partition_by=("date",), batch=batch)
+    assert sink.stored_batches(spark, path) == ["a", "b"]
+    assert sink.read_back(spark, path, df.schema).count() == 17
+    assert sink.stored_batches(spark, f"{folder}/absent") == []
+
+
+def test_narrowed_load_keeps_types_and_rows(spark, folder):
+    df = dated(spark).withColumn("n", F.lit(7).cast("bigint"))
+    path = sink.load(df, f"{folder}/slim", CFG, partition_by=("date",), narrowed=True)
+    assert dict(spark.read.parquet(path).dtypes)["n"] == "smallint"
+    back = sink.read_back(spark, path, df.schema, narrowed=True)
+    assert back.schema["n"].dataType == df.schema["n"].dataType and back.count() == 200
 
 
 def test_narrow_plan(spark):
