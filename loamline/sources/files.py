@@ -20,6 +20,7 @@ from loamline import functions as fx
 from loamline.rows import local_frame
 from loamline.sources.readings import (
     READING_COLUMNS,
+    READING_TYPES,
     keep_spelling,
     normalise,
     stored_present,
@@ -106,11 +107,11 @@ def read_window(
 
 
 def window_schema(spark: SparkSession, directory: str, start: str | None, end: str | None) -> str:
-    """DDL of the first file, by path, of the window whose footer can be read."""
+    """DDL of the first file, by path, of the window whose footer can be read, else the declared one."""
     checked = schema_check(files_in_window(spark, directory, start, end)).where("actual IS NOT NULL")
     first = checked.agg(F.min_by("actual", "path").alias("actual")).first()
     if first is None or first.actual is None:
-        raise ValueError(f"no readable file of the window in {directory}")
+        return ", ".join(f"{name} {kind}" for name, kind in READING_TYPES.items())
     return ", ".join(f"`{name}` {spark_type(kind) or 'string'}" for name, kind in first.actual.items())
 
 

@@ -1,6 +1,8 @@
 """Listing, date windows, footers, statistics, quarantine."""
 
 import os
+import subprocess
+import sys
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -120,6 +122,78 @@ def test_days_with_different_timestamp_types(spark, folder):
     assert {r.d: r["count"] for r in days} == {"2023-06-01": 3, "2023-06-02": 3}
 
 
+def test_every_stored_form_of_time(spark, folder):
+    from datetime import datetime
+
+    put(folder, "2023-06-01.parquet", GOOD)
+    for day, unit, zone in ((2, "us", None), (3, "us", "UTC"), (4, "ns", None), (5, "ns", "UTC"), (6, "ms", None)):
+        stamps = pa.array([datetime(2023, 6, day, h, 0, 0, 5000) for h in (10, 11, 12)], pa.timestamp(unit, zone))
+        put(folder, f"2023-06-0{day}.parquet", {**GOOD, "timestamp": stamps})
+    taken = files.ingest(spark, folder)
+    assert taken.quarantined.count() == 0
+    got = {(r.d, r.n, r.h) for r in taken.readings.groupBy(F.to_date("timestamp").cast("string").alias("d"))
+           .agg(F.count(F.lit(1)).alias("n"), F.min(F.hour("timestamp")).alias("h")).collect()}
+    assert got == {(f"2023-06-0{d}", 3, 10) for d in range(1, 7)}
+    micros = taken.readings.where("timestamp >= '2023-06-04' AND timestamp < '2023-06-05'")
+    assert {r[0] for r in micros.select(F.unix_micros("timestamp") % 1_000_000).collect()} == {5000}
+
+
+def test_a_window_does_not_touch_other_files(spark, folder):
+    open(os.path.join(folder, "2023-05-01.parquet"), "wb").write(b"junk")
+    put(folder, "2023-05-02.parquet", {k: GOOD[k] for k in ("sensor_id", "timestamp", "value")})
+    put(folder, "2023-05-03.parquet", {**GOOD, "value": ["a", "b", "c"]})
+    for day in (1, 2, 3):
+        put(folder, f"2023-06-0{day}.parquet", GOOD)
+    taken = files.ingest(spark, folder, "2023-06-01", "2023-06-03")
+    assert taken.readings.count() == 9 and taken.quarantined.count() == 0
+    assert files.read_window(spark, folder, "2023-06-01", "2023-06-03").count() == 9
+
+
+def test_a_bad_file_in_the_window_is_pruned(spark, folder):
+    put(folder, "2023-06-01.parquet", GOOD)
+    open(os.path.join(folder, "2023-06-02.parquet"), "wb").write(b"junk")
+    put(folder, "2023-06-03.parquet", GOOD)
+    put(folder, "odd name.parquet", GOOD)
+    taken = files.ingest(spark, folder)
+    assert taken.readings.count() == 9 and taken.quarantined.count() == 1
+
+
+def test_unreadable_types_go_to_quarantine(spark, folder):
+    put(folder, "2023-06-01.parquet", GOOD)
+    put(folder, "2023-06-02.parquet", {**GOOD, "value": [[1.0], [2.0], [3.0]]})
+    taken = files.ingest(spark, folder)
+    assert taken.readings.count() == 3
+    (bad,) = taken.quarantined.collect()
+    assert len(bad.errors) == 1 and "unreadable types value list<" in bad.errors[0]
+
+
+def test_footer_locations():
+    at = files.footer_location
+    assert at("file:/a b/c.parquet") == "file:///a%20b/c.parquet"
+    assert at("file:///a/c.parquet") == "file:///a/c.parquet"
+    assert at("s3a://bucket/k/c.parquet") == "s3://bucket/k/c.parquet"
+    assert at("hdfs://name:8020/c.parquet") == "hdfs://name:8020/c.parquet"
+    assert at("abfss://box@account.dfs.core.windows.net/c").startswith("abfs://box@account.")
+    assert at("dbfs:/mnt/c.parquet") == "file:///dbfs/mnt/c.parquet"
+    with pytest.raises(RuntimeError, match="footers cannot be read"):
+        files.footer_system("nosuchstore://x/c.parquet")
+
+
+def test_footers_from_another_working_directory(folder):
+    """Workers find the package wherever the driver was started."""
+    put(folder, "2023-06-01.parquet", GOOD)
+    code = (
+        "import sys; sys.path.append(sys.argv[1]); from loamline.session import local_session; "
+        "from loamline.sources import files; s = local_session(1, '1g'); "
+        "print('valid', files.schema_check(files.list_files(s, sys.argv[2])).first().is_valid)"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = [sys.executable, "-c", code, root, folder.removeprefix("file:")]
+    out = subprocess.run(run, cwd="/", env=env, capture_output=True, text=True, timeout=200)
+    assert "valid True" in out.stdout, out.stderr[-2000:]
+
+
 def test_all_bad_means_no_readings(spark, folder):
     open(os.path.join(folder, "2023-06-01.parquet"), "wb").write(b"junk")
     taken = files.ingest(spark, folder)
