@@ -191,16 +191,20 @@ jobs AS (
 
 
 def job_runs(spark: SparkSession, sf_dir: str, counts: bool = True) -> DataFrame:
-    """``orders`` as runs; the run takes ``o_totalprice`` whole seconds and running ones are open."""
+    """``orders`` as runs; the run takes ``o_totalprice`` whole seconds and running ones are open.
+
+    Every ninth open run is only queued, and some jobs have never run.
+    """
     seconds = F.col("o_totalprice").cast("bigint")
     done = F.col("o_orderstatus") != "O"
-    runs = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 17 != 3)
+    runs = orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("job_id"),
         F.col("o_orderdate").alias("start_time"),
         F.when(done, F.timestamp_add("SECOND", seconds, F.col("o_orderdate"))).alias("end_time"),
         F.when(F.col("o_orderstatus") == "F", "success")
-        .when(F.col("o_orderstatus") == "O", "running")
+        .when(F.col("o_orderstatus") == "O", F.when(F.col("o_orderkey") % 9 == 0, "queued").otherwise("running"))
         .otherwise("failed")
         .alias("status"),
         F.when(done, seconds.cast("double")).alias("execution_time_seconds"),
@@ -221,11 +225,12 @@ job_runs AS (
          CASE WHEN o_orderstatus <> 'O'
               THEN o_orderdate + CAST(trunc(o_totalprice) AS BIGINT) * INTERVAL 1 SECOND END
            AS end_time,
-         CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'running' ELSE 'failed' END
-           AS status,
+         CASE o_orderstatus WHEN 'F' THEN 'success'
+              WHEN 'O' THEN CASE WHEN o_orderkey % 9 = 0 THEN 'queued' ELSE 'running' END
+              ELSE 'failed' END AS status,
          CASE WHEN o_orderstatus <> 'O' THEN CAST(trunc(o_totalprice) AS DOUBLE) END
            AS execution_time_seconds
-  FROM orders)"""
+  FROM orders WHERE o_custkey % 17 <> 3)"""
 
 
 # --- landing folders ---------------------------------------------------------------

@@ -321,7 +321,7 @@ SELECT o_orderkey AS id,
   CASE WHEN o_orderkey % 5 IN (0, 1) THEN coalesce(n, 0) WHEN o_orderkey % 5 = 2 THEN coalesce(n, 0) + 1 END
     AS records_processed,
   CASE WHEN o_orderkey % 5 IN (0, 1, 2) THEN o_orderkey % 7 END AS records_failed
-FROM orders LEFT JOIN lines ON lines.id = o_orderkey""",
+FROM orders LEFT JOIN lines ON lines.id = o_orderkey WHERE o_custkey % 17 <> 3""",
 )
 def _(spark, d):
     # Five kinds of output: one JSON line, JSON then noise, two JSON lines, a broken one, none.

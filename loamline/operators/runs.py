@@ -232,14 +232,48 @@ class Page:
     total: DataFrame
 
 
-def page_of_runs(runs: DataFrame, job_id: int | None, page: int = 1, size: int = 20) -> Page:
-    """One page of runs, newest first, and the total count. For deep pages see below."""
+# Rows that a page may skip by a top-k; a deeper page first finds the days it lies on.
+DEEP_OFFSET = 10_000
+
+
+def page_of_runs(
+    runs: DataFrame, job_id: int | None, page: int = 1, size: int = 20, deep: int = DEEP_OFFSET
+) -> Page:
+    """One page of runs, newest first, and the total count.
+
+    A top-k of offset + limit rows gathers the offset in one task. Beyond ``deep`` rows the runs are
+    counted per day instead: the page's rows lie on few days, and only the runs of these days are
+    ordered. :func:`runs_after` needs no offset at all.
+    """
     chosen = filter_equal(runs, job_id=job_id)
-    ordered = chosen.orderBy(*_recent_first())
-    return Page(
-        ordered.offset((page - 1) * size).limit(size),
-        chosen.agg(F.count(F.lit(1)).alias("total")),
-    )
+    skip = (page - 1) * size
+    total = chosen.agg(F.count(F.lit(1)).alias("total"))
+    if skip > deep:
+        chosen, skip = _days_of_page(chosen, skip, size)
+    return Page(chosen.orderBy(*_recent_first()).offset(skip).limit(size), total)
+
+
+def _days_of_page(runs: DataFrame, skip: int, size: int) -> tuple[DataFrame, int]:
+    """The runs of the days that rows ``skip`` … ``skip + size`` lie on, and what to skip of them.
+
+    One row per day is windowed; one row comes back. Runs without a start are the last "day".
+    """
+    day = F.to_date("start_time")
+    upto = F.sum("n").over(W.orderBy(F.desc_nulls_last("day")))
+    days = runs.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+    here = days.where((F.col("upto") > skip) & (F.col("upto") - F.col("n") < skip + size))
+    found = here.agg(
+        F.min("day").alias("low"),
+        F.max("day").alias("high"),
+        F.coalesce(F.bool_or(F.col("day").isNull()), F.lit(False)).alias("undated"),
+        F.min(F.col("upto") - F.col("n")).alias("before"),
+    ).first()
+    if found.before is None:
+        return runs.limit(0), 0
+    kept = F.coalesce((day >= F.lit(found.low)) & (day <= F.lit(found.high)), F.lit(False))
+    if found.undated:
+        kept = kept | day.isNull()
+    return runs.where(kept), skip - found.before
 
 
 def runs_after(

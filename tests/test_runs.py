@@ -1,6 +1,6 @@
 """Run-history operators and scalar helpers on hand-made rows."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +136,15 @@ def test_retention(runs):
     assert split.keep.count() == 16
 
 
+def test_deep_pages_equal_shallow_ones(spark):
+    rows = [(i, i % 3, None if i % 10 == 7 else NOW - timedelta(hours=11 * (i % 23))) for i in range(90)]
+    runs = spark.createDataFrame(rows, "id bigint, job_id bigint, start_time timestamp_ntz")
+    for page in (1, 2, 5, 9, 10, 13, 20):
+        plain = op.page_of_runs(runs, None, page, 7)
+        deep = op.page_of_runs(runs, None, page, 7, deep=-1)
+        assert plain.rows.collect() == deep.rows.collect() and deep.total.first().total == 90
+
+
 def test_log_stats(spark):
     logs = [
         'x\n{"records_processed": 5, "records_failed": 1}\n',
