@@ -13,6 +13,7 @@ import numpy as np
 SAMPLES = 128
 BANDS = 32
 SKETCH_BITS = 512
+PARITY_BITS = 2_048
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -142,6 +143,24 @@ def odd_sketches(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8).reshape(len(samples), bits), axis=1)
 
 
+def parity_bitmaps(sets: Sets, bits: int = PARITY_BITS) -> np.ndarray:
+    """The odd sketch of the whole set: every shingle toggles one bit. A row of packed bytes each.
+
+    The XOR of two has at most as many set bits as the sets have shingles apart, so a pair with more
+    than its similarity allows is ruled out for certain.
+    """
+    at = (mix(sets.values ^ _U(0x5DEECE66D)) % _U(bits)).astype(np.int64)
+    n = len(sets.starts) - 1
+    rows = np.repeat(np.arange(n) * bits, sets.sizes)
+    parity = np.bincount(rows + at, minlength=n * bits) & 1
+    return np.packbits(parity.astype(np.uint8).reshape(n, bits), axis=1)
+
+
+def may_link(apart: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes a and b with at least ``apart`` elements not in common can be linked."""
+    return apart * (100 + percent) <= (a + b) * (100 - percent)
+
+
 def estimate(different: np.ndarray, samples: int = SAMPLES, bits: int = SKETCH_BITS) -> np.ndarray:
     """The similarity that ``different`` set bits in the XOR of two odd sketches stand for."""
     rest = np.maximum(1 - 2 * np.asarray(different, float) / bits, 1e-9)
