@@ -6,7 +6,8 @@
 2. *Stars*: in each bucket of a band the smallest id is the hub; every other member is paired with
    it. So a bucket of any size gives a row per member, never all pairs.
 3. *Candidates*: the popcount of the XOR of two odd sketches estimates the similarity; pairs that
-   cannot reach it (five standard deviations away) go.
+   cannot reach it (five standard deviations away) go. So do pairs whose odd sketches of the whole
+   sets prove that too many shingles are not in common.
 4. *Confirmation*: what remains is compared on the full shingle sets, built again from the texts.
 5. *Rest*: where a bucket's members are still in several components, members outside of its main
    component are compared, by sketches, with all members of the bucket, in blocks; first the best
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm import shingles
 from loamline.llm.components import connected_components
-from loamline.llm.tables import slices
+from loamline.llm.tables import fresh, slices
 from loamline.staging import stage
 
 WORDS = 5
@@ -36,9 +37,9 @@ SET = ["_s1", "_s2", "_n"]
 
 
 def signatures(docs: DataFrame, id_col: str, text: str, words: int) -> DataFrame:
-    """(_id, _n, _s1, _s2, _sketch, _bands) for each row; no bands for an empty set."""
+    """(_id, _n, _s1, _s2, _sketch, _parity, _bands) for each row; no bands for an empty set."""
     plain = docs.select(docs[id_col].cast("long").alias("_id"), docs[text].alias("_text"))
-    schema = "_id long, _n long, _s1 long, _s2 long, _sketch binary, _bands array<long>"
+    schema = "_id long, _n long, _s1 long, _s2 long, _sketch binary, _parity binary, _bands array<long>"
 
     def run(batches):
         for batch in batches:
@@ -47,12 +48,14 @@ def signatures(docs: DataFrame, id_col: str, text: str, words: int) -> DataFrame
                 s1, s2 = shingles.digests(sets)
                 samples = shingles.minhash(sets)
                 sketches = [row.tobytes() for row in shingles.odd_sketches(samples)]
+                parity = [row.tobytes() for row in shingles.parity_bitmaps(sets)]
                 keys = shingles.band_keys(samples)
                 used = sets.sizes > 0
                 offsets = np.concatenate([[0], np.cumsum(used * shingles.BANDS)]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[used].ravel()))
-                columns = [part.column(0), *map(pa.array, (sets.sizes, s1, s2)), pa.array(sketches, pa.binary()), bands]
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_n", "_s1", "_s2", "_sketch", "_bands"])
+                columns = [part.column(0), *map(pa.array, (sets.sizes, s1, s2)), pa.array(sketches, pa.binary())]
+                columns += [pa.array(parity, pa.binary()), bands]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "_n", "_s1", "_s2", "_sketch", "_parity", "_bands"])
 
     return plain.mapInArrow(run, schema)
 
@@ -76,6 +79,7 @@ def near_duplicates(
             F.min("_id").alias("_rep"),
             F.count(F.lit(1)).alias("_size"),
             F.first("_sketch").alias("_sketch"),
+            F.first("_parity").alias("_parity"),
             F.first("_bands").alias("_bands"),
         ),
         "near-classes",
@@ -90,14 +94,18 @@ def near_duplicates(
     buckets = stage(buckets.where("_hub <> _top").select("_key", "_hub"), "near-buckets")
     members = stage(member.join(buckets, "_key"), "near-members")
     stars = members.where("_rep <> _hub").select(F.col("_hub").alias("a"), F.col("_rep").alias("b")).distinct()
-    links = stage(links.unionByName(_confirm(docs, id_col, text, words, percent, _candidates(stars, classes, percent))), "near-links")
+    confirmed = _confirm(docs, id_col, text, words, percent, _candidates(stars, classes, percent))
+    links = stage(links.unionByName(confirmed), "near-links")
     labels = stage(connected_components(links), "near-labels")
     for best_only in (True, False):
         rest = stage(_rest(members, classes, labels, percent, best_only), "near-rest")
         if rest.isEmpty():
             continue
         more = stage(_confirm(docs, id_col, text, words, percent, rest), "near-links")
-        links = links.unionByName(more)
+        if more.isEmpty():
+            continue
+        # The components so far are stars; the new links join some of them.
+        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
         labels = stage(connected_components(links), "near-labels")
 
     found = (
@@ -129,6 +137,7 @@ def _with_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             F.col("_s1").alias(f"{side}_s1"),
             F.col("_n").alias(f"{side}_n"),
             F.col("_sketch").alias(f"{side}_sketch"),
+            F.col("_parity").alias(f"{side}_parity"),
         )
         pairs = pairs.join(own, side)
     return pairs
@@ -141,11 +150,16 @@ def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (4, 5))
-            apart = np.bitwise_count(a ^ b).sum(1)
-            yield batch.select([0, 1, 2, 3]).filter(pa.array(apart <= allowed))
-
-    wide = _with_classes(pairs, classes).where(sizes).select("a", "a_s1", "b", "b_s1", "a_sketch", "b_sketch")
+            for part in slices(batch, 2_000):
+                bits = [np.frombuffer(b"".join(part.column(k).to_pylist()), np.uint8) for k in range(6, 10)]
+                a, b, a_all, b_all = (x.reshape(part.num_rows, -1) for x in bits)
+                a_n, b_n = part.column(4).to_numpy(), part.column(5).to_numpy()
+                fit = np.bitwise_count(a ^ b).sum(1) <= allowed
+                fit &= shingles.may_link(np.bitwise_count(a_all ^ b_all).sum(1, dtype=int), a_n, b_n, percent)
+                yield part.select([0, 1, 2, 3]).filter(pa.array(fit))
+
+    names = ["a", "a_s1", "b", "b_s1", "a_n", "b_n", "a_sketch", "b_sketch", "a_parity", "b_parity"]
+    wide = _with_classes(pairs, classes).where(sizes).select(*names)
     return wide.mapInArrow(run, "a long, a_s1 long, b long, b_s1 long")
 
 
@@ -200,56 +214,66 @@ def _rest(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: in
     known = labels.select(F.col("node").alias("_rep"), F.col("component").alias("_component"))
     now = members.join(known, "_rep", "left").withColumn("_component", F.coalesce("_component", "_rep"))
     now = stage(now.select("_key", "_rep", "_component", "_hub"), "near-now")
+    # A bucket of two has been compared: one of them is the hub.
     open_ = now.groupBy("_key").agg(
         F.min("_component").alias("_low"),
         F.max("_component").alias("_high"),
         F.count(F.lit(1)).alias("_members"),
         F.max(F.when(F.col("_rep") == F.col("_hub"), F.col("_component"))).alias("_main"),
     )
-    open_ = open_.where("_low <> _high").select("_key", "_main", F.ceil(F.col("_members") / BLOCK).cast("int").alias("_blocks"))
-    rows = now.drop("_hub").join(stage(open_, "near-open"), "_key")
+    open_ = open_.where("_low <> _high AND _members > 2").select("_key", "_main", F.ceil(F.col("_members") / BLOCK).cast("int").alias("_blocks"))
+    rows = now.where("_rep <> _hub").drop("_hub").join(stage(open_, "near-open"), "_key")
     minor = F.col("_component") != F.col("_main")
     home = F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int")
     spread = rows.select(
         "_key", "_rep", "_component", minor.alias("_minor"), home.alias("_home"),
         F.explode(F.when(minor, F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(F.array(home))).alias("_block"),
     )
-    own = classes.select("_rep", "_s1", "_n", "_sketch")
+    own = classes.select("_rep", "_s1", "_n", "_sketch", "_parity")
 
     def compare(table: pa.Table) -> pa.Table:
         rep, comp, minor, home, block, s1, n = (
             table.column(k).to_numpy() for k in ("_rep", "_component", "_minor", "_home", "_block", "_s1", "_n")
         )
-        sketch = np.frombuffer(b"".join(table.column("_sketch").to_pylist()), np.uint64).reshape(len(rep), -1)
+        sketch, parity = (
+            np.frombuffer(b"".join(table.column(k).to_pylist()), np.uint64).reshape(len(rep), -1)
+            for k in ("_sketch", "_parity")
+        )
         left, right = np.flatnonzero(minor), np.flatnonzero(home == block)
-        found = []
-        for at in range(0, len(left), 64):
-            i = left[at : at + 64]
+        found = [np.zeros(0, np.int64)]
+        for at in range(0, len(left), 16):
+            i = left[at : at + 16]
             apart = np.zeros((len(i), len(right)), np.int32)
             for w in range(sketch.shape[1]):
                 apart += np.bitwise_count(sketch[i, w][:, None] ^ sketch[right, w][None])
-            low, high = np.minimum(n[i][:, None], n[right][None]), np.maximum(n[i][:, None], n[right][None])
-            fit = (apart <= allowed) & (comp[i][:, None] != comp[right][None]) & (low * 100 >= high * percent)
+            x, y = np.nonzero((apart <= allowed) & (comp[i][:, None] != comp[right][None]))
+            x, y = i[x], right[y]
+            far = np.bitwise_count(parity[x] ^ parity[y]).sum(1, dtype=np.int64)
+            fit = shingles.may_link(far, n[x], n[y], percent)
+            fit &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent
+            x, y, far = x[fit], y[fit], far[fit]
             if best_only:
-                apart[~fit] = 1 << 20
-                j = apart.argmin(1) if len(right) else np.zeros(0, int)
-                some = np.flatnonzero(apart[np.arange(len(j)), j] < 1 << 20)
-                found.append(np.stack([i[some], right[j[some]]], 1))
-            else:
-                x, y = np.nonzero(fit)
-                found.append(np.stack([i[x], right[y]], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), int)
-        swap = rep[pairs[:, 0]] > rep[pairs[:, 1]]
-        pairs[swap] = pairs[swap][:, ::-1]
-        pairs = np.unique(pairs, axis=0)
-        x, y = pairs[:, 0], pairs[:, 1]
+                order = np.lexsort((far, x))
+                x, y = x[order], y[order]
+                first = np.flatnonzero(np.diff(x, prepend=-1))
+                x, y = x[first], y[first]
+            swap = rep[x] > rep[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            found.append(x * len(rep) + y)
+        x, y = np.divmod(np.unique(np.concatenate(found)), max(1, len(rep)))
         return pa.table({"a": rep[x], "a_s1": s1[x], "b": rep[y], "b_s1": s1[y]})
 
-    grouped = spread.join(own, "_rep").groupBy("_key", "_block")
+    # As many tasks as shuffles have: the rows are few, the comparisons may not be.
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = spread.join(own, "_rep").repartition(tasks, "_key", "_block").groupBy("_key", "_block")
     return grouped.applyInArrow(compare, "a long, a_s1 long, b long, b_s1 long").distinct()
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def keep_representatives(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """The rows of ``docs`` whose document stands for its component, with all columns."""
-    kept = near_duplicates(docs, id_col, text, words, percent).where("kept").select(F.col(id_col).alias("_kid")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kid")), "left_semi")
+    own = fresh(docs, "_kept_id")
+    found = near_duplicates(docs, id_col, text, words, percent)
+    kept = found.where("kept").select(F.col(id_col).alias(own)).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col(own)), "left_semi")

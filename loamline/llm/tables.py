@@ -17,6 +17,14 @@ def crc_bucket(id_col: str, buckets: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(buckets)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def slices(batch, rows: int):
     """An Arrow batch in pieces of at most ``rows`` rows, so that Python lists stay small."""
     for at in range(0, batch.num_rows, rows):
