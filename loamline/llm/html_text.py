@@ -60,6 +60,10 @@ LABELLED = (
     (16, 0.00, 30, 0.1, 15, 0.0, 0, 0, 0, 1, 1),
     (45, 0.20, 2, 1.0, 3, 1.0, 0, 0, 0, 0, 1),
     (2, 1.00, 2, 1.0, 2, 1.0, 0, 0, 0, 1, 0),
+    (1, 1.00, 1, 1.0, 20, 0.0, 0, 0, 0, 1, 0),
+    (1, 1.00, 24, 0.0, 1, 1.0, 0, 0, 0, 1, 0),
+    (2, 1.00, 3, 1.0, 70, 0.0, 0, 0, 0, 0, 0),
+    (3, 1.00, 80, 0.0, 0, 0.0, 0, 0, 0, 0, 0),
     (3, 1.00, 0, 0.0, 4, 1.0, 0, 0, 0, 0, 0),
     (5, 0.80, 40, 0.0, 3, 1.0, 0, 0, 0, 0, 0),
     (21, 0.90, 14, 0.8, 17, 0.9, 0, 0, 0, 0, 0),
@@ -89,6 +93,8 @@ _BOILER_WORDS = frozenset(
     "promotion related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription tags teaser toolbar topbar widget widgets".split()
 )
+# Names of containers that hold a page's main text where it has no article or main element.
+_MAIN_WORDS = frozenset("article articlebody content main maincontent story".split())
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -119,10 +125,20 @@ def _boilerplate(tag: str, attributes: str) -> bool:
     return False
 
 
+def _named_main(tag: str, attributes: str) -> bool:
+    if tag not in ("div", "section", "td") or not attributes.strip():
+        return False
+    for name, value in _ATTRIBUTE.findall(attributes):
+        words = re.split(r"[^a-z0-9]+", value.strip("\"'").lower())
+        if name.lower() in ("class", "id", "role") and _MAIN_WORDS.intersection(words):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[dict]:
     """The page's text blocks in order: text, words, linked words, main, boiler, heading, item."""
     out: list[dict] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, named as main
     parts: list[str] = []
     linked: list[str] = []
     seen_main = False
@@ -131,7 +147,7 @@ def blocks(page: str) -> list[dict]:
         if not parts:
             return
         text = " ".join("".join(parts).split())
-        tags = [t for t, _ in stack]
+        tags = [t for t, _, _ in stack]
         if text:
             article = "article" in tags or "main" in tags
             inner = tags[::-1].index("header") if "header" in tags else -1
@@ -141,7 +157,8 @@ def blocks(page: str) -> list[dict]:
             out.append(
                 {
                     "text": text, "words": len(text.split()), "linked": len("".join(linked).split()),
-                    "inside": article, "boiler": any(b for _, b in stack) or in_header and not title,
+                    "inside": article, "named": any(m for _, _, m in stack),
+                    "boiler": any(b for _, b, _ in stack) or in_header and not title,
                     "heading": heading, "item": "li" in tags,
                 }
             )
@@ -151,7 +168,7 @@ def blocks(page: str) -> list[dict]:
     def add(raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if any(t == "a" for t, _ in stack):
+        if any(t == "a" for t, _, _ in stack):
             linked.append(text + " ")
 
     at = 0
@@ -179,18 +196,22 @@ def blocks(page: str) -> list[dict]:
         if tag in _VOID:
             continue
         if ending:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, _, _ in stack):
                 while stack.pop()[0] != tag:
                     pass
             continue
         if tag in _BLOCK:  # an open paragraph or item ends where the next block begins
-            while stack and stack[-1][0] not in _BLOCK and any(t == "p" for t, _ in stack):
+            while stack and stack[-1][0] not in _BLOCK and any(t == "p" for t, _, _ in stack):
                 stack.pop()
             if stack and stack[-1][0] == "p" or stack and tag in _CLOSES_ITSELF and stack[-1][0] == tag:
                 stack.pop()
         seen_main |= tag in ("article", "main")
-        stack.append((tag, _boilerplate(tag, match.group(3))))
+        stack.append((tag, _boilerplate(tag, match.group(3)), _named_main(tag, match.group(3))))
     close()
+    if not seen_main:  # containers named as the main text count where there is no element for it
+        for block in out:
+            block["inside"] = block["named"]
+        seen_main = any(b["inside"] for b in out)
     for block in out:
         block["main"] = 1 if block.pop("inside") else -1 if seen_main else 0
     return out
@@ -237,8 +258,28 @@ class Tree:
         return out
 
 
+def expanded(labelled=LABELLED) -> np.ndarray:
+    """The labelled table with variants that keep their label.
+
+    Where the page says what a block belongs to (a main region, outside of it, a boilerplate
+    container), its size, links and neighbours don't matter; elsewhere sizes may be some third
+    smaller or larger. So the tree cannot take a chance pattern of few rows for a rule.
+    """
+    rows = []
+    for words, density, pw, pd, nw, nd, main, boiler, heading, item, label in labelled:
+        if main or boiler:
+            around = ((0, 0.0), (2, 1.0), (60, 0.0))
+            for w in (1, 6, 45, 200):
+                for d in (0.0, 1.0):
+                    rows += [(w, d, *a, *b, main, boiler, heading, item, label) for a in around for b in around]
+        for scale in (0.7, 1.0, 1.4):
+            sizes = (max(1, words * scale), density, pw * scale, pd, nw * scale, nd)
+            rows.append((*sizes, main, boiler, heading, item, label))
+    return np.array(rows, float)
+
+
 def train(labelled=LABELLED) -> Tree:
-    table = np.array(labelled, float)
+    table = expanded(labelled)
     return Tree(table[:, :-1], table[:, -1])
 
 
