@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loamline.llm import exact_dedup, language_id, near_dedup, packing, pii
 from loamline.llm.queries import DEMO_KEY, tokenizer_path
-from loamline.llm.tables import table
+from loamline.llm.tables import fresh, table
 from loamline.staging import stage
 
 # Below this share for its best language a text counts as unidentified. Texts of a few clean words
@@ -22,8 +22,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a language that the labelled rows teach; unidentified ones go."""
     network = language_id.fit(docs)
     rest = tuple(c for c in docs.columns if c != "doc_id")
-    found = language_id.identify(docs, network, keep=rest)
-    accepted = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_SCORE)
+    lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
+    found = language_id.identify(docs, network, keep=rest, names=(lang, score))
+    accepted = (F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= MIN_SCORE)
     return found.where(accepted).select(*docs.columns)
 
 
@@ -40,7 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become pseudonyms of the same format; n_chars follows the new text."""
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    changed = pii.replace_personal_data(docs, DEMO_KEY, keep=rest)
+    changed = pii.replace_personal_data(docs, DEMO_KEY, keep=rest, counted=False)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = changed.withColumn("n_chars", F.char_length("text").cast(kind))

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.llm.tables import SPACES
+from loamline.llm.tables import SPACES, fresh
 from loamline.staging import stage
 
 CAPACITY = 16_384
@@ -168,14 +168,15 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **op
 
     Rows are matched by id, text digest and length; identical repeated rows stay once.
     """
-    classes = exact_classes(docs, id_col, text, **options).where("kept")
-    kept = classes.select(F.col(id_col).alias("_kid"), F.col("text_sha256").alias("_ksha"))
-    marked = docs.withColumn("_msha", F.sha2(normalised(F.col(text)), 256))
-    match = marked[id_col].eqNullSafe(F.col("_kid")) & (F.col("_msha") == F.col("_ksha"))
-    longest = Window.partitionBy("_msha", id_col).orderBy(F.char_length(F.coalesce(F.col(text), F.lit(""))).desc())
-    return (
-        marked.join(kept, match, "left_semi")
-        .withColumn("_rank", F.row_number().over(longest))
-        .where("_rank = 1")
-        .select(*docs.columns)
-    )
+    classes = stage(exact_classes(docs, id_col, text, **options), "exact-classes")
+    sha, own_id, own_sha, rank = (fresh(docs, n) for n in ("_text_sha", "_kept_id", "_kept_sha", "_rank"))
+    kept = classes.where("kept").select(F.col(id_col).alias(own_id), F.col("text_sha256").alias(own_sha))
+    marked = docs.withColumn(sha, F.sha2(normalised(F.col(text)), 256))
+    match = marked[id_col].eqNullSafe(F.col(own_id)) & (F.col(sha) == F.col(own_sha))
+    stays = marked.join(kept, match, "left_semi")
+    # Only where an id has the same text more than once do several rows match.
+    repeated = classes.groupBy(id_col, "text_sha256").count().where("count > 1")
+    if not repeated.isEmpty():
+        longest = Window.partitionBy(sha, id_col).orderBy(F.char_length(F.coalesce(F.col(text), F.lit(""))).desc())
+        stays = stays.withColumn(rank, F.row_number().over(longest)).where(F.col(rank) == 1)
+    return stays.select(*docs.columns)

@@ -192,10 +192,17 @@ def train_network(sample: list[tuple[str, str]], epochs: int = 12, seed: int = 7
 
 
 def identify(
-    docs: DataFrame, network: ByteNetwork, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+    docs: DataFrame,
+    network: ByteNetwork,
+    id_col: str = "doc_id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
     """One row per row of ``docs``: id, the columns ``keep`` (the text may be one), lang_pred, score.
 
+    ``names`` renames the last two, for inputs that have such columns.
+
     A text that is null, empty or without a letter is ``und`` with score 0, and so is every text if
     no language was learned. Repeated rows repeat, an empty table gives no rows; nothing but the
     text enters a prediction.
@@ -210,9 +217,9 @@ def identify(
             for part in slices(batch, 250):
                 found = network.predict(part.column(0).to_pylist(), tables)
                 columns = [*part.columns[first:], pa.array([a for a, _ in found]), pa.array([b for _, b in found])]
-                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[first:], "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[first:], *names])
 
-    return plain.mapInArrow(run, f"{others}, lang_pred string, score double")
+    return plain.mapInArrow(run, f"{others}, `{names[0]}` string, `{names[1]}` double")
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", held_out: int = 1, of: int = 3) -> ByteNetwork:

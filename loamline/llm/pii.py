@@ -266,29 +266,34 @@ _PATTERN_PHONE = re.compile(r"(?<![\d.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])")
 
 
 def replace_personal_data(
-    docs: DataFrame, key: bytes, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+    docs: DataFrame,
+    key: bytes,
+    id_col: str = "doc_id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
+    counted: bool = True,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, the columns ``keep``, text with pseudonyms, n_replaced, and
-    n_<kind> for each kind.
+    """One row per row of ``docs``: id, the columns ``keep``, text with pseudonyms and, if ``counted``,
+    n_replaced and n_<kind> for each kind.
 
     Null and empty texts stay as they are, with counts of 0; repeated rows repeat; an empty table
     gives no rows. The key is 16 to 64 secret bytes; whoever holds it can invert the pseudonyms.
     """
     if not 16 <= len(key) <= 64:
         raise ValueError("the key needs 16 to 64 bytes")
-    plain = docs.select(docs[text].alias("_text"), docs[id_col], *[docs[c] for c in keep])
+    plain = docs.select(docs[text], docs[id_col], *[docs[c] for c in keep])
     others = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[1:])
-    schema = f"{others}, `{text}` string, n_replaced int, " + ", ".join(f"n_{k} int" for k in KINDS)
+    extra = ["n_replaced", *[f"n_{k}" for k in KINDS]] if counted else []
+    schema = ", ".join([others, f"`{text}` string", *[f"{c} int" for c in extra]])
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, 500):
                 done = [pseudonymise(t, key) for t in part.column(0).to_pylist()]
-                numbers = [[c.get(k, 0) for _, c in done] for k in KINDS]
                 columns = [*part.columns[1:], pa.array([t for t, _ in done], pa.string())]
-                columns += [pa.array([sum(c.values()) for _, c in done], pa.int32())]
-                columns += [pa.array(n, pa.int32()) for n in numbers]
-                names = [*part.schema.names[1:], text, "n_replaced", *[f"n_{k}" for k in KINDS]]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                if counted:
+                    numbers = [[sum(c.values()) for _, c in done], *[[c.get(k, 0) for _, c in done] for k in KINDS]]
+                    columns += [pa.array(n, pa.int32()) for n in numbers]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names[1:], text, *extra])
 
     return plain.mapInArrow(run, schema)
