@@ -105,7 +105,7 @@ class ByteNetwork:
         """(language, score) of each text; (und, 0) without a letter or without any language learned."""
         tables = tables or self.tables()
         out = [(UNDETERMINED, 0.0)] * len(texts)
-        asked = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
+        asked = [i for i, t in enumerate(texts) if t and self.languages and has_letter(t)]
         if not asked:
             return out
         data, counts = [], []
@@ -137,6 +137,11 @@ class ByteNetwork:
         return _softmax((hidden @ self.p["out"] + self.p["bias"]).astype(np.float64))
 
 
+def has_letter(text: str) -> bool:
+    """The pattern also finds numerals such as ½, so what it finds is looked at."""
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)

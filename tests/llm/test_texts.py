@@ -177,6 +177,7 @@ def test_language_odd_rows(spark):
     assert language_id.fit(nothing).languages == []
     assert language_id.identify(nothing, language_id.fit(nothing)).count() == 0
     assert language_id.train_network([]).predict(["text"]) == [("und", 0.0)]
+    assert [network.predict([t])[0][0] == "und" for t in ("½ ² 12", "½a", "_ 7", None)] == [True, False, True, True]
 
 
 def test_sample_is_bounded_and_repeatable(spark):
