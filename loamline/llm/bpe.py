@@ -1,10 +1,10 @@
 """Whole-text BPE ids by the tokenizers library, with a bounded cache of chunks.
 
 Merges never cross the pre-tokenizer's pieces, and for the two kinds of tokenizer known here no
-piece crosses the place before a single space. So a text is cut there, each distinct chunk is
-encoded once by the library's model, and a document is the concatenation of its chunks. A text for
-which this doesn't hold (white space before a space) and a tokenizer of another kind are encoded
-whole.
+piece crosses the place before a single space or around a single line feed. So a text is cut there,
+each distinct chunk is encoded once by the library's model, and a document is the concatenation of
+its chunks. A text for which this doesn't hold (white space before a space) and a tokenizer of
+another kind are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,13 +15,21 @@ import struct
 
 import numpy as np
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\x21-\x7e\n{_LETTERS}]*")
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
+_SPACE_AT_FEED = re.compile(r"\s[ \n]|\n\s")
+_LATIN = re.compile(r"[\x00-\xff]*")
+# Marks of chunks; noncharacters, so no chunk of a text begins with one (texts that do go whole).
+_WHOLE, _BARE, _FEED = "\ufdd0", "\ufdd1", "\ufdd2"
 _encoders: dict[tuple, "ChunkEncoder"] = {}
 
 
+def _marked(text: str) -> bool:
+    return _WHOLE in text or _BARE in text or _FEED in text
+
+
 def encoder(path: str, cache_chunks: int = CACHE_CHUNKS) -> "ChunkEncoder":
     """One encoder per file and Python worker; its cache serves all tasks of the worker."""
     key = (path, cache_chunks)
@@ -58,31 +66,50 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids (``dtype``) of each text; null is empty."""
-        parts, whole = [], {}
-        for i, text in enumerate(texts):
-            text = text or ""
-            if self.kind is None or self.kind == "spaced" and _SPACE_BEFORE_SPACE.search(text):
-                whole[i] = self._library(text)
-                parts.append([])
-            else:
-                parts.append(text.split(" "))
+        cut = [self._cut(text or "") for text in texts]
         wanted: set[str] = set()
-        for chunks in parts:
-            wanted.update(chunks[1:])
+        for chunks in cut:
+            wanted.update(chunks)
         wanted.difference_update(self.cache)
-        cache, lead = self.cache, " " if self.kind == "spaced" else ""
+        cache = self.cache
         for chunk in wanted:
-            cache[chunk] = self._chunk(lead + chunk)
-        get = cache.__getitem__
-        out = [
-            whole[i] if i in whole else self._chunk(chunks[0]) + b"".join(map(get, chunks[1:]))
-            for i, chunks in enumerate(parts)
-        ]
+            cache[chunk] = self._chunk(chunk)
+        out = [b"".join(map(cache.__getitem__, chunks)) for chunks in cut]
         if len(cache) > self.limit:  # what came first is what is frequent
             for chunk in wanted:
                 del cache[chunk]
+        else:
+            for chunk in [c for c in wanted if c[:1] == _WHOLE]:
+                del cache[chunk]
         return out
 
+    def _cut(self, text: str) -> list[str]:
+        """Chunks whose ids, one after the other, are the text's.
+
+        Of a ``spaced`` tokenizer chunks are kept without their leading space: a chunk that has none
+        is marked by a preceding ``_BARE``, and ``_WHOLE`` marks a text for the library.
+        """
+        if self.kind == "bare" and not _marked(text):
+            # White space of any kind separates, and case doesn't count.
+            text = text.replace("\n", " ")
+            if text.isascii() or _LATIN.fullmatch(text):
+                text = text.lower()
+            return text.split(" ")
+        if self.kind is None or _SPACE_BEFORE_SPACE.search(text) or _marked(text):
+            return [_WHOLE + text]
+        if "\n" not in text or _SPACE_AT_FEED.search(text):
+            chunks = text.split(" ")
+            chunks[0] = _BARE + chunks[0]
+            return chunks
+        chunks = []
+        for line in text.split("\n"):
+            some = line.split(" ")
+            some[0] = _BARE + some[0]
+            chunks += some
+            chunks.append(_FEED)
+        chunks.pop()
+        return chunks
+
     def _library(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
@@ -90,10 +117,17 @@ class ChunkEncoder:
         return struct.pack(f"<{len(ids)}{self.letter}", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
-        bare = chunk[1:] if chunk[:1] == " " else chunk
+        if self.kind is None or chunk[:1] == _WHOLE:
+            return self._library(chunk.removeprefix(_WHOLE))
+        if chunk == _FEED:
+            bare = chunk = "\n"
+        elif chunk[:1] == _BARE:
+            bare = chunk = chunk[1:]
+        else:
+            bare, chunk = chunk, " " + chunk if self.kind == "spaced" else chunk
         if "<|" in bare or not _PLAIN.fullmatch(bare):
             return self._library(chunk)
-        if self.kind != "spaced":
+        if self.kind == "bare":
             chunk = chunk.lower()
         ids: list[int] = []
         for piece in self.pieces.findall(chunk):
