@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loamline.llm import exact_dedup, language_id, near_dedup, packing, pii
 from loamline.llm.queries import DEMO_KEY, tokenizer_path
 from loamline.llm.tables import fresh, table
-from loamline.staging import stage
+from loamline.staging import Scope, stage
 
 # Below this share for its best language a text counts as unidentified. Texts of a few clean words
 # reach 0.35 and more.
@@ -66,8 +66,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents. Tables that no later stage reads are dropped on the way."""
+    docs, written = table(spark, sf_dir, "documents"), None
     for name, apply in STAGES:
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        with Scope(spark) as scope:
+            docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        # The stage's own table was made last; the others, and its input, have been read.
+        own = scope.paths.pop()
+        if written is not None:
+            scope.paths.append(written)
+        scope.drop()
+        written = own
     return docs
