@@ -27,6 +27,14 @@ def test_matches_sql(spark, con, name):
     assert compare(spark, con, QUERIES[name], SQL[name], SF_DIR) is None
 
 
+def test_a_query_can_be_released(spark):
+    result = QUERIES["agg_quality_score"](spark, SF_DIR)
+    paths = list(result.staged.paths)
+    assert result.count() == 1 and paths
+    assert result.staged.drop() == len(paths)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+
+
 def test_entry_has_rows(spark):
     rows = entry.entry(spark).collect()
     assert len(rows) == 5 and all(r.total_count > 0 for r in rows)
