@@ -14,7 +14,7 @@ from loamline.config import PipelineConfig, with_range
 from loamline.operators.series import SERIES
 from loamline.rows import unit
 from loamline.sources.readings import READING_COLUMNS, uncastable_counts
-from loamline.staging import stage
+from loamline.staging import stage, together
 
 # The declared types accepted for each reading column.
 ACCEPTED_TYPES = {
@@ -383,12 +383,14 @@ def validate(
     An empty frame is an error.
     """
     names = list(missing_columns or df.columns)
-    summary = stage(type_summary(df, cfg, names), "type-summary")
+    summary, hours = together(
+        lambda: stage(type_summary(df, cfg, names), "type-summary"),
+        lambda: stage(active_hours(df, cfg), "active-hours"),
+    )
     if summary.isEmpty():
         raise ValueError("no data to validate")
     added = ["total_count", *[f"missing_{i}" for i in range(len(names))]]
     missing = _missing_section(summary.agg(*[F.sum(c).alias(c) for c in added]), names, cfg)
-    hours = stage(active_hours(df, cfg), "active-hours")
     ranges, anomalies = value_ranges(summary), anomaly_rates(summary)
     calendar = stage(series_calendar(hours), "series-calendar")
     gaps = gap_counts(calendar)

@@ -144,15 +144,24 @@ def _large_groups(
     return (stage(sizes, "large-groups"), rows) if rows else (None, 0)
 
 
+def large_series(df: DataFrame, cfg: PipelineConfig) -> tuple[DataFrame | None, int]:
+    """What :func:`series_fields` needs to know about series sizes; any frame with the same rows will do."""
+    return _large_groups(df, SERIES, cfg.max_series_rows)
+
+
 def series_fields(
     df: DataFrame,
     cfg: PipelineConfig,
     wanted: tuple[str, ...] = ALL_FIELDS,
     tiebreak: str | None = None,
+    sizes: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
-    """Add the wanted neighbour fields, slicing exactly the series that are too large."""
+    """Add the wanted neighbour fields, slicing exactly the series that are too large.
+
+    ``sizes`` is the :func:`large_series` of these rows if the caller has it.
+    """
     order = total_order(df, tiebreak)
-    large, rows = _large_groups(df, SERIES, cfg.max_series_rows)
+    large, rows = large_series(df, cfg) if sizes is None else sizes
     if large is None:
         return _plain(df, cfg, wanted, order)
     keys = large.select(*SERIES)

@@ -18,7 +18,7 @@ from loamline.sources.readings import (
     keep_spelling,
     normalise,
 )
-from loamline.staging import stage
+from loamline.staging import stage, together
 
 ENRICHED_COLUMNS = (
     "sensor_id",
@@ -65,9 +65,12 @@ def transform(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Transfo
     """
     distinct = stage(distinct_readings(raw), "distinct")
     cleaned = cleaning.clean(distinct, cfg)
-    moments = outliers.type_moments(cleaned)
+    # Replacing values changes no series: sizes and moments are counted at once.
+    moments, sizes = together(
+        lambda: outliers.type_moments(cleaned), lambda: series.large_series(cleaned, cfg)
+    )
     replaced = outliers.replace_outliers(cleaned, moments, cfg)
-    enriched = series.series_fields(replaced, cfg)
+    enriched = series.series_fields(replaced, cfg, sizes=sizes)
     final = cleaning.flag_anomalies(enriched, cfg)
     columns = [c for c in ENRICHED_COLUMNS if c in final.columns]
     return Transformed(final.select(*columns), raw, distinct, cfg)

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextvars import ContextVar
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +67,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(*tasks):
+    """Run independent functions at once, so that their jobs share the cluster; results in order.
+
+    Each runs in a copy of the caller's context: what they stage belongs to the caller's scopes.
+    """
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(copy_context().run, t) for t in tasks]]
+
+
 class Scope:
     """Collects the tables staged while it is open, so that they can be dropped together.
 
