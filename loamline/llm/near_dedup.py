@@ -43,7 +43,7 @@ def signatures(docs: DataFrame, id_col: str, text: str, words: int) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 400):
+            for part in slices(batch, 100):
                 sets = shingles.shingle_sets(part.column(1).to_pylist(), words)
                 s1, s2 = shingles.digests(sets)
                 samples = shingles.minhash(sets)
@@ -175,7 +175,7 @@ def _confirm(docs: DataFrame, id_col: str, text: str, words: int, percent: int,
 
     def build(batches):
         for batch in batches:
-            for part in slices(batch, 400):
+            for part in slices(batch, 100):
                 sets = shingles.shingle_sets(part.column(1).to_pylist(), words)
                 cuts = sets.starts.tolist()
                 values = [sets.values[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
