@@ -15,7 +15,7 @@ import struct
 
 import numpy as np
 
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 200_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\x21-\x7e\n{_LETTERS}]*")
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
@@ -51,7 +51,7 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.kind = _kind(json.loads(self.tokenizer.to_str()))
+        self.kind = _kind(self.tokenizer)
         self.limit = cache_chunks
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.letter = "H" if self.dtype.itemsize == 2 else "I"
@@ -139,11 +139,16 @@ class ChunkEncoder:
         return self._pack(ids)
 
 
-def _kind(spec: dict) -> str | None:
+def _kind(tokenizer) -> str | None:
     """``spaced``: a piece may begin with one space. ``bare``: white space is dropped, lower case."""
-    if spec["model"]["type"] != "BPE" or any(not t["content"].startswith("<|") for t in spec["added_tokens"]):
+    from tokenizers.models import BPE
+
+    marks = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    if not isinstance(tokenizer.model, BPE) or any(not m.startswith("<|") for m in marks):
         return None
-    pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"]
+    # Each part's own settings; the vocabulary is not copied.
+    state = lambda part: json.loads(part.__getstate__()) if part is not None else None
+    pre, norm = state(tokenizer.pre_tokenizer) or {}, state(tokenizer.normalizer)
     if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and norm is None:
         return "spaced"
     steps = [p.get("type") for p in pre.get("pretokenizers", [])]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from loamline.llm.bpe import encoder
 from loamline.llm.tables import slices
 
-GROUP_TOKENS = 1 << 21
+GROUP_TOKENS = 1 << 19
 _TASK_BITS = 38
 
 
