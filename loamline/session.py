@@ -20,7 +20,7 @@ RUNTIME_CONF = {
     # Partition values such as sensor "001" must come back as written.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Rows of documents are large: smaller batches keep the Python workers' memory low.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Nanosecond timestamps, which Spark has no type for, are read as whole numbers and scaled.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
