@@ -122,10 +122,12 @@ def _email(key, text, back):
     return f"{local}@{'.'.join([*([inner] if inner else []), *labels[cut:]])}"
 
 
+def _valid_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and luhn(digits) and len(set(digits)) > 1
+
+
 def _card(key, text, back):
     digits = re.sub(r"\D", "", text)
-    if not 13 <= len(digits) <= 19 or not luhn(digits) or len(set(digits)) == 1:
-        return None
     body = digits[0] + permute_text(key, "card" + digits[0], digits[1:-1], back=back)
     check = next(c for c in _DIGITS if luhn(body + c))
     return _refill(text, body + check)
@@ -152,25 +154,29 @@ def _valid_ssn(d: str) -> bool:
 
 def _ssn(key, text, back):
     digits = re.sub(r"\D", "", text)
-    if not _valid_ssn(digits):
-        return None
     return _refill(text, _walk(lambda d: permute_text(key, "ssn", d, back=back), _valid_ssn, digits))
 
 
-def _phone(key, text, back):
+def _phone_parts(text: str) -> tuple[str, str, str] | None:
+    """Country, the rest and its digits; None if no phone has as many."""
     country = re.match(r"\+\d{1,3}(?=\D)", text)
     head = country.group() if country else "+" if text[0] == "+" else ""
     rest = text[len(head) :]
     digits = re.sub(r"\D", "", rest)
-    if not 7 <= len(digits) <= 15:
-        return None
+    return (head, rest, digits) if 7 <= len(digits) <= 15 else None
+
+
+def _phone(key, text, back):
+    head, rest, digits = _phone_parts(text)
     return head + _refill(rest, permute_text(key, "phone" + head, digits, back=back))
 
 
+def _valid_ip(text: str) -> bool:
+    return not any(int(o) > 255 or len(o) > 1 and o[0] == "0" for o in text.split("."))
+
+
 def _ip(key, text, back):
     octets = text.split(".")
-    if any(int(o) > 255 or len(o) > 1 and o[0] == "0" for o in octets):
-        return None
     network = _network(key, "ip", 1 << 32)
     value = int.from_bytes(bytes(map(int, octets)), "big")
     value = network.inverse(value) if back else network.forward(value)
@@ -226,43 +232,130 @@ _PATTERN = re.compile(
     r"|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp_|gho_|sk-|xoxb-|xoxp-)[A-Za-z0-9-]{16,}\b"
     r"|(?<![0-9A-Za-z])(?=[0-9a-fA-F]*\d)(?=[0-9a-fA-F]*[a-fA-F])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z]))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)"
-    r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
-    r"|(?P<date>(?<![\d./-])(?:\d{4}(?:-\d{2}-\d{2}|/\d{2}/\d{2}|\.\d{2}\.\d{2})"
-    r"|\d{1,2}(?:-\d{1,2}-|/\d{1,2}/|\.\d{1,2}\.)\d{4})(?![\d/-]|\.\d))"
-    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<card>(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d))"
-    r"|(?P<phone>(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?!\d)"
-    r"|(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-]))"
 )
+# Kinds made of digit groups, each matched at the start of a group.
+_FIXED = (
+    ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)")),
+    ("date", re.compile(
+        r"(?<![\d./-])(?:\d{4}(?:-\d{2}-\d{2}|/\d{2}/\d{2}|\.\d{2}\.\d{2})"
+        r"|\d{1,2}(?:-\d{1,2}-|/\d{1,2}/|\.\d{1,2}\.)\d{4})(?![\d/-]|\.\d)")),
+    ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
+    ("phone", re.compile(r"(?<![\d.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])")),
+)
+_AREA = re.compile(r"(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)")
+_WORLD = re.compile(r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}")
+_ZONE = re.compile(r"\+?\(?\d+(?:[ .()/+-]{1,3}\d+)*")
+_GROUP = re.compile(r"\d+")
+_CARD_SHAPES = ((4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4), (4, 3, 3, 3), (6, 13))
+_SHAPED = 10  # what a value in a usual format is worth, in digits
 _CHANGE = {
     "email": _email, "card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date, "secret": _secret,
 }
+# Whether a text in a kind's format is a value of it.
+_CHECK = {
+    "ip": _valid_ip, "date": lambda text: _date(b"", text, False) is not None,
+    "ssn": lambda text: _valid_ssn(text.replace("-", "")), "phone": lambda text: True,
+}
 _WORTH = re.compile(r"[0-9@]")
 
 
+def _candidates(text: str, groups: list[tuple[int, int]], i: int):
+    """(kind, start, end, in a usual format) of the valid values that begin with digit group ``i``."""
+    start = groups[i][0]
+    before = text[start - 1 : start]
+    for kind, pattern in _FIXED:
+        match = pattern.match(text, start)
+        if match and _CHECK[kind](match.group()):
+            yield kind, start, match.end(), True
+    if before == "(" and (match := _AREA.match(text, start - 1)):
+        yield "phone", start - 1, match.end(), True
+    if before == "+":
+        digits = 0
+        for first, end in groups[i:]:
+            digits += end - first
+            if digits > 18:
+                return
+            if _WORLD.fullmatch(text, start - 1, end) and _phone_parts(text[start - 1 : end]):
+                yield "phone", start - 1, end, True
+        return
+    joined = lambda k: 0 < k < len(groups) and text[groups[k - 1][1] : groups[k][0]] in (" ", "-")
+    digits = ""
+    for j in range(i, len(groups)):
+        if j > i and not joined(j):
+            return
+        digits += text[slice(*groups[j])]
+        if len(digits) > 19:
+            return
+        # Of a longer run of small numbers, such as a table's row, every second part would do by chance.
+        whole = not joined(i) and not joined(j + 1)
+        if (whole or len(digits) >= 3 * (j + 1 - i)) and _valid_card(digits):
+            shape = tuple(e - s for s, e in groups[i : j + 1])
+            yield "card", start, groups[j][1], len(shape) == 1 or shape in _CARD_SHAPES
+
+
+def _numbers(text: str, start: int, stop: int) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of the values made of digit groups.
+
+    Neighbouring numbers may read as one value or as several; of all ways to cut a row of groups the
+    one that covers most digits by valid values wins, and usual formats count more.
+    """
+    found = []
+    for zone in _ZONE.finditer(text, start, stop):
+        if zone.end() - zone.start() < 7:  # the shortest value is an address of four digits
+            continue
+        groups = [m.span() for m in _GROUP.finditer(text, *zone.span())]
+        after = {end: j + 1 for j, (_, end) in enumerate(groups)}
+        best, take = [0] * (len(groups) + 1), [None] * len(groups)
+        for i in reversed(range(len(groups))):
+            best[i] = best[i + 1]
+            for kind, s, e, usual in _candidates(text, groups, i):
+                j = after.get(e)
+                if j is None or s < zone.start():
+                    continue
+                worth = sum(b - a for a, b in groups[i:j]) + _SHAPED * usual + best[j]
+                if worth > best[i]:
+                    best[i], take[i] = worth, (kind, s, e)
+        i = 0
+        while i < len(groups):
+            if take[i]:
+                found.append(take[i])
+                i = after[take[i][2]]
+            else:
+                i += 1
+    return found
+
+
 def pseudonymise(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, dict[str, int]]:
     """The text with pseudonyms, and how many values of each kind were replaced."""
     if not text or not _WORTH.search(text) and "AKIA" not in text:
         return text, {}
     counts: dict[str, int] = {}
+    out: list[str] = []
+    done = at = 0
 
-    def change(match: re.Match) -> str:
-        kind = match.lastgroup
-        new = _CHANGE[kind](key, match.group(), back)
-        if new is None and kind in ("card", "iban", "date", "ip"):
-            return _PATTERN_PHONE.sub(lambda m: tally("phone", _phone(key, m.group(), back), m.group()), match.group())
-        return tally(kind, new, match.group())
-
-    def tally(kind: str, new: str | None, old: str) -> str:
-        if new is None:
-            return old
+    def put(kind: str, start: int, end: int, new: str) -> None:
+        nonlocal done
+        out.extend((text[done:start], new))
         counts[kind] = counts.get(kind, 0) + 1
-        return new
-
-    return _PATTERN.sub(change, text), counts
+        done = end
 
+    def numbers(stop: int) -> None:
+        for kind, start, end in _numbers(text, done, stop):
+            put(kind, start, end, _CHANGE[kind](key, text[start:end], back))
 
-_PATTERN_PHONE = re.compile(r"(?<![\d.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])")
+    while match := _PATTERN.search(text, at):
+        start, end, kind = match.start(), match.end(), match.lastgroup
+        new = _CHANGE[kind](key, match.group(), back)
+        while new is None and (end := text.rfind(" ", start, end)) > start:  # an IBAN with what follows it
+            new = _CHANGE[kind](key, text[start:end], back)
+        if new is None:
+            at = start + 1
+            continue
+        numbers(start)
+        put(kind, start, end, new)
+        at = end
+    numbers(len(text))
+    return "".join(out) + text[done:], counts
 
 
 def replace_personal_data(

@@ -1,6 +1,8 @@
 """Pseudonyms, main text, language and quality."""
 
+import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,6 +64,31 @@ def test_clean_texts_stay():
         assert pii.pseudonymise(text, KEY) == (text, {})
 
 
+def test_neighbouring_values_of_all_kinds_are_replaced():
+    flat = [(kind, value) for kind, values in PRIVATE.items() for value in values]
+    for sep in (" ", ", ", " - ", " ("):
+        for (kind, a), (other, b) in itertools.permutations(flat, 2):
+            new, counts = pii.pseudonymise(f"{a}{sep}{b}", KEY)
+            assert counts == Counter([kind, other]) and a not in new and b not in new, (a, sep, b, new)
+
+
+@pytest.mark.parametrize(
+    "text, stays",
+    [
+        ("4111111111111111 12/27", " 12/27"), ("4111 1111 1111 1111 123", " 123"), ("card 12 4111 1111 1111 1111", "card 12 "),
+        ("1234 4111 1111 1111 1111 77", "1234 "),
+    ],
+)
+def test_cards_beside_other_digits(text, stays):
+    new, counts = pii.pseudonymise(text, KEY)
+    assert counts == {"card": 1} and stays in new and "1111 1111" not in new and "11111111" not in new
+
+
+def test_rows_of_small_numbers_stay():
+    rows = " ".join(str(10 + i * 37 % 90) for i in range(200))
+    assert pii.pseudonymise(rows, KEY) == (rows, {})
+
+
 def test_pii_frame(spark):
     rows = odd_rows() + [(50, "mail ann@x.example.com now"), (51, "x" * 300_000 + " 10.20.30.40")]
     got = pii.replace_personal_data(clashing(documents(spark, rows)), KEY, keep=("source", "a")).collect()
