@@ -10,7 +10,7 @@
    sets prove that too many shingles are not in common.
 4. *Confirmation*: what remains is compared on the full shingle sets, built again from the texts.
 5. *Rest*: where a bucket's members are still in several components, members outside of its main
-   component are compared, by sketches, with all members of the bucket, in blocks; first the best
+   component are compared, by sketches, with all members of the bucket, in pairs of blocks; first the best
    partner of each is confirmed, then every candidate that still joins two components.
 
 A pair of similarity 0.8 misses all bands with probability (1 - 0.8 ** 4) ** 32 = 5e-8.
@@ -206,9 +206,10 @@ def _confirm(docs: DataFrame, id_col: str, text: str, words: int, percent: int,
 def _rest(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Candidate pairs (a, a_s1, b, b_s1) that share a bucket but no component yet.
 
-    A bucket's main component is its hub's. Members outside of it go to every block of the bucket;
-    each block holds about ``BLOCK`` members. With ``best_only`` each of them gives its best
-    candidate of the block, else all.
+    A bucket's main component is its hub's. Members outside of it, in blocks of their own, are
+    compared with every block of the bucket; a block on either side holds about ``BLOCK`` members,
+    so a pair of blocks is bounded. With ``best_only`` each of them gives its best candidate of the
+    block, else all.
     """
     allowed = shingles.bits_allowed(percent / 100)
     known = labels.select(F.col("node").alias("_rep"), F.col("component").alias("_component"))
@@ -222,24 +223,39 @@ def _rest(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: in
         F.max(F.when(F.col("_rep") == F.col("_hub"), F.col("_component"))).alias("_main"),
     )
     open_ = open_.where("_low <> _high AND _members > 2").select("_key", "_main", F.ceil(F.col("_members") / BLOCK).cast("int").alias("_blocks"))
-    rows = now.where("_rep <> _hub").drop("_hub").join(stage(open_, "near-open"), "_key")
+    open_ = stage(open_, "near-open")
     minor = F.col("_component") != F.col("_main")
-    home = F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int")
-    spread = rows.select(
-        "_key", "_rep", "_component", minor.alias("_minor"), home.alias("_home"),
-        F.explode(F.when(minor, F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(F.array(home))).alias("_block"),
+    sides = now.join(open_, "_key").where(minor).groupBy("_key").count()
+    sides = sides.select("_key", F.ceil(F.col("count") / BLOCK).cast("int").alias("_sides"))
+    open_ = stage(open_.join(sides, "_key"), "near-open")
+    rows = now.where("_rep <> _hub").drop("_hub").join(open_, "_key")
+    salt = F.xxhash64("_rep")
+    rows = rows.select(
+        "_key", "_rep", "_component", "_blocks", "_sides", minor.alias("_minor"),
+        F.pmod(salt, F.col("_blocks")).cast("int").alias("_home"), F.pmod(salt, F.col("_sides")).cast("int").alias("_own"),
     )
+    # Every member stands in its block against all sides; one outside of the main component also in
+    # its side against all blocks.
+    place = lambda side, block: F.struct(side.alias("_side"), block.alias("_block"))
+    numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    here = F.transform(numbers("_sides"), lambda s: place(s, F.col("_home")))
+    others = F.filter(numbers("_blocks"), lambda b: b != F.col("_home"))
+    there = F.transform(others, lambda b: place(F.col("_own"), b))
+    places = F.when(F.col("_minor"), F.concat(here, there)).otherwise(here)
+    columns = ["_key", "_rep", "_component", "_minor", "_home", "_own"]
+    spread = rows.select(*columns, F.explode(places).alias("_place")).select(*columns, "_place.*")
     own = classes.select("_rep", "_s1", "_n", "_sketch", "_parity")
 
     def compare(table: pa.Table) -> pa.Table:
-        rep, comp, minor, home, block, s1, n = (
-            table.column(k).to_numpy() for k in ("_rep", "_component", "_minor", "_home", "_block", "_s1", "_n")
+        rep, comp, minor, own_side, side, home, block, s1, n = (
+            table.column(k).to_numpy()
+            for k in ("_rep", "_component", "_minor", "_own", "_side", "_home", "_block", "_s1", "_n")
         )
         sketch, parity = (
             np.frombuffer(b"".join(table.column(k).to_pylist()), np.uint64).reshape(len(rep), -1)
             for k in ("_sketch", "_parity")
         )
-        left, right = np.flatnonzero(minor), np.flatnonzero(home == block)
+        left, right = np.flatnonzero(minor & (own_side == side)), np.flatnonzero(home == block)
         found = [np.zeros(0, np.int64)]
         for at in range(0, len(left), 16):
             i = left[at : at + 16]
@@ -265,7 +281,7 @@ def _rest(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: in
 
     # As many tasks as shuffles have: the rows are few, the comparisons may not be.
     tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = spread.join(own, "_rep").repartition(tasks, "_key", "_block").groupBy("_key", "_block")
+    grouped = spread.join(own, "_rep").repartition(tasks, "_key", "_side", "_block").groupBy("_key", "_side", "_block")
     return grouped.applyInArrow(compare, "a long, a_s1 long, b long, b_s1 long").distinct()
 
 

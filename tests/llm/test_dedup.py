@@ -148,6 +148,30 @@ def test_blocks_of_large_buckets_lose_nothing(spark, monkeypatch):
     assert sorted({tuple(r) for r in got}) == brute_near(rows, 2)
 
 
+def test_buckets_of_a_shared_passage_are_compared_in_bounded_groups(spark, monkeypatch):
+    block = 8
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    grouped = type(spark.range(1).groupBy())
+    apply = grouped.applyInArrow
+
+    def bounded(self, function, schema):
+        def checked(table):
+            if table.num_rows > 5 * block:
+                raise ValueError(f"group of {table.num_rows} rows")
+            return function(table)
+
+        return apply(self, checked, schema)
+
+    monkeypatch.setattr(grouped, "applyInArrow", bounded)
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(80))
+    rows = [(i, f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(17))) for i in range(1, 121)]
+    # Two links that no hub shows.
+    rows += [(201, rows[70][1] + " more"), (202, rows[90][1] + " more")]
+    got = near_dedup.near_duplicates(documents(spark, rows), words=2).collect()
+    assert sorted({tuple(r) for r in got}) == brute_near(rows, 2)
+
+
 def test_keep_representatives(spark):
     rows = corpus(4, groups=4)
     kept = near_dedup.keep_representatives(documents(spark, rows), words=2)
