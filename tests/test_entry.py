@@ -20,4 +20,4 @@ def test_the_rest_stands_without_the_training_data_folders(tmp_path, with_pipeli
     assert seen.stdout.split() == ["[]", "True"], seen.stderr
     run = [sys.executable, "-m", "pytest", "--collect-only", "-q", "-p", "no:cacheprovider", "tests"]
     found = subprocess.run(run, cwd=copy, capture_output=True, text=True)
-    assert found.returncode == 0 and "error" not in found.stdout, found.stdout
+    assert found.returncode == 0, found.stdout
