@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import exact_dedup, html_text, language_id, near_dedup, packing, pii, quality, token_files, topk, unigram
+from loamline.llm import exact_dedup, html_text, language_id, merkle, near_dedup, packing, pii, quality, token_files, topk, unigram
 from loamline.llm.tables import crc_bucket, table
 from loamline.staging import new_path, stage
 
@@ -75,6 +75,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(
+        table(spark, sf_dir, "documents"),
+        tampered=crc_bucket("doc_id", 2) == 0,
+        changed=F.replace("text", F.lit("\n"), F.lit("")),
+        columns=["doc_id", "source", "lang", "n_chars", "text"],
+        key="doc_id",
+        tree="source",
+        text="text",
+    )
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -86,6 +98,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 SQL = {
@@ -142,4 +155,51 @@ SQL = {
             FROM n WINDOW w AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id NULLS LAST))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM r
     """,
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE base AS (
+            SELECT row_number() OVER () AS rid, doc_id, coalesce('s' || source, '') AS tree,
+                   sha256(concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                       coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+                       coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+                   coalesce(list_reduce([4294967295::UBIGINT] || [ascii(c)::UBIGINT FOR c IN string_split(doc_id::VARCHAR, '')],
+                       lambda crc, byte: list_reduce([xor(crc, byte)] || range(8)::UBIGINT[],
+                           lambda r, bit: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::UBIGINT) ELSE r // 2 END)), 0) % 2 = 1 AS even,
+                   sha256(concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                       coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+                       coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))) AS other
+            FROM documents),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY tree) AS n, CASE WHEN even THEN other ELSE leaf END AS claim FROM base),
+        nodes(tree, lvl, pos, n, h) AS (
+            SELECT tree, 0, pos, n, leaf FROM ranked
+            UNION ALL
+            SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes
+            WHERE n > 1 GROUP BY tree, lvl, pos // 3, n),
+        subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+        tops(lvl, pos, n, h) AS (
+            SELECT 0, pos, n, subroot FROM subroots
+            UNION ALL
+            SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM tops
+            WHERE n > 1 GROUP BY lvl, pos // 3, n),
+        runs AS (SELECT tree, lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL),
+        top_runs AS (SELECT lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM tops WHERE n > 1 GROUP BY ALL),
+        low(rid, tree, lvl, pos, n, cur, proof) AS (
+            SELECT rid, tree, 0, pos, n, claim, '' FROM ranked
+            UNION ALL
+            SELECT rid, l.tree, l.lvl + 1, pos // 3, (n + 2) // 3,
+                   sha256(concat(array_to_string(hs[1:pos % 3], ''), cur, array_to_string(hs[pos % 3 + 2:], ''))),
+                   concat(proof, array_to_string(hs[1:pos % 3], ''), array_to_string(hs[pos % 3 + 2:], ''))
+            FROM low l JOIN runs r ON r.tree = l.tree AND r.lvl = l.lvl AND r.run = pos // 3 WHERE n > 1),
+        high(rid, lvl, pos, n, cur, proof) AS (
+            SELECT rid, 0, s.pos, s.n, cur, proof FROM low l JOIN subroots s ON s.tree = l.tree WHERE l.n = 1
+            UNION ALL
+            SELECT rid, l.lvl + 1, pos // 3, (n + 2) // 3,
+                   sha256(concat(array_to_string(hs[1:pos % 3], ''), cur, array_to_string(hs[pos % 3 + 2:], ''))),
+                   concat(proof, array_to_string(hs[1:pos % 3], ''), array_to_string(hs[pos % 3 + 2:], ''))
+            FROM high l JOIN top_runs r ON r.lvl = l.lvl AND r.run = pos // 3 WHERE n > 1),
+        top AS (SELECT h AS root FROM tops WHERE n = 1)
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+        FROM ranked JOIN high USING (rid) JOIN subroots s ON s.tree = ranked.tree, top WHERE high.n = 1
+    """,
 }
