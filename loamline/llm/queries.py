@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import exact_dedup, html_text, language_id, merkle, near_dedup, packing, pii, quality, token_files, topk, unigram
+from loamline.llm import best_position, exact_dedup, html_text, language_id, merkle, near_dedup, packing, pii, quality, repeats, token_files, topk, unigram
 from loamline.llm.tables import crc_bucket, table
 from loamline.staging import new_path, stage
 
@@ -87,6 +87,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -99,6 +108,8 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_repeated_passages": op13_repeated_passages,
 }
 
 SQL = {
@@ -202,4 +213,46 @@ SQL = {
         SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
         FROM ranked JOIN high USING (rid) JOIN subroots s ON s.tree = ranked.tree, top WHERE high.n = 1
     """,
+    "op12_ranked_search": r"""
+        WITH t AS (
+            SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        g AS (SELECT count(*) AS all_docs, sum(len(terms))::BIGINT AS all_terms FROM t WHERE len(terms) > 0),
+        o AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+              FROM (SELECT rid, doc_id, len(terms) AS n, unnest(terms) AS term FROM t) GROUP BY rid, term),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        w AS (SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+              FROM o, g GROUP BY term, all_docs),
+        s AS (
+            SELECT item_id, rid, any_value(doc_id) AS doc_id,
+                   sum(w.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
+            FROM q JOIN o USING (term) JOIN w USING (term), g GROUP BY item_id, rid),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, rid) AS rank
+              FROM s WHERE score > 0)
+        SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 10
+    """,
+    "op13_repeated_passages": r"""
+        WITH b AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS ord,
+                          hex(encode(coalesce(text, ''))) AS hx FROM documents),
+        c AS (SELECT rid, ord, o, substr(hx, 2 * o + 1, 2 * (512 + 49)) AS part
+              FROM (SELECT rid, ord, hx, unnest(range(0, len(hx) // 2, 512)) AS o FROM b)),
+        g AS (SELECT rid, ord, o + i AS p, substr(part, 2 * i + 1, 100) AS gram
+              FROM (SELECT rid, ord, o, part, unnest(range(0, least(512, len(part) // 2 - 49))) AS i FROM c)),
+        m AS (SELECT gram, min(ord) AS least FROM g GROUP BY gram),
+        d AS (SELECT rid, p FROM g JOIN m USING (gram) WHERE least < ord),
+        j AS (SELECT rid, p, p - lag(p) OVER (PARTITION BY rid ORDER BY p) <= 50 AS joined FROM d),
+        i AS (SELECT rid, p, count(*) FILTER (joined IS DISTINCT FROM TRUE) OVER (PARTITION BY rid ORDER BY p) AS island FROM j),
+        s AS (SELECT rid, min(p) AS a, max(p) + 50 AS z FROM i GROUP BY rid, island),
+        o AS (SELECT rid, a, z, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS prev FROM s),
+        k AS (SELECT rid, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS tail,
+                     string_agg(substr(hx, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS kept
+              FROM o JOIN b USING (rid) GROUP BY rid)
+        SELECT doc_id, len(hx) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(CASE WHEN k.rid IS NULL THEN hx ELSE kept || substr(hx, 2 * tail + 1) END)) AS kept_sha256
+        FROM b LEFT JOIN k USING (rid)
+    """,
 }

@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = list(queries.QUERIES)
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 12)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(names) | {"pipeline"} <= set(entry.queries())
 
 
