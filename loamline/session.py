@@ -88,6 +88,20 @@ def sized_shuffles(spark: SparkSession, stored_bytes: int):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def tidy_shuffles(spark: SparkSession):
+    """Within the block, the shuffle files of each query are deleted when it ends, not when the driver collects
+    garbage. For chains of written tables, whose plans run once; a frame that is to run twice belongs outside.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_session(cpus: int | None = None, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
