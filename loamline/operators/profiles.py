@@ -52,6 +52,25 @@ def histogram(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
+def merge_histograms(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """One histogram out of two, e.g. of two batches: bins add up by the pairwise variance rule."""
+    same = W.partitionBy(key, "bin")
+    mean = F.sum(F.col("c") * F.col("mean")).over(same) / F.sum("c").over(same)
+    spread = F.col("m2") + F.col("c") * F.pow(F.col("mean") - F.col("all_mean"), 2)
+    return (
+        one.unionByName(other)
+        .withColumn("all_mean", mean)
+        .groupBy(key, "bin")
+        .agg(
+            F.sum("c").alias("c"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+            F.first("all_mean").alias("mean"),
+            F.sum(spread).alias("m2"),
+        )
+    )
+
+
 def moments_of(hist: DataFrame, key: str) -> DataFrame:
     """(key, n, mean, m2, min, max) from a histogram, by the pairwise variance rule."""
     total = W.partitionBy(key)
@@ -83,18 +102,22 @@ def _holding(counts: DataFrame, by: list[str], order: str, rank: Column) -> Data
     )
 
 
-def _within(df: DataFrame, key: str, value: str, targets: DataFrame) -> DataFrame:
-    """(key, rank, local_rank, lo, hi, v): the values that fall into a target's bin."""
+def _within(df: DataFrame, key: str, value: str, targets: DataFrame, times: str | None) -> DataFrame:
+    """(key, rank, local_rank, lo, hi, v, times): the values that fall into a target's bin."""
     v = F.col(value)
+    often = F.lit(1).cast("bigint") if times is None else F.col(times)
     return (
-        df.select(key, v.alias("v"))
+        df.select(key, v.alias("v"), often.alias("times"))
         .join(targets.select(key, "rank", "local_rank", "lo", "hi"), key)
         .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
     )
 
 
-def medians_of(df: DataFrame, key: str, value: str, hist: DataFrame) -> DataFrame:
-    """(key, median): exact, from the data and its staged :func:`histogram`."""
+def medians_of(df: DataFrame, key: str, value: str, hist: DataFrame, times: str | None = None) -> DataFrame:
+    """(key, median): exact, from the data and its staged :func:`histogram`.
+
+    A row may stand for several equal values, as many as its column ``times`` says.
+    """
     n = F.col("n")
     middle = F.array_distinct(
         F.array(F.call_function("div", n - 1, F.lit(2)), F.call_function("div", n, F.lit(2)))
@@ -108,12 +131,12 @@ def medians_of(df: DataFrame, key: str, value: str, hist: DataFrame) -> DataFram
     target = stage(_holding(counts, by, "bin", F.col("rank")), "median-bin")
     # The ends of a bin fall into different cells, so every round makes it smaller.
     while _widest(target) > DIRECT_VALUES:
-        target = _refined(df, key, value, target)
+        target = _refined(df, key, value, target, times)
 
     values = (
-        _within(df, key, value, target)
+        _within(df, key, value, target, times)
         .groupBy(key, "rank", F.col("local_rank").alias("wanted"), "v")
-        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.sum("times").alias("c"))
     )
     exact = _holding(values, by, "v", F.col("wanted"))
     return exact.groupBy(key).agg(F.avg("v").alias("median"))
@@ -124,15 +147,15 @@ def _widest(target: DataFrame) -> int:
     return target.where("lo < hi").agg(F.max("c")).first()[0] or 0
 
 
-def _refined(df: DataFrame, key: str, value: str, coarse: DataFrame) -> DataFrame:
+def _refined(df: DataFrame, key: str, value: str, coarse: DataFrame, times: str | None) -> DataFrame:
     """The targets again, each within one of many equal cells of its bin; staged."""
     width = F.col("hi") - F.col("lo")
     share = F.try_divide(F.col("v") - F.col("lo"), width)
     cell = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * LINEAR_BINS), F.lit(LINEAR_BINS - 1))
     cells = (
-        _within(df, key, value, coarse)
+        _within(df, key, value, coarse, times)
         .groupBy(key, "rank", F.col("local_rank").alias("wanted"), cell.alias("cell"))
-        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .agg(F.sum("times").alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
     return stage(_holding(cells, [key, "rank"], "cell", F.col("wanted")), "median-cell")
 

@@ -220,12 +220,13 @@ def missing_by_anti_join(hours: DataFrame) -> DataFrame:
     return expected_hours(hours).join(hours, [*SERIES, "hour_no"], "left_anti")
 
 
-def gap_spans(hours: DataFrame) -> DataFrame:
+def gap_spans(hours: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """(sensor, type, from_hour, to_hour): maximal runs of missing hours.
 
-    One row per gap however long it is; only active hours are sorted.
+    One row per gap however long it is; only active hours are sorted. ``calendar`` is the
+    :func:`series_calendar` of the hours if the caller has it; they need no more than ``hour_no`` then.
     """
-    bounds = _bounded(series_calendar(hours))
+    bounds = _bounded(series_calendar(hours) if calendar is None else calendar)
     known = hours.where(F.col("hour_no").isNotNull()).select(*SERIES, "hour_no")
     fences = bounds.select(
         *SERIES, F.explode(F.array(F.col("first_hour") - 1, F.col("last_hour") + 1)).alias("hour_no")

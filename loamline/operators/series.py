@@ -16,6 +16,7 @@ Both are bounded by the number of slices, and the result equals the plain one.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +50,14 @@ def _sequence_fields(within: WindowSpec, cfg: PipelineConfig) -> dict[str, Colum
     }
 
 
+# Marks rows of earlier batches, which later rows see and which are no rows of the result.
+HISTORIC = "historic"
+
+
+def _own_value(df: DataFrame) -> Column:
+    return F.when(~F.col(HISTORIC), F.col("value")) if HISTORIC in df.columns else F.col("value")
+
+
 def _pick(fields: dict[str, Column], wanted: tuple[str, ...]) -> dict[str, Column]:
     return {name: col for name, col in fields.items() if name in wanted}
 
@@ -57,7 +66,7 @@ def _plain(df: DataFrame, cfg: PipelineConfig, wanted: tuple[str, ...], order: l
     fields = _sequence_fields(W.partitionBy(*SERIES).orderBy(*order), cfg)
     if "daily_avg_value" in wanted:
         # (sensor, type) partitioning already co-locates each (sensor, type, date).
-        fields["daily_avg_value"] = F.avg("value").over(W.partitionBy(*SERIES, "date"))
+        fields["daily_avg_value"] = F.avg(_own_value(df)).over(W.partitionBy(*SERIES, "date"))
     return df.withColumns(_pick(fields, wanted))
 
 
@@ -97,9 +106,8 @@ def _carry_rows(sliced: DataFrame, order: list[str], count: int) -> DataFrame:
 
 def _split_days(sliced: DataFrame) -> DataFrame:
     """Means of the (sensor, type, date) groups that a cut divides, as a staged table."""
-    parts = sliced.groupBy(*SERIES, "date", "slice").agg(
-        F.sum("value").alias("s"), F.count("value").alias("c")
-    )
+    own = _own_value(sliced)
+    parts = sliced.groupBy(*SERIES, "date", "slice").agg(F.sum(own).alias("s"), F.count(own).alias("c"))
     whole = (
         parts.groupBy(*SERIES, "date")
         .agg(F.count(F.lit(1)).alias("parts"), F.sum("s").alias("s"), F.sum("c").alias("c"))
@@ -122,7 +130,7 @@ def _sliced(
 
     fields = _sequence_fields(W.partitionBy("slice", *SERIES).orderBy(*order), cfg)
     if "daily_avg_value" in wanted:
-        here = F.avg("value").over(W.partitionBy("slice", *SERIES, "date"))
+        here = F.avg(_own_value(both)).over(W.partitionBy("slice", *SERIES, "date"))
         fields["daily_avg_value"] = F.coalesce("split_day_avg", here)
     out = both.withColumns(_pick(fields, wanted)).where(~F.col("carried"))
     return out.drop("slice", "carried", "split_day_avg")
@@ -155,11 +163,20 @@ def series_fields(
     wanted: tuple[str, ...] = ALL_FIELDS,
     tiebreak: str | None = None,
     sizes: tuple[DataFrame | None, int] | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Add the wanted neighbour fields, slicing exactly the series that are too large.
 
-    ``sizes`` is the :func:`large_series` of these rows if the caller has it.
+    ``sizes`` is the :func:`large_series` of these rows if the caller has it. ``history`` are the last rows of
+    earlier batches (series, ordering columns and ``value``): they are neighbours like any other, but take no
+    part in day means and are not returned.
     """
+    if history is not None:
+        sizes = large_series(df, cfg) if sizes is None else sizes
+        older = history.select(*SERIES, *total_order(df), "value").withColumn(HISTORIC, F.lit(True))
+        both = df.withColumn(HISTORIC, F.lit(False)).unionByName(older, allowMissingColumns=True)
+        out = series_fields(both, cfg, wanted, tiebreak, sizes)
+        return out.where(~F.col(HISTORIC)).drop(HISTORIC)
     order = total_order(df, tiebreak)
     large, rows = large_series(df, cfg) if sizes is None else sizes
     if large is None:
@@ -176,7 +193,12 @@ def daily_means(df: DataFrame) -> DataFrame:
     return df.groupBy("date", *SERIES).agg(F.avg("value").alias("daily_avg_value"))
 
 
-def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_avg") -> DataFrame:
+def rolling_days(
+    df: DataFrame,
+    cfg: PipelineConfig,
+    out: str = "rolling_days_avg",
+    history: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """Trailing mean over (t − ``rolling_days``, t] of each series.
 
     A sliding range frame visits the whole span again for every row. Here the span is the sum
@@ -185,7 +207,36 @@ def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_av
     is just leaving the span (seen through copies of its rows moved forward by the span).
     Only rows of one (sensor, type, hour) meet in a task. The input is scanned three times, so
     pass a written frame.
+
+    ``history`` are earlier batches: (hourly sums, rows). The sums (series, ``span_hour``, ``s``, ``c``, ``rows``)
+    stand for whole hours; the rows (series, ``timestamp``, ``value``) are needed only where an hour is cut, see
+    :func:`cut_hours`.
     """
+    if history is not None:
+        sums, older = history
+        both = df.withColumn(HISTORIC, F.lit(False)).unionByName(
+            older.select(*SERIES, "timestamp", "value").withColumn(HISTORIC, F.lit(True)), allowMissingColumns=True
+        )
+        means = _rolling_days(both, cfg, out, sums)
+        return means.where(~F.col(HISTORIC)).drop(HISTORIC)
+    return _rolling_days(df, cfg, out, None)
+
+
+def cut_hours(df: DataFrame, cfg: PipelineConfig) -> list[tuple[datetime, datetime]]:
+    """The spans of time whose earlier rows :func:`rolling_days` needs one by one: rows that share an hour with a
+    row of ``df``, and rows that leave its span within an hour. None if ``df`` is empty.
+    """
+    bounds = df.agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")).first()
+    if bounds.low is None:
+        return []
+    hour, span = timedelta(hours=1), timedelta(days=cfg.rolling_days)
+    return [
+        (bounds.low - span - hour, bounds.high - span + hour),
+        (bounds.low - hour, bounds.high + hour),
+    ]
+
+
+def _rolling_days(df: DataFrame, cfg: PipelineConfig, out: str, older_sums: DataFrame | None) -> DataFrame:
     span_hours = cfg.rolling_days * 24
     span = span_hours * _MICROS_PER_HOUR
     hour_of = lambda us: F.call_function(
@@ -201,12 +252,14 @@ def rolling_days(df: DataFrame, cfg: PipelineConfig, out: str = "rolling_days_av
         F.lit(1).alias("kind"),
     )
     key = [*SERIES, "span_hour"]
-    hours = stage(
-        own.groupBy(*key).agg(
-            F.sum("value").alias("s"), F.count("value").alias("c"), F.count(F.lit(1)).alias("rows")
-        ),
-        "span-hours",
+    fresh = own if older_sums is None else own.where(~F.col(HISTORIC))
+    sums = fresh.groupBy(*key).agg(
+        F.sum("value").alias("s"), F.count("value").alias("c"), F.count(F.lit(1)).alias("rows")
     )
+    if older_sums is not None:
+        merged = sums.unionByName(older_sums.select(*sums.columns)).groupBy(*key)
+        sums = merged.agg(*[F.sum(c).alias(c) for c in ("s", "c", "rows")])
+    hours = stage(sums, "span-hours")
     earlier = W.partitionBy(*SERIES).orderBy("span_hour").rangeBetween(-(span_hours - 1), -1)
     middle = hours.select(
         *SERIES,

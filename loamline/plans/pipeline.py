@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import datetime, timedelta
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from loamline import functions as fx
 from loamline.config import PipelineConfig
+from loamline.operators import history, series
 from loamline.operators.quality import Quality, validate
-from loamline.plans.transform import Transformed, transform, transform_stats
+from loamline.plans.transform import Earlier, Transformed, transform, transform_stats
 from loamline.rows import local_frame
 from loamline.session import sized_shuffles
 from loamline.sinks import parquet as sink
+from loamline.sinks.batches import BatchTable, Entry, batch_name, window_of
 from loamline.sinks.reports import write_report
 from loamline.sources import files
-from loamline.staging import Scope, stage
+from loamline.staging import Scope, stage, together
 
 
 class IngestError(RuntimeError):
@@ -33,12 +39,32 @@ class PipelineResult:
     report_paths: tuple[str, str] | None
     metrics: DataFrame
     staged: Scope
+    stale: list[str]  # batches to load again because rows before them have changed
 
     def release(self) -> int:
         """Delete the run's intermediate tables; ``output`` and the reports stay."""
         return self.staged.drop()
 
 
+@dataclass(frozen=True)
+class _Job:
+    """What a run was asked for."""
+
+    raw_path: str
+    table: BatchTable
+    batch: str
+    cfg: PipelineConfig
+    start: str | None
+    end: str | None
+    validate_output: bool
+    report_path: str | None
+    partition_by: tuple[str, ...] | None
+    narrowed: bool
+    after_earlier: bool
+    day_span: bool
+    copy_days: int
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_path: str,
@@ -50,85 +76,159 @@ def run_pipeline(
     report_path: str | None = None,
     partition_by: tuple[str, ...] | None = None,
     narrowed: bool = False,
+    after_earlier: bool = True,
+    day_span: bool = False,
+    copy_days: int = 2,
 ) -> PipelineResult:
     """One batch. Ingest, transform and load failures abort; a failed validation does not.
 
-    The table at ``output_path`` holds one ``batch=<start>_<end>`` folder per window. A run replaces
-    the folder of its own window and no other, so adjacent windows keep all their rows and a run
+    The table at ``output_path`` holds one batch per window, see :mod:`loamline.sinks.batches`. A run replaces
+    the batch of its own window and no other, so adjacent windows keep all their rows and a run
     that is repeated changes nothing. Windows that overlap without being equal are refused: their
-    common files would be stored twice. ``output`` is this batch; ``sink.read_back`` reads the table.
+    common files would be stored twice. The rows are written aside and published when they are complete; until
+    then, and if the run fails, readers see the batch as it was. ``output`` is this batch;
+    :func:`read_table` reads the table.
+
+    A batch continues the published batches before it (:mod:`loamline.operators.history`): rows that they have
+    stored, up to ``copy_days`` days before, are copies; a type's statistics include theirs; the first rows of a series
+    see their last ones. So load the batches of a table in order; a batch whose predecessors have changed since is
+    named in ``stale``. With ``after_earlier=False`` a batch stands alone and leaves no history.
+    ``day_span`` adds ``rolling_days_avg``, the mean over the last ``cfg.rolling_days`` days.
 
     The enriched rows are written once, as the result; counters and validation then read the
     columns they need from that written table, so nothing is computed twice. The frames of the
     result read intermediate tables in the shared folder until ``release`` is called.
     """
+    batch = batch_name(start, end)
+    job = _Job(
+        raw_path, BatchTable(spark, output_path), batch, cfg, start, end, validate_output, report_path,
+        partition_by, narrowed, after_earlier, day_span, copy_days,
+    )
     with Scope(spark) as scope:
-        return _run(
-            scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by, narrowed
-        )
+        job.table.refuse_overlap(batch)
+        checked = files.check_window(spark, raw_path, start, end)
+        size = checked.agg(F.sum("length")).first()[0] or 0
+        with sized_shuffles(spark, size):
+            return _stages(scope, job, checked)
 
 
-def _run(
-    scope: Scope,
-    raw_path: str,
-    output_path: str,
-    cfg: PipelineConfig,
-    start: str | None,
-    end: str | None,
-    validate_output: bool,
-    report_path: str | None,
-    partition_by: tuple[str, ...] | None,
-    narrowed: bool,
-) -> PipelineResult:
-    spark = scope.spark
-    batch = batch_name(start, end)
-    _refuse_overlap(spark, output_path, batch)
-    checked = files.check_window(spark, raw_path, start, end)
-    size = checked.agg(F.sum("length")).first()[0] or 0
-    with sized_shuffles(spark, size):
-        return _stages(
-            scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by, narrowed,
-            batch, checked,
-        )
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All published rows of a table of batches.
 
+    A local day may lie in two batches; its ``daily_avg_value`` is the mean over all of them, from the day sums
+    that the batches left.
+    """
+    table = BatchTable(spark, path)
+    rows = table.read(schema)
+    if "daily_avg_value" not in rows.columns:
+        return rows
+    sums = table.read_history("day_sums", history.SCHEMAS["day_sums"], list(table.entries()))
+    return history.with_whole_days(rows, sums)
 
-FIRST, LAST = "first", "last"
 
+def stored_calendar(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(calendar, hours) of a whole table from its hour maps; no reading is read.
 
-def batch_name(start: str | None, end: str | None) -> str:
-    return f"{start or FIRST}_{end or LAST}"
+    They are what :mod:`loamline.operators.quality` makes coverage and gaps of: ``time_coverage(calendar)``,
+    ``gap_counts(calendar)``, ``gap_spans(hours, calendar)``. Copies that several batches stored count once
+    as hours and each as readings.
+    """
+    table = BatchTable(spark, path)
+    maps = table.read_history("hour_bits", history.SCHEMAS["hour_bits"], list(table.entries()))
+    days = stage(history.merged_bits(maps), "hour-maps")
+    return stage(history.calendar_of(days), "series-calendar"), history.hours_of(days)
 
 
-def _refuse_overlap(spark: SparkSession, output_path: str, batch: str) -> None:
-    """Raises if the table has another batch with days in common. One row per batch passes."""
-    bounds = lambda name: [
-        {FIRST: "0000-01-01", LAST: "9999-12-31"}.get(day, day) for day in name.split("_")
-    ]
-    low, high = bounds(batch)
-    for other in sink.stored_batches(spark, output_path):
-        first, last = bounds(other)
-        if other != batch and first <= high and low <= last:
-            raise ValueError(f"batch {batch} overlaps {other} in {output_path}; load equal or disjoint windows")
+def _earlier(job: _Job) -> Earlier:
+    before = job.table.before(job.batch)
+    read = lambda kind, batches: job.table.read_history(kind, history.SCHEMAS[kind], batches).drop("batch")
+    first = datetime.fromisoformat(window_of(job.batch)[0].replace("0000", "0001", 1))
+    near = [b for b in before if _day(window_of(b)[1]) + timedelta(days=job.copy_days) >= first]
+    # Tails and histograms are those of all batches so far.
+    return Earlier(
+        read("tails", before[-1:]), read("histograms", before[-1:]), read("values", before), read("keys", near)
+    )
 
 
-def _stages(
-    scope, raw_path, output_path, cfg, start, end, validate_output, report_path, partition_by, narrowed, batch, checked
-) -> PipelineResult:
-    spark = scope.spark
-    taken = files.ingest(spark, raw_path, start, end, checked)
+def _day(text: str) -> datetime:
+    return datetime.fromisoformat(text) if text < "9999" else datetime(9998, 12, 31)
+
+
+def _with_day_span(job: _Job, frame: DataFrame) -> DataFrame:
+    """``frame`` with the trailing mean over days, the rows of earlier batches included."""
+    rows = stage(frame, "enriched")
+    before = job.table.before(job.batch) if job.after_earlier else []
+    spans = series.cut_hours(rows, job.cfg) if before else []
+    if not spans:
+        return series.rolling_days(rows, job.cfg)
+    sums = job.table.read_history("hour_sums", history.SCHEMAS["hour_sums"], before).drop("batch")
+    low, high = (F.floor(F.unix_micros(F.lit(t)) / 3_600_000_000) for t in (spans[0][0], spans[1][1]))
+    sums = sums.where((F.col("span_hour") >= low) & (F.col("span_hour") <= high))
+    needed, columns = F.lit(False), ["sensor_id", "reading_type", "timestamp", "value", "date"]
+    for start, end in spans:
+        # The local dates prune folders, the instants row groups.
+        dates = [F.to_date(fx.wall_time(F.lit(t), job.cfg.target_timezone)).cast("string") for t in (start, end)]
+        inside = (F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") <= F.lit(end))
+        needed = needed | (F.col("date").between(*dates) & inside)
+    schema = T.StructType([f for f in frame.schema.fields if f.name in columns])
+    older = job.table.read(schema, before).where(needed)
+    return series.rolling_days(rows, job.cfg, history=(sums, stage(older, "cut-hours")))
+
+
+def _write_history(job: _Job, entry: Entry, done: Transformed, earlier: Earlier, output: DataFrame) -> Entry:
+    """Write what later batches need beside the new version; the entry that tells of it."""
+    folder = lambda kind: job.table.history_folder(kind, job.batch, entry.version)
+    sources = done.replaced.select("reading_type", F.col("source_value").alias("value"))
+    frames = {
+        "tails": history.tails(done.replaced, earlier.tails, job.cfg),
+        "histograms": done.histogram.coalesce(1),
+        "values": history.value_counts(sources).repartitionByRange("reading_type", "bin").sortWithinPartitions("reading_type", "bin"),
+        "keys": history.keys(done.distinct).repartitionByRange("timestamp").sortWithinPartitions("timestamp"),
+        "hour_sums": history.hour_sums(output),
+        "day_sums": history.day_sums(output),
+        "hour_bits": history.hour_bits(output, job.cfg),
+    }
+
+    def write(kind):
+        return lambda: frames[kind].write.parquet(folder(kind))
+
+    def rows_digest():
+        hashed = F.xxhash64(*done.distinct.columns).cast("decimal(38,0)")
+        return done.distinct.agg(F.sum(hashed).alias("s"), F.count(F.lit(1)).alias("n")).first()
+
+    *_, rows = together(*[write(k) for k in frames], rows_digest)
+    before = job.table.before(job.batch)
+    parent = job.table.entries()[before[-1]].digest if before else None
+    digest = sha256(f"{parent}|{rows.s}|{rows.n}|{job.cfg}".encode()).hexdigest()[:32]
+    return replace(entry, history=sorted(frames), digest=digest, parent=parent)
+
+
+def _stages(scope: Scope, job: _Job, checked: DataFrame) -> PipelineResult:
+    spark, cfg, table = scope.spark, job.cfg, job.table
+    taken = files.ingest(spark, job.raw_path, job.start, job.end, checked)
     if taken.readings is None:
-        raise IngestError(f"no readable file in {raw_path}")
-    done = transform(taken.readings, cfg)
-    keys = sink.partition_keys(done.frame, cfg, partition_by)
-    written = sink.load(done.frame, output_path, cfg, keys, batch=batch, narrowed=narrowed)
-    output = sink.read_back(spark, written, done.frame.schema, narrowed)
+        raise IngestError(f"no readable file in {job.raw_path}")
+    earlier = _earlier(job) if job.after_earlier else None
+    done = transform(taken.readings, cfg, earlier)
+    frame = _with_day_span(job, done.frame) if job.day_span else done.frame
+    keys = sink.partition_keys(frame, cfg, job.partition_by)
+    entry = sink.write_version(frame, table, job.batch, cfg, keys, narrowed=job.narrowed)
+    written = table.folder(job.batch, entry.version)
+    output = sink.read_back(spark, written, frame.schema, job.narrowed)
+    try:
+        if earlier is not None:
+            entry = _write_history(job, entry, done, earlier, output)
+        table.publish(job.batch, entry)
+    except BaseException:
+        table.discard(job.batch, entry.version, list(history.SCHEMAS))
+        raise
 
     quality, problem, report = None, None, None
-    if validate_output:
+    if job.validate_output:
         try:
             quality = validate(output, cfg)
-            if report_path is not None:
-                report = write_report(quality, report_path)
+            if job.report_path is not None:
+                report = write_report(quality, job.report_path)
         except Exception as e:  # the data is already loaded; the caller decides
             quality, problem = None, f"{type(e).__name__}: {e}"
 
@@ -138,7 +238,9 @@ def _stages(
     )
     summary = files.ingest_summary(taken.stats)
     metrics = stage(pipeline_metrics(summary, counters, quality, loaded, problem), "metrics")
-    return PipelineResult(output_path, output, taken, done, quality, problem, report, metrics, scope)
+    return PipelineResult(
+        table.path, output, taken, done, quality, problem, report, metrics, scope, table.stale()
+    )
 
 
 def _long(df: DataFrame, stage_name: str, columns: list[str]) -> DataFrame:

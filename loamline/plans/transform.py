@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loamline import functions as fx
 from loamline.config import PipelineConfig
-from loamline.operators import cleaning, outliers, series
+from loamline.operators import cleaning, history, outliers, series
 from loamline.rows import one_row
 from loamline.sources.readings import (
     READING_COLUMNS,
@@ -47,22 +47,47 @@ class Transformed:
     raw: DataFrame
     distinct: DataFrame
     cfg: PipelineConfig
+    # With earlier batches: the rows before the neighbour fields, the statistics' merged histogram, and the
+    # number of rows that earlier batches had stored already.
+    replaced: DataFrame | None = None
+    histogram: DataFrame | None = None
+    stored_before: int = 0
 
 
-def distinct_readings(raw: DataFrame) -> DataFrame:
-    """Normalised readings without full-row copies, compared as they were stored."""
-    spelled = keep_spelling(raw)
-    kept = tuple(c for c in spelled.columns if c == SPELLING)
-    rows = normalise(spelled.select(*READING_COLUMNS, *kept), keep=kept)
-    return cleaning.dedupe(rows).select(*READING_COLUMNS)
+@dataclass(frozen=True)
+class Earlier:
+    """What the batches before left, see :mod:`loamline.operators.history`; empty frames for a first batch."""
+
+    tails: DataFrame
+    histograms: DataFrame
+    values: DataFrame
+    keys: DataFrame
 
 
-def transform(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Transformed:
+def distinct_readings(raw: DataFrame, spelled: bool = False) -> DataFrame:
+    """Normalised readings without full-row copies, compared as they were stored.
+
+    With ``spelled`` the stored spelling of text timestamps stays as a column.
+    """
+    with_text = keep_spelling(raw)
+    kept = tuple(c for c in with_text.columns if c == SPELLING)
+    rows = cleaning.dedupe(normalise(with_text.select(*READING_COLUMNS, *kept), keep=kept))
+    return rows if spelled else rows.select(*READING_COLUMNS)
+
+
+def transform(
+    raw: DataFrame, cfg: PipelineConfig = PipelineConfig(), earlier: Earlier | None = None
+) -> Transformed:
     """clean → time zone → calibrate → outliers → neighbour fields → anomalies.
 
     The de-duplicated rows are written once; the per-type statistics and the main pass read
     that table, and everything up to the windows is row-wise on top of it.
+
+    With ``earlier`` batches, rows that they have stored are copies, a type's statistics are made of their rows
+    too, and the first rows of a series see the last ones before them.
     """
+    if earlier is not None:
+        return _transform_after(raw, cfg, earlier)
     distinct = stage(distinct_readings(raw), "distinct")
     cleaned = cleaning.clean(distinct, cfg)
     # Replacing values changes no series: sizes and moments are counted at once.
@@ -76,6 +101,25 @@ def transform(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Transfo
     return Transformed(final.select(*columns), raw, distinct, cfg)
 
 
+def _transform_after(raw: DataFrame, cfg: PipelineConfig, earlier: Earlier) -> Transformed:
+    read = stage(distinct_readings(raw, spelled=True), "distinct-read")
+    distinct = history.without_stored(read, earlier.keys)
+    before = 0
+    if distinct is not read:
+        distinct = stage(distinct, "distinct")
+        before = read.count() - distinct.count()  # both from footers
+    cleaned = cleaning.clean(distinct.select(*READING_COLUMNS), cfg)
+    (moments, merged), sizes = together(
+        lambda: history.type_moments(cleaned, earlier.histograms, earlier.values),
+        lambda: series.large_series(cleaned, cfg),
+    )
+    replaced = outliers.replace_outliers(cleaned, moments, cfg)
+    enriched = series.series_fields(replaced, cfg, sizes=sizes, history=earlier.tails)
+    final = cleaning.flag_anomalies(enriched, cfg)
+    columns = [c for c in ENRICHED_COLUMNS if c in final.columns]
+    return Transformed(final.select(*columns), raw, distinct, cfg, replaced, merged, before)
+
+
 def unparsable_time(raw: DataFrame) -> Column:
     """Rows whose stored time is there but is no time; they are dropped with the incomplete ones."""
     if SPELLING in raw.columns:
@@ -98,6 +142,7 @@ def transform_stats(done: Transformed, enriched: DataFrame | None = None) -> Dat
         F.count(F.lit(1)).alias("distinct_records"),
         F.count_if(F.col("battery_level").isNull()).alias("missing_values_filled"),
         F.count_if(all_present()).alias("records_after_cleaning"),
+        F.lit(done.stored_before).cast("bigint").alias("stored_before"),
     )
     flags = frame.agg(
         F.count(F.lit(1)).alias("records_final"),
@@ -113,6 +158,7 @@ def transform_stats(done: Transformed, enriched: DataFrame | None = None) -> Dat
         F.col("records_after_cleaning").alias("records_after_outlier_removal"),
         "records_final",
         (F.col("original_records") - F.col("distinct_records")).alias("duplicates_removed"),
+        *[F.col("stored_before").alias("duplicates_of_earlier_batches")][: done.replaced is not None],
         "unparsable_times",
         "missing_values_filled",
         "outliers_detected",

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from loamline import functions as fx
 from loamline.config import PipelineConfig
 from loamline.rows import local_frame, one_row
+from loamline.sinks.batches import BatchTable, Entry
 from loamline.sources.files import list_files, partition_values, read_or_none
 
 # --- writing -------------------------------------------------------------------
@@ -67,41 +68,66 @@ def load(
 ) -> str:
     """Partitioned when every key column is there, else a plain write. Returns the folder written.
 
-    With a ``batch`` the rows go below ``batch=<name>`` of the table, and the load replaces exactly
-    what an earlier load of that batch wrote there: batches never touch each other's rows, even
-    where they share a partition value. With ``narrowed`` columns are stored as narrow as the batch
+    With a ``batch`` the rows become a version of that batch in a table of batches (see
+    :mod:`loamline.sinks.batches`), written aside and published at the end: it replaces exactly what an earlier
+    load of that batch wrote, and batches never touch each other's rows, even where they share a partition value. With ``narrowed`` columns are stored as narrow as the batch
     allows (see :func:`narrow_plan`); double → float loses digits.
     """
     keys = partition_keys(df, cfg, partition_by)
-    codec = compression or cfg.compression
+    if batch is not None:
+        table = BatchTable(df.sparkSession, path)
+        entry = write_version(df, table, batch, cfg, partition_by, compression, narrowed)
+        table.publish(batch, entry)
+        return table.folder(batch, entry.version)
     if narrowed:
         df = narrow(df, narrow_plan(df))
-    if batch is not None:
-        path = batch_folder(path, batch)
-        if keys:
-            write_partitioned(df, path, keys, codec, whole=True)
-        else:
-            write_single(df, path, codec)
-    elif keys:
+    codec = compression or cfg.compression
+    if keys:
         write_partitioned(df, path, keys, codec)
     else:
         write_single(df, path, codec)
     return path
 
 
-def batch_folder(path: str, batch: str) -> str:
-    return f"{path.rstrip('/')}/{BATCH}={batch}"
-
+def write_version(
+    df: DataFrame,
+    table: BatchTable,
+    batch: str,
+    cfg: PipelineConfig,
+    partition_by: tuple[str, ...] | None = None,
+    compression: str | None = None,
+    narrowed: bool = False,
+) -> Entry:
+    """Write a new version of a batch aside; readers see it once it is published.
 
-BATCH = "batch"
+    A write that fails leaves nothing behind, and the published version as it is.
+    """
+    keys = partition_keys(df, cfg, partition_by)
+    if narrowed:
+        df = narrow(df, narrow_plan(df))
+    entry = Entry(table.new_version(), dict(df.dtypes), list(keys))
+    folder, codec = table.folder(batch, entry.version), compression or cfg.compression
+    try:
+        if keys:
+            write_partitioned(df, folder, keys, codec, whole=True)
+        else:
+            write_single(df, folder, codec)
+    except BaseException:
+        table.discard(batch, entry.version, [])
+        raise
+    return entry
 
 
 def read_back(spark: SparkSession, path: str, schema: T.StructType, narrowed: bool = False) -> DataFrame:
     """A written table with its original column types, partition columns included.
 
-    A path to which only empty frames were written reads as an empty frame. A ``narrowed`` table is
-    read with its stored types and widened.
+    A table of batches is read by its manifest, each batch with the types it was stored with. Other paths to which
+    only empty frames were written read as an empty frame; a ``narrowed`` one is read with its stored types
+    and widened.
     """
+    table = BatchTable(spark, path)
+    if table.published:
+        return table.read(schema)
     reader = spark.read if narrowed else spark.read.schema(schema)
     found = read_or_none(lambda: reader.parquet(path))
     if found is None:
@@ -110,13 +136,8 @@ def read_back(spark: SparkSession, path: str, schema: T.StructType, narrowed: bo
 
 
 def stored_batches(spark: SparkSession, path: str) -> list[str]:
-    """The names of a table's batches, from its folder listing."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in system.listStatus(folder) if status.isDirectory()]
-    return sorted(n.removeprefix(f"{BATCH}=") for n in names if n.startswith(f"{BATCH}="))
+    """The names of a table's published batches."""
+    return sorted(BatchTable(spark, path).entries())
 
 
 @dataclass(frozen=True)
