@@ -242,7 +242,8 @@ def land_by_day(frames: list[DataFrame], label: str) -> str:
     """Write readings as a landing folder with one ``YYYY-MM-DD.parquet`` per UTC day.
 
     Spark writes one folder per day; the folders then get the landing name. The rename touches
-    one path per day and no data. Frames must not share days; their columns may differ.
+    one path per day and no data. Frames must not share days; their columns may differ. A column ``day``
+    overrides the day of the timestamp.
     """
     spark = frames[0].sparkSession
     target = new_path(spark, label)
@@ -252,7 +253,8 @@ def land_by_day(frames: list[DataFrame], label: str) -> str:
     fs.mkdirs(root)
     for frame in frames:
         part = new_path(spark, label + "-days")
-        frame.withColumn("day", utc_day()).hint("rebalance", F.col("day")).write.partitionBy(
+        dated = frame if "day" in frame.columns else frame.withColumn("day", utc_day())
+        dated.hint("rebalance", F.col("day")).write.partitionBy(
             "day"
         ).parquet(part)
         for entry in fs.listStatus(hadoop_path(part)):
@@ -288,6 +290,18 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return _land_once(spark, sf_dir, "landing", lambda: [readings_dirty(spark, sf_dir)])
 
 
+def overlapping_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The same, but the readings of a day's last hour lie in the next day's file as well."""
+    dirty = readings_dirty(spark, sf_dir)
+    wall = fx.wall_time(F.col("timestamp"), "UTC")
+    own = F.to_date(wall)
+    days = F.when(F.hour(wall) == 23, F.array(own, F.date_add(own, 1))).otherwise(F.array(own))
+    return _land_once(
+        spark, sf_dir, "overlapping-landing",
+        lambda: [dirty.withColumn("day", F.explode(days)).withColumn("day", F.col("day").cast("string"))],
+    )
+
+
 def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
     """The same, but every third day of the month lacks the battery column."""
     dirty = readings_dirty(spark, sf_dir)

@@ -359,6 +359,13 @@ def _(spark, d):
     )
 
 
+@query("scl_megabytes", "SELECT o_orderkey AS id, o_totalprice * 1000 / 1048576 AS mb FROM orders")
+def _(spark, d):
+    return b.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), fx.megabytes(F.col("o_totalprice") * 1000).alias("mb")
+    )
+
+
 @query(
     "scl_run_duration",
     f"""WITH {b.RUNS_SQL}

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from loamline.catalog import bridge as b
 from loamline.catalog.queries_quality import SECTIONS_SQL, enriched
-from loamline.catalog.queries_readings import TS, r6, utc_text
+from loamline.catalog.queries_readings import TS, r6, sql_text, utc_text
 from loamline.operators import cleaning, quality
-from loamline.plans.pipeline import run_pipeline
+from loamline.plans.pipeline import read_table, run_pipeline, stored_calendar
 from loamline.sinks import parquet as sink
 from loamline.sinks import reports
+from loamline.sinks.batches import BatchTable
 from loamline.staging import new_path
 
 QUERIES = {}
@@ -103,6 +104,25 @@ def _(spark, d):
     )
 
 
+_NARROWED_SQL = """CASE WHEN hour < 12 THEN CAST(CAST(value AS FLOAT) AS DOUBLE) WHEN hour < 18 THEN value END"""
+
+
+@query(
+    "snk_narrowed_batches",
+    f"""WITH {b.READINGS_SQL}, r AS (
+  SELECT *, CAST(extract(hour FROM wall) AS BIGINT) AS hour FROM readings)
+SELECT sensor_id, {TS}, reading_type, round({_NARROWED_SQL}, 6) AS value,
+  battery_level, strftime(wall, '%Y-%m-%d') AS date, hour FROM r""",
+)
+def _(spark, d):
+    # Full mornings are stored as float; the afternoons have nulls and stay double.
+    df, path = dated(spark, d), new_path(spark, "narrowed")
+    late = df.where(F.col("hour") >= 12).withColumn("value", F.when(F.col("hour") < 18, F.col("value")))
+    for batch, rows in (("am", df.where(F.col("hour") < 12)), ("pm", late)):
+        sink.load(rows, path, b.CONFIG, partition_by=("date",), batch=batch, narrowed=True)
+    return _shown(sink.read_back(spark, path, df.schema)).withColumn("value", F.round("value", 6))
+
+
 @query(
     "snk_multi_batch",
     f"""WITH {b.READINGS_SQL} SELECT 2::BIGINT AS total_files, count(*) AS total_records,
@@ -227,16 +247,156 @@ def _(spark, d):
     )
 
 
-@query(
-    "cmp_batch_daily_loads",
-    f"""WITH {b.ENRICHED_SQL}
-SELECT sensor_id, {TS}, reading_type, battery_level, strftime(wall, '%Y-%m-%d') AS date FROM cleaned
-WHERE "timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-13'""",
+# --- tables of several batches ------------------------------------------------------------
+
+
+def _batches_sql(landed: str, batch: str, until: str) -> str:
+    """The enriched rows of a table that was loaded batch by batch, decided batch by batch with all rows so far.
+
+    ``landed`` are the landed rows with their file's day, ``batch`` numbers the batches by that day.
+    """
+    return f"""{b.DIRTY_SQL}, landed AS ({landed}),
+numbered AS (SELECT * EXCLUDE (file_day), {batch} AS batch FROM landed WHERE {until}),
+first_seen AS (
+  SELECT sensor_id, "timestamp", wall, reading_type, value, battery_level, min(batch) AS batch
+  FROM numbered GROUP BY ALL),
+b_calibrated AS (
+  SELECT sensor_id, "timestamp", wall, reading_type, coalesce(battery_level, 100.0) AS battery_level, batch,
+         strftime(wall, '%Y-%m-%d') AS date, CAST(extract(hour FROM wall) AS BIGINT) AS hour,
+         CASE WHEN reading_type = 'click' THEN value * 1.02 + -1.0 END AS calibrated_value,
+         CASE WHEN reading_type = 'click' THEN value * 1.02 + -1.0 ELSE value END AS source_value
+  FROM first_seen WHERE sensor_id IS NOT NULL AND "timestamp" IS NOT NULL AND reading_type IS NOT NULL
+    AND value IS NOT NULL),
+b_moments AS (
+  SELECT n.batch, reading_type, count(*) AS n, avg(source_value) AS mean, stddev_pop(source_value) AS std,
+         median(source_value) AS med
+  FROM b_calibrated c JOIN (SELECT DISTINCT batch FROM b_calibrated) n ON c.batch <= n.batch GROUP BY ALL),
+b_flagged AS (
+  SELECT c.*, coalesce(n > 10 AND std > 0 AND abs(source_value - mean) / nullif(std, 0) > 3.0, FALSE)
+           AS is_outlier, med
+  FROM b_calibrated c JOIN b_moments m ON c.reading_type = m.reading_type AND c.batch = m.batch),
+b_replaced AS (SELECT *, CASE WHEN is_outlier THEN med ELSE source_value END AS value FROM b_flagged),
+b_enriched AS (
+  SELECT *,
+    avg(value) OVER (PARTITION BY sensor_id, reading_type, date) AS daily_avg_value,
+    CASE WHEN count(value) OVER seven >= 2 THEN avg(value) OVER seven END AS rolling_7day_avg,
+    CASE WHEN count(value) OVER span >= 2 THEN avg(value) OVER span END AS rolling_days_avg,
+    value - lag(value) OVER seq AS value_change,
+    datediff('microsecond', lag("timestamp") OVER seq, "timestamp") / 3600000000.0::DOUBLE AS time_diff_hours,
+    value < CASE reading_type WHEN 'error' THEN 5.0 ELSE 0.0 END
+      OR value > CASE reading_type WHEN 'click' THEN 60.0 WHEN 'error' THEN 120.0 ELSE 100.0 END
+      AS anomalous_reading,
+    battery_level < 0.0 OR battery_level > 100.0 AS battery_anomalous
+  FROM b_replaced
+  WINDOW seq AS (PARTITION BY sensor_id, reading_type ORDER BY "timestamp", source_value, battery_level),
+         seven AS (PARTITION BY sensor_id, reading_type ORDER BY "timestamp", source_value, battery_level
+                   ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+         span AS (PARTITION BY sensor_id, reading_type ORDER BY "timestamp"
+                  RANGE BETWEEN INTERVAL 604799999999 MICROSECOND PRECEDING AND CURRENT ROW))"""
+
+
+_ROUNDED = (
+    "value", "calibrated_value", "daily_avg_value", "rolling_7day_avg", "value_change", "time_diff_hours",
+)
+_ALL_SQL = (
+    f"sensor_id, {TS}, reading_type, battery_level, date, hour, is_outlier, anomalous_reading, battery_anomalous, "
+    + ", ".join(f"round({c}, 6) AS {c}" for c in _ROUNDED)
+)
+
+
+def _all_columns(table, *extra):
+    kept = ("battery_level", "date", "is_outlier", "anomalous_reading", "battery_anomalous")
+    return table.select(
+        "sensor_id", utc_text(), "reading_type", *kept, F.col("hour").cast("bigint").alias("hour"),
+        *[r6(c) for c in (*_ROUNDED, *extra)],
+    )
+
+
+_DAILY_SQL = _batches_sql(
+    """SELECT sensor_id, "timestamp", wall, reading_type, value, battery_level, date_trunc('day', "timestamp") AS file_day
+  FROM readings_dirty""",
+    "file_day",
+    "file_day >= TIMESTAMP '2024-01-10' AND file_day < TIMESTAMP '2024-01-13'",
 )
+
+
+@query("cmp_batch_daily_loads", f"WITH {_DAILY_SQL} SELECT {_ALL_SQL} FROM b_enriched")
 def _(spark, d):
     # Adjacent days into one table, one of them twice, in the default layout.
     landed, path = b.landing(spark, d), new_path(spark, "daily")
     for day in ("2024-01-10", "2024-01-11", "2024-01-12", "2024-01-11"):
-        done = run_pipeline(spark, landed, path, start=day, end=day, validate_output=False)
-    table = sink.read_back(spark, path, done.output.schema)
-    return table.select("sensor_id", utc_text(), "reading_type", "battery_level", "date")
+        done = run_pipeline(spark, landed, path, b.CONFIG, day, day, validate_output=False)
+    return _all_columns(read_table(spark, path, done.output.schema))
+
+
+# Three batches whose files share the last hours of days; the middle one is loaded twice. They are longer than
+# the day span, so rows leave it.
+_WINDOWS = (("2024-01-01", "2024-01-05"), ("2024-01-06", "2024-01-11"), ("2024-01-12", "2024-01-16"))
+_BORDERS_SQL = _batches_sql(
+    """SELECT sensor_id, "timestamp", wall, reading_type, value, battery_level,
+         date_trunc('day', "timestamp") AS file_day FROM readings_dirty
+  UNION ALL SELECT sensor_id, "timestamp", wall, reading_type, value, battery_level,
+         date_trunc('day', "timestamp") + INTERVAL 1 DAY FROM readings_dirty WHERE extract(hour FROM "timestamp") = 23""",
+    "CASE WHEN file_day <= TIMESTAMP '2024-01-05' THEN 1 WHEN file_day <= TIMESTAMP '2024-01-11' THEN 2 ELSE 3 END",
+    "file_day <= TIMESTAMP '2024-01-16'",
+)
+
+_tables: dict[tuple[str, str], tuple[str, object]] = {}
+
+
+def batches_table(spark, d):
+    """(path, schema) of that table, loaded once per application and table folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _tables or not BatchTable(spark, _tables[key][0]).published:
+        landed, path = b.overlapping_landing(spark, d), new_path(spark, "batches")
+        for start, end in (*_WINDOWS[:2], _WINDOWS[2], _WINDOWS[1]):
+            done = run_pipeline(spark, landed, path, b.CONFIG, start, end, validate_output=False, day_span=True)
+        _tables[key] = (path, done.output.schema)
+    return _tables[key]
+
+
+@query(
+    "cmp_batch_history",
+    f"WITH {_BORDERS_SQL} SELECT {_ALL_SQL}, round(rolling_days_avg, 6) AS rolling_days_avg FROM b_enriched",
+)
+def _(spark, d):
+    return _all_columns(read_table(spark, *batches_table(spark, d)), "rolling_days_avg")
+
+
+@query(
+    "agg_stored_coverage",
+    f"""WITH {_BORDERS_SQL}, c AS (
+SELECT sensor_id, reading_type, count(*) AS reading_count, min(wall) AS first, max(wall) AS last,
+  CAST(floor(datediff('microsecond', min(wall), max(wall)) / 86400000000) AS BIGINT) + 1 AS time_span_days,
+  count(DISTINCT date) AS days_with_data FROM b_enriched GROUP BY 1, 2)
+SELECT sensor_id, reading_type, reading_count, {sql_text('first', 'first_reading')},
+  {sql_text('last', 'last_reading')}, time_span_days, days_with_data,
+  round(days_with_data * 100.0 / time_span_days, 6) AS coverage_percentage FROM c""",
+)
+def _(spark, d):
+    calendar, _ = stored_calendar(spark, batches_table(spark, d)[0])
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return quality.time_coverage(calendar).select(
+        "sensor_id", "reading_type", "reading_count", text("first_reading"), text("last_reading"),
+        "time_span_days", "days_with_data", r6("coverage_percentage"),
+    )
+
+
+@query(
+    "gen_stored_gap_spans",
+    f"""WITH {_BORDERS_SQL}, active AS (
+  SELECT DISTINCT sensor_id, reading_type, date_trunc('hour', wall) AS h FROM b_enriched),
+bounds AS (
+  SELECT sensor_id, reading_type, min(date_trunc('day', h)) AS lo, max(date_trunc('day', h)) + INTERVAL 23 HOUR AS hi
+  FROM active GROUP BY 1, 2),
+missing AS (
+  SELECT sensor_id, reading_type, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS h FROM bounds
+  EXCEPT SELECT sensor_id, reading_type, h FROM active),
+runs AS (
+  SELECT *, h - row_number() OVER (PARTITION BY sensor_id, reading_type ORDER BY h) * INTERVAL 1 HOUR AS run FROM missing)
+SELECT sensor_id, reading_type, datediff('hour', TIMESTAMP '1970-01-01', min(h)) AS from_hour,
+  datediff('hour', TIMESTAMP '1970-01-01', max(h)) AS to_hour FROM runs GROUP BY sensor_id, reading_type, run""",
+)
+def _(spark, d):
+    calendar, hours = stored_calendar(spark, batches_table(spark, d)[0])
+    return quality.gap_spans(hours, calendar)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -46,16 +48,29 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a new file; False if there is one already."""
+    """Make a new file, complete from the moment it can be seen; False if there is one already."""
     system, at = _at(spark, path)
+    _, aside = _at(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    stream = system.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    jvm = spark.sparkContext._jvm
     try:
-        stream = system.create(at, False)
+        if system.getUri().getScheme() == "file":
+            local = lambda p: jvm.java.nio.file.Paths.get(system.makeQualified(p).toUri())
+            jvm.java.nio.file.Files.createLink(local(at), local(aside))
+        else:
+            option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            options = spark.sparkContext._gateway.new_array(option, 1)
+            options[0] = option.NONE
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf).rename(aside, at, options)
     except Py4JJavaError as e:
-        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()):
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
             return False
         raise
-    try:
-        stream.write(bytearray(text.encode()))
     finally:
-        stream.close()
+        system.delete(aside, False)
     return True

@@ -17,13 +17,15 @@ _DATE = r"^(\d{4})-?(\d{2})-?(\d{2})"
 _CLOCK = r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?)?"
 _ZONE = r"\s*(?:([Zz]|UTC|GMT)|([+-])(\d{2}):?(\d{2})?)?$"
 _ISO = _DATE + _CLOCK + _ZONE
+_YEAR = r"^[+-]?\d{4,6}(?:-|$)"
 
 
 def parse_instant(text: Column) -> Column:
     """ISO-8601 text to an instant; no offset means UTC; unparsable means null.
 
     Extended and basic forms, with or without seconds, fractions cut to microseconds, offsets with
-    or without minutes, and the zone names Z, UTC and GMT. Other texts are tried as they stand.
+    or without minutes, and the zone names Z, UTC and GMT. Other texts that begin with a year are tried as they
+    stand; a clock time alone is no instant, it would be one of the day of the run.
     """
     text = F.trim(text)
     part = lambda i: F.regexp_extract(text, _ISO, i)
@@ -36,7 +38,7 @@ def parse_instant(text: Column) -> Column:
     )
     # The usual spellings cost one match each; only others are taken apart.
     usual = F.when(text.rlike(_USUAL + _OFFSET), text).when(text.rlike(_USUAL + "$"), F.concat(text, F.lit("Z")))
-    return F.try_to_timestamp(usual.when(text.rlike(_ISO), spelled).otherwise(text))
+    return F.try_to_timestamp(usual.when(text.rlike(_ISO), spelled).when(text.rlike(_YEAR), text))
 
 
 def instant_of(col: Column, dtype: T.DataType) -> Column:

@@ -60,10 +60,10 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once and return a frame that reads the written table."""
     path = new_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
