@@ -68,8 +68,27 @@ def _network(key: bytes, tweak: str, size: int) -> Feistel:
 _HEX, _DIGITS, _LETTERS = "0123456789abcdef", "0123456789", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Symbols that are permuted as one number. Longer values are permuted in stretches, each under what lies before it.
+STRETCH = 128
+
+
 def permute_text(key: bytes, tweak: str, text: str, hexadecimal: bool = False, back: bool = False) -> str:
     """Letters become letters of the same case and digits digits; other characters stay."""
+    if len(text) <= STRETCH:
+        return _permute_stretch(key, tweak, text, hexadecimal, back)
+    out, before = [], b""
+    for at in range(0, len(text), STRETCH):
+        part = text[at : at + STRETCH]
+        own = f"{tweak}:{before.hex()}" if at else tweak
+        out.append(_permute_stretch(key, own, part, hexadecimal, back))
+        plain = (out[-1] if back else part).lower()
+        before = hashlib.blake2b(before + plain.encode(), digest_size=16).digest()
+    moved = "".join(out)
+    # Only a value that is all of one case is written in one; a stretch of digits has none.
+    return moved.upper() if hexadecimal and text.isupper() else moved
+
+
+def _permute_stretch(key: bytes, tweak: str, text: str, hexadecimal: bool, back: bool) -> str:
     places = [i for i, c in enumerate(text) if c.isascii() and c.isalnum()]
     sets = [_HEX if hexadecimal else _DIGITS if text[i].isdigit() else _LETTERS for i in places]
     value, size = 0, 1
@@ -213,7 +232,7 @@ def _date(key, text, back):
 
 
 def _secret(key, text, back):
-    for prefix in ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "xoxb-", "xoxp-"):
+    for prefix in ("eyJ", "AKIA", "ASIA", "ghp_", "gho_", "sk-", "xoxb-", "xoxp-"):
         if text.startswith(prefix):
             return prefix + permute_text(key, "secret" + prefix, text[len(prefix) :], back=back)
     named = _NAMED.fullmatch(text)
@@ -224,11 +243,12 @@ def _secret(key, text, back):
     return permute_text(key, "hex", text, hexadecimal=True, back=back)
 
 
-_NAME = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?)"
+_NAME = r"(?i:\b(?:password|passwd|pwd|(?:aws[_-])?secret[_-]access[_-]key|client[_-]secret|secret|(?:auth[_-]|access[_-])?token|api[_-]?key)\s?[=:]\s?[\"']?)"
 _NAMED = re.compile(rf"({_NAME})([A-Za-z0-9_+/-]+)")
 _PATTERN = re.compile(
-    r"(?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\b)"
+    r"(?P<email>(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,126}\.[A-Za-z]{2,63}\b)"
     rf"|(?P<secret>{_NAME}(?=[A-Za-z_+/-]*\d)[A-Za-z0-9_+/-]{{8,}}"
+    r"|\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}(?![A-Za-z0-9_-])"
     r"|\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\b(?:ghp_|gho_|sk-|xoxb-|xoxp-)[A-Za-z0-9-]{16,}\b"
     r"|(?<![0-9A-Za-z])(?=[0-9a-fA-F]*\d)(?=[0-9a-fA-F]*[a-fA-F])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z]))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)"
@@ -327,7 +347,7 @@ def _numbers(text: str, start: int, stop: int) -> list[tuple[str, int, int]]:
 
 def pseudonymise(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, dict[str, int]]:
     """The text with pseudonyms, and how many values of each kind were replaced."""
-    if not text or not _WORTH.search(text) and "AKIA" not in text:
+    if not text or not _WORTH.search(text) and not any(p in text for p in ("AKIA", "eyJ")):
         return text, {}
     counts: dict[str, int] = {}
     out: list[str] = []
