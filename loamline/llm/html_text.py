@@ -84,8 +84,17 @@ _BLOCK = frozenset(
     "pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video".split())
-_BOILER_TAGS = frozenset("nav footer aside form menu dialog button select head search".split())
+# Elements whose content is no markup; other embedded ones nest, and end where a block begins or their parent ends.
+_RAW = frozenset("script style noscript template textarea title iframe".split())
+_EMBEDDED = frozenset("object svg canvas audio video".split())
+_BOILER_TAGS = frozenset("nav footer aside menu dialog button select head search".split()) | _EMBEDDED
+# Marks that page builders and form-driven sites also put around a whole page: such a container counts as
+# boilerplate only while it holds less than half of the page's words outside of links.
+_WEAK_TAGS = frozenset(["form"])
+_WEAK_WORDS = frozenset(
+    "banner header login modal overlay paywall popup promo related share sharing sidebar signup social subscribe "
+    "subscription tags teaser toolbar widget widgets".split()
+)
 _BOILER_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs byline captcha comment comments "
     "commentlist consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal "
@@ -106,23 +115,29 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*
 _CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
 
-def _boilerplate(tag: str, attributes: str) -> bool:
+def _boilerplate(tag: str, attributes: str) -> str:
+    """What the tag says of its content: ``strong`` or ``weak`` for boilerplate, or nothing."""
     if tag in _BOILER_TAGS:
-        return True
+        return "strong"
+    found = "weak" if tag in _WEAK_TAGS else ""
     if not attributes.strip():
-        return False
+        return found
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return "strong"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return "strong"
         if name == "role" and value in _BOILER_ROLES:
-            return True
+            if value != "form":
+                return "strong"
+            found = "weak"
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if any(w.rstrip("0123456789") in _BOILER_WORDS for w in re.split(r"[^a-z0-9]+", value)):
-                return True
-    return False
+            words = _BOILER_WORDS.intersection(w.rstrip("0123456789") for w in re.split(r"[^a-z0-9]+", value))
+            if words - _WEAK_WORDS:
+                return "strong"
+            found = "weak" if words else found
+    return found
 
 
 def _named_main(tag: str, attributes: str) -> bool:
@@ -135,31 +150,85 @@ def _named_main(tag: str, attributes: str) -> bool:
     return False
 
 
+class _Open:
+    """The open elements, with counts of what the text inside them depends on: each step takes the same time
+    however deep the page is nested."""
+
+    def __init__(self):
+        self.stack: list[tuple] = []
+        self.tags: dict[str, int] = {}
+        self.strong = self.named = self.headings = 0
+        self.headers: list[bool] = []  # open headers: whether they stand in an article
+        self.regions: list[int] = []  # open articles: how many weak containers were open before
+        self.weak: list[int] = []  # open weak containers
+        self.parents: list[int] = []  # of each weak container seen, the one around it or -1
+
+    def push(self, tag: str, attributes: str) -> None:
+        mark, named = _boilerplate(tag, attributes), _named_main(tag, attributes)
+        self.stack.append((tag, mark, named))
+        self.tags[tag] = self.tags.get(tag, 0) + 1
+        self.strong += mark == "strong"
+        self.named += named
+        self.headings += _is_heading(tag)
+        if tag == "header":
+            self.headers.append(self.tags.get("article", 0) > 0)
+        if tag in ("article", "main"):
+            self.regions.append(len(self.weak))
+        if mark == "weak":
+            self.parents.append(self.weak[-1] if self.weak else -1)
+            self.weak.append(len(self.parents) - 1)
+
+    def pop(self) -> str:
+        tag, mark, named = self.stack.pop()
+        self.tags[tag] -= 1
+        self.strong -= mark == "strong"
+        self.named -= named
+        self.headings -= _is_heading(tag)
+        if tag == "header":
+            self.headers.pop()
+        if tag in ("article", "main"):
+            self.regions.pop()
+        if mark == "weak":
+            self.weak.pop()
+        return tag
+
+    def top(self) -> str:
+        return self.stack[-1][0] if self.stack else ""
+
+    def has(self, tag: str) -> bool:
+        return self.tags.get(tag, 0) > 0
+
+    def inner_weak(self) -> int:
+        """The innermost weak container, of those within the innermost article if there is one; else -1."""
+        within = self.regions[-1] if self.regions else 0
+        return self.weak[-1] if len(self.weak) > within else -1
+
+
+def _is_heading(tag: str) -> bool:
+    return len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
+
+
 def blocks(page: str) -> list[dict]:
     """The page's text blocks in order: text, words, linked words, main, boiler, heading, item."""
     out: list[dict] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, named as main
     parts: list[str] = []
     linked: list[str] = []
+    at_tags = _Open()
     seen_main = False
 
     def close() -> None:
         if not parts:
             return
         text = " ".join("".join(parts).split())
-        tags = [t for t, _, _ in stack]
         if text:
-            article = "article" in tags or "main" in tags
-            inner = tags[::-1].index("header") if "header" in tags else -1
-            in_header = inner >= 0
-            heading = any(len(t) == 2 and t[0] == "h" and t[1].isdigit() for t in tags)
-            title = in_header and heading and "article" in tags[: len(tags) - inner]
+            heading = at_tags.headings > 0
+            title = heading and bool(at_tags.headers) and at_tags.headers[-1]
             out.append(
                 {
                     "text": text, "words": len(text.split()), "linked": len("".join(linked).split()),
-                    "inside": article, "named": any(m for _, _, m in stack),
-                    "boiler": any(b for _, b, _ in stack) or in_header and not title,
-                    "heading": heading, "item": "li" in tags,
+                    "inside": at_tags.has("article") or at_tags.has("main"), "named": at_tags.named > 0,
+                    "boiler": at_tags.strong > 0 or bool(at_tags.headers) and not title,
+                    "heading": heading, "item": at_tags.has("li"), "weak": at_tags.inner_weak(),
                 }
             )
         parts.clear()
@@ -168,7 +237,7 @@ def blocks(page: str) -> list[dict]:
     def add(raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if any(t == "a" for t, _, _ in stack):
+        if at_tags.has("a"):
             linked.append(text + " ")
 
     at = 0
@@ -191,22 +260,24 @@ def blocks(page: str) -> list[dict]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in _BLOCK:
+        if tag in _BLOCK or tag in _EMBEDDED:
             close()
         if tag in _VOID:
             continue
         if ending:
-            if any(t == tag for t, _, _ in stack):
-                while stack.pop()[0] != tag:
+            if at_tags.has(tag):
+                while at_tags.pop() != tag:
                     pass
             continue
-        if tag in _BLOCK:  # an open paragraph or item ends where the next block begins
-            while stack and stack[-1][0] not in _BLOCK and any(t == "p" for t, _, _ in stack):
-                stack.pop()
-            if stack and stack[-1][0] == "p" or stack and tag in _CLOSES_ITSELF and stack[-1][0] == tag:
-                stack.pop()
+        if tag in _BLOCK:  # an open paragraph, item or embedded element ends where the next block begins
+            while at_tags.top() in _EMBEDDED or at_tags.top() and at_tags.top() not in _BLOCK and at_tags.has("p"):
+                at_tags.pop()
+            if at_tags.top() == "p" or tag in _CLOSES_ITSELF and at_tags.top() == tag:
+                at_tags.pop()
+        if tag in _EMBEDDED and match.group(3).rstrip().endswith("/"):
+            continue
         seen_main |= tag in ("article", "main")
-        stack.append((tag, _boilerplate(tag, match.group(3)), _named_main(tag, match.group(3))))
+        at_tags.push(tag, match.group(3))
     close()
     if not seen_main:  # containers named as the main text count where there is no element for it
         for block in out:
@@ -214,9 +285,27 @@ def blocks(page: str) -> list[dict]:
         seen_main = any(b["inside"] for b in out)
     for block in out:
         block["main"] = 1 if block.pop("inside") else -1 if seen_main else 0
+    _weigh(out, at_tags.parents)
     return out
 
 
+def _weigh(found: list[dict], parents: list[int]) -> None:
+    """Blocks of weak containers are boilerplate unless the innermost one holds half of the page's plain words."""
+    plain = lambda b: 0 if b["boiler"] else max(0, b["words"] - b["linked"])
+    held = [0] * len(parents)
+    for b in found:
+        if b["weak"] >= 0:
+            held[b["weak"]] += plain(b)
+    for n in reversed(range(len(parents))):  # a container comes after the one around it
+        if parents[n] >= 0:
+            held[parents[n]] += held[n]
+    total = sum(plain(b) for b in found)
+    for b in found:
+        weak = b.pop("weak")
+        if weak >= 0 and 2 * held[weak] < total:
+            b["boiler"] = True
+
+
 def features(found: list[dict]) -> np.ndarray:
     """A row of ``FEATURES`` per block; neighbours beyond the ends have no words."""
     words = np.array([b["words"] for b in found], float)

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -257,3 +258,65 @@ def test_quality_odd_rows(spark):
     odd = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 0, 1), (8, None, 0), (4, 0, 0), (15, 7, 0)], "doc_id long, quality int, toxic int")
     quality.fit(docs, odd)
     assert quality.rank(empty(spark), model).count() == 0
+
+
+# --- long and nested inputs ---------------------------------------------------------------
+
+
+def seconds(fn):
+    started = time.process_time()
+    fn()
+    return time.process_time() - started
+
+
+def test_long_values_are_permuted_in_stretches():
+    rng = random.Random(2)
+    hexa = "".join(rng.choice("0123456789abcdef") for _ in range(20_000))
+    for text in (f"x {hexa} y", hexa.upper(), "token=" + "aB3_" * 5_000, "eyJ" + "a1B-" * 900 + "." + "c" * 900 + ".d1" * 1 + "d" * 90):
+        new, counts = pii.pseudonymise(text, KEY)
+        assert counts == {"secret": 1} and new != text and len(new) == len(text)
+        assert pii.pseudonymise(new, KEY, back=True)[0] == text
+        assert pii.pseudonymise(text, KEY)[0] == new
+    # Values up to a stretch are one number, as they always were; a common beginning does not show beyond it.
+    a, b = (pii.permute_text(KEY, "t", "1" * 128 + tail + "9" * 200) for tail in ("2", "3"))
+    assert a[:128] == b[:128] and sum(x == y for x, y in zip(a[256:], b[256:])) < 40
+
+
+def test_no_text_takes_quadratic_time():
+    for piece in ("0123456789abcdef", "a%", "7", "a@", "b.", "bob-"):
+        text = piece * (200_000 // len(piece))
+        assert seconds(lambda: pii.pseudonymise(text, KEY)) < 3
+    for page in ("<div>" * 40_000 + "a b c", "<div class=widget><p>a b" * 8_000, "<b>x" * 40_000, "</p><div>y" * 20_000):
+        assert seconds(lambda: html_text.main_text(page)) < 5
+
+
+def test_names_of_secrets():
+    for name in ("aws_secret_access_key = ", "client_secret=", "access_token: "):
+        new, counts = pii.pseudonymise(f"{name}wJalrXUtnFEMI7MDENGbPx and so on", KEY)
+        assert counts == {"secret": 1} and new.startswith(name) and new.endswith(" and so on")
+
+
+SENTENCE = "Paragraph {} has enough words to be a part of the article on this page, " + "as it goes on and on " * 4 + "to its end."
+PARAGRAPHS = "".join(f"<p>{SENTENCE.format(i)}</p>" for i in range(5))
+TEXT = "\n".join(SENTENCE.format(i) for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='has-sidebar'><article>{PARAGRAPHS}</article></div></body>",
+        f"<body><form action='.'><div>{PARAGRAPHS}</div></form></body>",
+        f"<div class='elementor-widget'>{PARAGRAPHS}</div>",
+        f"<div class='layout--with-sidebar'>{PARAGRAPHS}<div class='sidebar'><p>Something quite short stands here.</p></div></div>",
+        f"<article>{PARAGRAPHS}<div class='widget'><p>A widget within the article goes away.</p></div></article>",
+        f"<article><video>{PARAGRAPHS}</article>",
+        f"<article>{PARAGRAPHS}</article><ol class='comments'>" + f"<li><article>{PARAGRAPHS}</article></li>" * 3 + "</ol>",
+    ],
+)
+def test_containers_named_like_boilerplate_may_hold_the_article(page):
+    assert html_text.main_text(page) == TEXT
+
+
+def test_formulas_stay_and_drawings_go():
+    page = f"<article>{PARAGRAPHS}<p>The formula <math><mi>x</mi></math> is a part of it, the drawing <svg><text>y</text></svg> is none.</p></article>"
+    assert html_text.main_text(page) == TEXT + "\nThe formula x is a part of it, the drawing\nis none."
