@@ -13,33 +13,51 @@ from loamline.llm.queries import DEMO_KEY, tokenizer_path
 from loamline.llm.tables import fresh, table
 from loamline.staging import Scope, stage
 
-# Below this share for its best language a text counts as unidentified. Texts of a few clean words
-# reach 0.35 and more.
-MIN_SCORE = 0.3
+# How far above an even share of the learned languages the best one must be, as a part of the way to 1: with four
+# languages a text below 0.325 counts as unidentified. Texts of a few clean words reach 0.35 and more.
+MARGIN = 0.1
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled rows teach; unidentified ones go."""
+    """Documents in a language that the labelled rows teach; unidentified ones go.
+
+    A text that is null or has no letter goes. Where no row has a language, nothing can be learned and every text
+    with a letter stays. Repeated rows repeat, empty tables stay empty, columns of any name stay as they are.
+    """
     network = language_id.fit(docs)
+    if not network.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    least = 1 / len(network.languages) + MARGIN * (1 - 1 / len(network.languages))
     rest = tuple(c for c in docs.columns if c != "doc_id")
     lang, score = fresh(docs, "lang_pred"), fresh(docs, "score")
     found = language_id.identify(docs, network, keep=rest, names=(lang, score))
-    accepted = (F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= MIN_SCORE)
+    accepted = (F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= least)
     return found.where(accepted).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for white space, the longest stays."""
+    """Of texts equal but for white space, the longest stays, then the one with the smallest id.
+
+    Nulls count as empty texts, so one of all empty ones stays. Rows without id come last; of rows that are
+    equal in all columns one stays. Empty tables stay empty, columns of any name stay as they are.
+    """
     return exact_dedup.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by similarity 0.8 of five-word shingles, the smallest id stays."""
+    """Of each group linked by similarity 0.8 of five-word shingles, the smallest id stays.
+
+    Texts without words, nulls included, are linked with nothing and stay; so do rows without id. Rows that share an id
+    stay or go together. Empty tables stay empty, columns of any name stay as they are.
+    """
     return near_dedup.keep_representatives(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data become pseudonyms of the same format; n_chars follows the new text."""
+    """Personal data become pseudonyms of the same format; n_chars follows the new text.
+
+    No row goes: null and empty texts, repeated rows and rows without id stay. Columns of any name stay as they are.
+    """
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
     changed = pii.replace_personal_data(docs, DEMO_KEY, keep=rest, counted=False)
     if "n_chars" in docs.columns:
@@ -49,7 +67,10 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of at most 1024."""
+    """Token pieces in sequences of at most 1024; nulls are empty texts of one end token.
+
+    Rows without id and repeated rows are packed one by one; an empty table gives no pieces.
+    """
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
