@@ -103,15 +103,19 @@ def value_counts(df: DataFrame) -> DataFrame:
 _SPELLED_TYPES = 1_000
 
 
-def type_moments(df: DataFrame, older: DataFrame, values: DataFrame) -> tuple[DataFrame, DataFrame]:
+def type_moments(
+    df: DataFrame, older: DataFrame | None = None, values: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(moments, merged histogram) of the values of ``df`` and of all batches before.
 
     ``older`` is their merged histogram, ``values`` their counted values, of which only the bins that hold a
     median are read. The median is exact over all rows.
     """
     own = histogram(df, "reading_type", "value")
+    if older is None:
+        merged = stage(own, "histogram")
+        return _moments(merged, medians_of(df, "reading_type", "value", merged)), merged
     merged = stage(merge_histograms(own, older.select(*own.columns), "reading_type"), "histogram")
-    moments = moments_of(merged, "reading_type")
     middle = stage(_median_bins(merged), "median-bins")
     wanted = values.join(middle, ["reading_type", "bin"], "left_semi")
     few = middle.limit(2 * _SPELLED_TYPES + 1).collect()
@@ -121,11 +125,14 @@ def type_moments(df: DataFrame, older: DataFrame, values: DataFrame) -> tuple[Da
         wanted = values.where(F.col("bin").isin(*bins)).join(middle, ["reading_type", "bin"], "left_semi")
     own_values = df.select("reading_type", "value", F.lit(1).cast("bigint").alias("_times"))
     counted = own_values.unionByName(wanted.select("reading_type", F.col("v").alias("value"), F.col("c").alias("_times")))
-    medians = medians_of(counted, "reading_type", "value", merged, times="_times")
-    joined = moments.join(medians, "reading_type", "left").select(
+    return _moments(merged, medians_of(counted, "reading_type", "value", merged, times="_times")), merged
+
+
+def _moments(merged: DataFrame, medians: DataFrame) -> DataFrame:
+    joined = moments_of(merged, "reading_type").join(medians, "reading_type", "left").select(
         "reading_type", "n", "mean", F.sqrt(F.col("m2") / F.col("n")).alias("std"), "median"
     )
-    return stage(joined, "type-moments"), merged
+    return stage(joined, "type-moments")
 
 
 def _median_bins(merged: DataFrame) -> DataFrame:

@@ -144,10 +144,11 @@ def _earlier(job: _Job) -> Earlier:
     read = lambda kind, batches: job.table.read_history(kind, history.SCHEMAS[kind], batches).drop("batch")
     first = datetime.fromisoformat(window_of(job.batch)[0].replace("0000", "0001", 1))
     near = [b for b in before if _day(window_of(b)[1]) + timedelta(days=job.copy_days) >= first]
+    if not before:
+        return Earlier()
     # Tails and histograms are those of all batches so far.
-    return Earlier(
-        read("tails", before[-1:]), read("histograms", before[-1:]), read("values", before), read("keys", near)
-    )
+    stored = read("keys", near) if near else None
+    return Earlier(read("tails", before[-1:]), read("histograms", before[-1:]), read("values", before), stored)
 
 
 def _day(text: str) -> datetime:
@@ -182,8 +183,9 @@ def _write_history(job: _Job, entry: Entry, done: Transformed, earlier: Earlier,
     frames = {
         "tails": history.tails(done.replaced, earlier.tails, job.cfg),
         "histograms": done.histogram.coalesce(1),
-        "values": history.value_counts(sources).repartitionByRange("reading_type", "bin").sortWithinPartitions("reading_type", "bin"),
-        "keys": history.keys(done.distinct).repartitionByRange("timestamp").sortWithinPartitions("timestamp"),
+        # Sorted, so that row groups can be passed over.
+        "values": history.value_counts(sources).sortWithinPartitions("reading_type", "bin"),
+        "keys": history.keys(done.distinct).sortWithinPartitions("timestamp"),
         "hour_sums": history.hour_sums(output),
         "day_sums": history.day_sums(output),
         "hour_bits": history.hour_bits(output, job.cfg),

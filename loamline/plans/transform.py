@@ -56,12 +56,12 @@ class Transformed:
 
 @dataclass(frozen=True)
 class Earlier:
-    """What the batches before left, see :mod:`loamline.operators.history`; empty frames for a first batch."""
+    """What the batches before left, see :mod:`loamline.operators.history`; None where there is nothing."""
 
-    tails: DataFrame
-    histograms: DataFrame
-    values: DataFrame
-    keys: DataFrame
+    tails: DataFrame | None = None
+    histograms: DataFrame | None = None
+    values: DataFrame | None = None
+    keys: DataFrame | None = None
 
 
 def distinct_readings(raw: DataFrame, spelled: bool = False) -> DataFrame:
@@ -103,7 +103,7 @@ def transform(
 
 def _transform_after(raw: DataFrame, cfg: PipelineConfig, earlier: Earlier) -> Transformed:
     read = stage(distinct_readings(raw, spelled=True), "distinct-read")
-    distinct = history.without_stored(read, earlier.keys)
+    distinct = read if earlier.keys is None else history.without_stored(read, earlier.keys)
     before = 0
     if distinct is not read:
         distinct = stage(distinct, "distinct")

@@ -14,7 +14,7 @@ from loamline import functions as fx
 from loamline.config import PipelineConfig
 from loamline.rows import local_frame, one_row
 from loamline.sinks.batches import BatchTable, Entry
-from loamline.sources.files import list_files, partition_values, read_or_none
+from loamline.sources.files import list_files, partition_values, read_or_none, schema_check
 
 # --- writing -------------------------------------------------------------------
 
@@ -244,32 +244,44 @@ def load_stats(
 
 def batch_totals(spark: SparkSession, loaded: list[Loaded]) -> DataFrame:
     """One row over several loads: tables, records, megabytes, mean of the positive ratios, and how
-    many loads succeeded and failed. Failed loads count nowhere else."""
-    per_batch = None
-    for path in [b.path for b in loaded if b.success]:
-        df = spark.read.parquet(path)
-        one = load_stats(
-            spark, path, len(df.columns), df.agg(F.count(F.lit(1)).alias("records_loaded"))
-        )
-        per_batch = one if per_batch is None else per_batch.unionByName(one)
+    many loads succeeded and failed. Failed loads count nowhere else.
+
+    One listing and one pass over the footers, however many loads there are.
+    """
+    good = [b.path for b in loaded if b.success]
     failed = sum(not b.success for b in loaded)
-    if per_batch is None:
+    if not good:
         ddl = (
             "total_files bigint, total_records bigint, total_size_mb double, "
             "average_compression_ratio double, successful_batches bigint, failed_batches bigint"
         )
         return local_frame(spark, [(0, 0, 0.0, 0.0, 0, failed)], ddl)
-    ratio = F.col("compression_ratio")
-    return per_batch.agg(
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listing = reader.option("pathGlobFilter", "*.parquet").load(good).select("path", "length", "modificationTime")
+    # A footer lacks the partition columns, which the path below the load has.
+    part = F.regexp_extract("path", _PART, 1)
+    keys = F.size(partition_values(_folder(F.regexp_extract("path", _PART, 2))))
+    files = schema_check(listing).groupBy(part.alias("part")).agg(
+        F.sum("length").alias("size"),
+        F.sum("num_rows").alias("rows"),
+        F.max(F.size("actual") + keys).alias("columns"),
+    )
+    named = local_frame(spark, [(path.rstrip("/").rsplit("/", 1)[1],) for path in good], "part string")
+    ratio = compression_ratio(F.col("size"), F.col("rows"), F.col("columns"))
+    return named.join(files, "part", "left").agg(
         F.count(F.lit(1)).alias("total_files"),
-        F.sum("records_loaded").alias("total_records"),
-        F.sum("file_size_mb").alias("total_size_mb"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_records"),
+        F.coalesce(F.sum(fx.megabytes(F.col("size"))), F.lit(0.0)).alias("total_size_mb"),
         F.coalesce(F.avg(F.when(ratio > 0, ratio)), F.lit(0.0)).alias("average_compression_ratio"),
         F.count(F.lit(1)).alias("successful_batches"),
         F.lit(failed).cast("bigint").alias("failed_batches"),
     )
 
 
+# The load that a file belongs to, and the file's place in it.
+_PART = r"/([^/]+_part_\d{3,}\.parquet)(/.*)$"
+
+
 def batch_errors(spark: SparkSession, loaded: list[Loaded]) -> DataFrame:
     """(output_path, error) of the loads that failed."""
     return local_frame(spark, [(b.path, b.error) for b in loaded if not b.success], "output_path string, error string")

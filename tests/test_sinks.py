@@ -73,6 +73,24 @@ def test_batches(spark, folder):
     assert t.total_size_mb > 0 and t.average_compression_ratio >= 0
 
 
+def test_totals_take_the_same_jobs_whatever_the_loads(spark, folder):
+    df = dated(spark, 60)
+    frames = [df, df.limit(7), df.limit(0), df.limit(3)] + [df.limit(1)] * 8
+    done = sink.load_batches(frames, f"{folder}/batch", CFG, partition_by=("date",))
+    count = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    took = []
+    for some in (done[:2], done):
+        before = count()
+        (t,) = sink.batch_totals(spark, some).collect()
+        took.append(count() - before)
+    assert took[0] == took[1] and t.total_files == 12 and t.total_records == 60 + 7 + 3 + 8
+    one = sink.load_stats(spark, done[0].path, len(df.columns), df.agg(F.count(F.lit(1)).alias("records_loaded")))
+    (alone,) = sink.batch_totals(spark, done[:1]).collect()
+    (s,) = one.collect()
+    assert alone.total_size_mb == s.file_size_mb
+    assert alone.average_compression_ratio == max(0.0, s.compression_ratio)
+
+
 def test_a_failing_frame_leaves_the_others(spark, folder):
     df = dated(spark)
     broken = df.withColumn("value", F.raise_error(F.lit("no such value")).cast("double"))
