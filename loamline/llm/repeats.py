@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.llm.shingles import mix
-from loamline.staging import stage
+from loamline.session import tidy_shuffles
+from loamline.staging import Scope, stage
 
 SPAN = 50
 GRAM = 24
@@ -248,7 +249,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 rows, size = rows + 1, size + length
             yield pa.record_batch([*batch.columns, pa.array(own, pa.int64())], [*batch.schema.names, "_block"])
 
-    return stage(docs.mapInArrow(run, "_row long, _id long, _order long, _text binary, _block long"), "repeats-blocks")
+    return stage(docs.mapInArrow(run, "_row long, _id long, _order long, _text binary, _block long"), "repeats-blocks", "zstd")
 
 
 def _pieces(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray, Texts]]:
@@ -278,31 +279,38 @@ def _firsts(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_bounds(batches):
-    """(_h, _lo, _hi): each anchor of a block once, with its first and last document."""
-    for _, _, order, texts in _pieces(batches):
+    """(_h, _block, _lo, _hi): each anchor of a block once, with its first and last document."""
+    for block, _, order, texts in _pieces(batches):
         place, h = texts.anchors()
         doc = order[np.searchsorted(texts.bounds, place, side="right") - 1]
         by, begins = _firsts(h)
         low = doc[by][begins]  # places ascend with the order of their documents
         high = np.maximum.reduceat(doc[by], begins) if len(by) else doc
-        columns = [h[by][begins].view(np.int64), low, high]
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["_h", "_lo", "_hi"])
+        columns = [h[by][begins].view(np.int64), np.full(len(low), block), low, high]
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["_h", "_block", "_lo", "_hi"])
 
 
 _OCCURRENCES = "_h long, _c long, _order long, _block long, _row long, _pos long"
 
 
-def _occurrences(batches):
-    """Each anchor and context of a block once, where it occurs first."""
-    for block, rows, order, texts in _pieces(batches):
+def _occurrences(docs: pa.Table, shared: pa.Table) -> pa.Table:
+    """Each shared anchor of a block with each of its contexts once, where it occurs first."""
+    names = ["_h", "_c", "_order", "_block", "_row", "_pos"]
+    out = [np.zeros(0, np.int64)] * len(names)
+    if docs.num_rows and shared.num_rows:
+        docs = docs.combine_chunks()
+        ((block, rows, order, texts),) = _pieces(docs.to_batches())
         place, h = texts.anchors()
+        known = np.sort(shared.column("_h").to_numpy().view(_U))
+        kept = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+        place, h = place[kept], h[kept]
         c = texts.contexts(place)
         by, begins = _firsts(h, c)
         first = by[begins]
         doc = np.searchsorted(texts.bounds, place[first], side="right") - 1
         at = place[first] - texts.bounds[doc]
-        columns = [h[first].view(np.int64), c[first].view(np.int64), order[doc], np.full(len(doc), block), rows[doc], at]
-        yield pa.record_batch([pa.array(x, pa.int64()) for x in columns], ["_h", "_c", "_order", "_block", "_row", "_pos"])
+        out = [h[first].view(np.int64), c[first].view(np.int64), order[doc], np.full(len(doc), block), rows[doc], at]
+    return pa.table([pa.array(x, pa.int64()) for x in out], names)
 
 
 _FLAGS = "_block long, _h long, _c long, _first long, _mask long"
@@ -409,31 +417,24 @@ def _cut(docs: pa.Table, flags: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept): every document without the bytes repeated from smaller ids.
-
-    A byte goes if it is covered by SPAN bytes of its text that also start in a document with a smaller id, as
-    the input has them; matches never cross documents. ``n_spans`` counts the maximal removed runs, ``kept`` are
-    the other bytes of the UTF-8 text. Nulls are empty texts; texts below SPAN bytes stay whole. A null id counts
-    as the largest. Rows that share an id are judged one by one and remove nothing from each other. Other columns,
-    whatever their names, take no part; an empty table gives no rows.
-    """
-    order = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
-    raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col(doc_id).cast("long").alias("_id"), order.alias("_order"), raw.alias("_text")
-    )
+def _find(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(blocks, flags): the documents in blocks, and what each block must know to cut its repeats."""
+    spark = rows.sparkSession
     blocks = _blocks(rows)
 
-    # Anchors that occur in several documents. Each block gives an anchor once, so the commonest one has
-    # as many rows as there are blocks, and these combine before the shuffle.
-    bounds = blocks.mapInArrow(_anchor_bounds, "_h long, _lo long, _hi long")
-    shared = bounds.groupBy("_h").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).where("_lo < _hi")
-    shared = stage(shared.select("_h"), "repeats-anchors")
-    met = blocks.mapInArrow(_occurrences, _OCCURRENCES).join(shared, "_h", "left_semi")
+    # Anchors that occur in several documents go back to their blocks. Each block gives an anchor once, so
+    # the commonest one has no more rows than there are blocks.
+    with Scope(spark) as tables:
+        bounds = blocks.mapInArrow(_anchor_bounds, "_h long, _block long, _lo long, _hi long").repartition("_h")
+        anchor = Window.partitionBy("_h")
+        least, most = F.min("_lo").over(anchor), F.max("_hi").over(anchor)
+        shared = bounds.select("_h", "_block", least.alias("_least"), most.alias("_most")).where("_least < _most")
+        shared = stage(shared.select("_h", "_block"), "repeats-anchors")
+    met = blocks.groupBy("_block").cogroup(shared.groupBy("_block")).applyInArrow(_occurrences, _OCCURRENCES)
     # (anchor, context) is the key: a common anchor with many contexts spreads over the tasks.
     same = Window.partitionBy("_h", "_c")
     met = stage(met.withColumn("_first", F.min("_order").over(same)), "repeats-classes")
+    tables.drop()
     first = met.where(F.col("_order") == F.col("_first"))
     several = first.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     several = stage(several, "repeats-several")
@@ -451,7 +452,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.pmod(F.xxhash64("_h", "_salt"), F.lit(parts)).cast("int").alias("_part"),
         "_block", "_h", "_c", "_order", "_hot", context.alias("_context"),
     )
-    contexts = stage(contexts, "repeats-contexts")
+    contexts = stage(contexts, "repeats-contexts", "zstd")
     masks = contexts.groupBy("_part").applyInArrow(_search_part, _FLAGS)
 
     # Hot anchors: their parts' intervals meet by the bytes they share.
@@ -462,7 +463,25 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     across = hot.groupBy("_part").cogroup(better.groupBy("_part")).applyInArrow(_search_heads, _FLAGS)
 
     later = met.where(F.col("_first") < F.col("_order")).select("_block", "_h", "_c", "_first", F.lit(0).cast("long").alias("_mask"))
-    flags = stage(later.unionByName(masks).unionByName(across), "repeats-flags")
+    return blocks, stage(later.unionByName(masks).unionByName(across), "repeats-flags")
+
+
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept): every document without the bytes repeated from smaller ids.
+
+    A byte goes if it is covered by SPAN bytes of its text that also start in a document with a smaller id, as
+    the input has them; matches never cross documents. ``n_spans`` counts the maximal removed runs, ``kept`` are
+    the other bytes of the UTF-8 text. Nulls are empty texts; texts below SPAN bytes stay whole. A null id counts
+    as the largest. Rows that share an id are judged one by one and remove nothing from each other. Other columns,
+    whatever their names, take no part; an empty table gives no rows.
+    """
+    order = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
+    raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("_row"), F.col(doc_id).cast("long").alias("_id"), order.alias("_order"), raw.alias("_text")
+    )
+    with tidy_shuffles(docs.sparkSession):
+        blocks, flags = _find(rows)
     result = "_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     cut = blocks.groupBy("_block").cogroup(flags.groupBy("_block")).applyInArrow(_cut, result)
     return cut.withColumnRenamed("_id", doc_id)
