@@ -26,6 +26,7 @@ SCALE = 1024
 STEP = 16  # width of a quantised impact
 ROWS = 8_192  # vectors of a block
 QUERIES = 4_096
+EXACT = 2.0**52  # bounds are sums of doubles, whole up to here
 CHECK = 0.125  # share of the postings processed between two tries of the proof
 
 
@@ -113,6 +114,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     Every row but those with the query's own id is a candidate; ties go to the smaller id; fewer
     than k rows if there are no more. Rows without id, and vectors that are null or hold a null or
     non-finite component, take no part. Vectors of another length than the query count as padded with zeros.
+    Components so large that an inner product could reach 2 ** 52 are refused with an error, not rounded.
     Rows that repeat an id are candidates of their own; repeated queries are asked once per id and
     vector. Empty tables give no rows.
     """
@@ -143,8 +145,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
         out: list[list] = [[], [], []]
         if own.num_rows and asked.num_rows:
             width = max(_width(own), _width(asked))
-            index = ImpactIndex(own.column("_id").to_numpy(), _matrix(own, width))
-            for query_id, query in zip(asked.column("_id").to_pylist(), _matrix(asked, width)):
+            vectors, wanted = _matrix(own, width), _matrix(asked, width)
+            largest = width * _largest(vectors) * _largest(wanted)
+            if largest >= EXACT:
+                raise OverflowError(f"inner products of up to {largest:.3g} are not exact; scale the vectors down")
+            index = ImpactIndex(own.column("_id").to_numpy(), vectors)
+            for query_id, query in zip(asked.column("_id").to_pylist(), wanted):
                 ids, scores = index.search(query, k, query_id)
                 out[0] += [query_id] * len(ids)
                 out[1] += ids.tolist()
@@ -157,6 +163,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def _largest(grid: np.ndarray) -> float:
+    return float(np.abs(grid.astype(float)).max(initial=0.0))
+
+
 def _width(table: pa.Table) -> int:
     lengths = table.column("_v").combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     return int(lengths.max()) if len(lengths) else 0

@@ -1,6 +1,7 @@
 """Exact top-k against a full product."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from loamline.llm import topk
@@ -53,6 +54,14 @@ def test_odd_vectors(spark):
     assert topk.top_k(empty, empty).count() == 0
 
 
+def test_large_components_are_exact_or_refused(spark):
+    run(spark, [(7 * i, [float(i * 3_000), -1.0, 0.5]) for i in range(12)])
+    for huge in (1e30, 3e8):
+        df = spark.createDataFrame([(i, [huge, float(i)], 0) for i in range(3)], DDL)
+        with pytest.raises(Exception, match="not exact"):
+            topk.top_k(df, df, 2).collect()
+
+
 def test_proof_leaves_few_rows_and_loses_none():
     rng = np.random.default_rng(6)
     v = np.floor(1024 * rng.normal(size=(3_000, 32)) / 6).astype(int)
