@@ -9,12 +9,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from loamline import functions as fx
 from loamline.rows import local_frame
@@ -308,28 +312,34 @@ def scan_checked(
     """Normalised readings of the valid files, with ``file`` and ``present`` columns.
 
     Days may store the same column under different physical types, so valid files are scanned
-    once per type signature, each time with an explicit schema and a predicate on file metadata:
-    files outside of the window, in quarantine or of another signature are pruned at listing time.
-    What passes the driver is one row per day and signature, and paths only of days whose files
-    disagree.
+    once per type signature, each time with an explicit schema. Days all of whose files have one signature are
+    scanned by Spark, with a predicate on file metadata: other files are pruned at listing time. The files of
+    days that are mixed — some in quarantine or of another signature — are read from the table of checked
+    files by the tasks, one file at a time. So no path passes the driver, only one row per day and signature.
     """
     good = checked.where("is_valid").withColumn("signature", _signature())
     signatures = [r.signature for r in good.select("signature").distinct().collect()]
     frames = []
     for signature in sorted(signatures):
-        schema = ", ".join(
-            f"`{c}` {spark_type(kind)}" for c, kind in zip(READING_COLUMNS, signature.split(_BETWEEN))
-        )
-        raw = spark.read.schema(schema).parquet(f"{directory.rstrip('/')}/*.parquet")
-        raw = raw.where(_files_of(checked.withColumn("signature", _signature()), signature))
+        kinds = dict(zip(READING_COLUMNS, signature.split(_BETWEEN)))
+        schema = ", ".join(f"`{c}` {spark_type(kind)}" for c, kind in kinds.items())
+        whole, mixed = _days_of(checked.withColumn("signature", _signature()), signature)
+        raw = None
+        if whole is not None:
+            scan = spark.read.schema(schema).parquet(f"{directory.rstrip('/')}/*.parquet").where(whole)
+            raw = scan.select("*", _metadata_file().alias("file"))
+        odd = good.where((F.col("signature") == signature) & mixed)
+        if not odd.isEmpty():
+            own = read_files(odd, schema)
+            raw = own if raw is None else raw.unionByName(own)
         # Presence is judged on the stored columns, before any conversion.
         present = stored_present(raw)
-        if signature.split(_BETWEEN)[READING_COLUMNS.index("timestamp")].startswith("timestamp[ns"):
+        if kinds["timestamp"].startswith("timestamp[ns"):
             raw_time = F.timestamp_micros(F.call_function("div", F.col("timestamp"), F.lit(1000)))
         else:
             raw_time = F.col("timestamp")
         stored = [raw_time.alias(c) if c == "timestamp" else F.col(c) for c in READING_COLUMNS]
-        kept = keep_spelling(raw.select(*stored, _metadata_file().alias("file"), present.alias("present")))
+        kept = keep_spelling(raw.select(*stored, "file", present.alias("present")))
         frames.append(normalise(kept, keep=tuple(c for c in kept.columns if c not in READING_COLUMNS)))
     return union_readings(frames) if frames else None
 
@@ -343,34 +353,69 @@ def _signature() -> Column:
     return F.when(F.col("is_valid"), kinds)
 
 
-def _files_of(checked: DataFrame, signature: str) -> Column:
-    """A predicate on file metadata that selects the checked files of one signature.
+def _days_of(checked: DataFrame, signature: str) -> tuple[Column | None, Column]:
+    """(predicate on file metadata, predicate on ``path``) for the files of one signature.
 
-    Days all of whose files have the signature are selected as date ranges between the days that
-    other checked files have; the files of other days by their paths.
+    The first selects the days all of whose checked files have it, as date ranges between the days that other
+    checked files have, None if there are none. The second selects files of other days and files without a day.
     """
     mine = F.col("signature").eqNullSafe(F.lit(signature))
     day = day_of_path(F.col("path"))
     days = sorted(
-        (str(r.day), r.mine == r.n, r.mine > 0)
+        (str(r.day), r.mine == r.n)
         for r in checked.where(day.isNotNull())
         .groupBy(day.alias("day"))
         .agg(F.count_if(mine).alias("mine"), F.count(F.lit(1)).alias("n"))
         .collect()
     )
-    path = F.col("_metadata.file_path")
-    chosen = F.lit(False)
+    found, ranges = day_of_path(F.col("_metadata.file_path")), []
     for whole, run in groupby(days, key=lambda d: d[1]):
         run = list(run)
         if whole:
-            found = day_of_path(path)
-            chosen = chosen | ((found >= F.to_date(F.lit(run[0][0]))) & (found <= F.to_date(F.lit(run[-1][0]))))
-    mixed = [d for d, whole, some in days if some and not whole]
-    odd = checked.where(mine & (day.isNull() | day.cast("string").isin(*mixed)))
-    paths = [r.path for r in odd.select("path").collect()]
-    if paths:
-        chosen = chosen | _metadata_file().isin(*paths)
-    return chosen
+            ranges.append((run[0][0], run[-1][0]))
+    between = lambda c: reduce(
+        lambda a, b: a | b, [(c >= F.to_date(F.lit(low))) & (c <= F.to_date(F.lit(high))) for low, high in ranges]
+    )
+    if not ranges:
+        return None, F.lit(True)
+    return between(found), F.coalesce(~between(day), F.lit(True))
+
+
+_ROWS_AT_ONCE = 65_536
+
+
+def read_files(files: DataFrame, schema: str) -> DataFrame:
+    """The rows of the files named in ``path``, as ``schema`` and with their ``file``; each file in one task.
+
+    Exactly these files are opened, whatever lies beside them by now. A file is streamed, so its size does
+    not matter to a task's memory.
+    """
+    spark = files.sparkSession
+    ship_package(spark)
+    wanted = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches):
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, inner = footer_system(path)
+                with system.open_input_file(inner) as handle:
+                    stored = pq.ParquetFile(handle)
+                    for rows in stored.iter_batches(_ROWS_AT_ONCE, columns=wanted.names):
+                        columns = [_stored_as(rows.column(f.name), f.type) for f in wanted]
+                        columns.append(pa.array([path] * rows.num_rows, pa.string()))
+                        yield pa.RecordBatch.from_arrays(columns, [*wanted.names, "file"])
+
+    slots = spark.sparkContext.defaultParallelism * 4
+    return files.select("path").repartition(slots, "path").mapInArrow(run, f"{schema}, file string")
+
+
+def _stored_as(column: pa.Array, kind: pa.DataType) -> pa.Array:
+    """A stored column as the type that a scan gives it: instants are cut to microseconds."""
+    if pa.types.is_dictionary(column.type):
+        column = column.dictionary_decode()
+    return column.cast(kind, safe=False) if pa.types.is_temporal(column.type) else column.cast(kind)
 
 
 @dataclass(frozen=True)

@@ -282,3 +282,35 @@ def test_union_fills_missing_columns(spark):
     a = spark.createDataFrame([(1, 2)], "x int, y int")
     b = spark.createDataFrame([(3,)], "x int")
     assert sorted(r.x for r in readings.union_readings([a, b]).collect()) == [1, 3]
+
+
+def test_days_of_mixed_parts_are_read_file_by_file(spark, folder):
+    """A day folder with parts of several types and a broken one: the good parts are read, no path is in a plan."""
+    from datetime import datetime
+
+    day = os.path.join(folder, "2023-06-01.parquet")
+    os.makedirs(day)
+    put(day, "part-a.parquet", GOOD)
+    stamps = [datetime(2023, 6, 1, h, 0, 0, 7) for h in (1, 2, 3)]
+    for name, kind in (("b", pa.timestamp("ns")), ("c", pa.timestamp("us", "UTC")), ("d", pa.timestamp("us"))):
+        put(day, f"part-{name}.parquet", {**GOOD, "timestamp": pa.array(stamps, kind)})
+    put(day, "part-e.parquet", {**GOOD, "value": pa.array([1, 2, None], pa.int32())})
+    put(day, "part f.parquet", {**GOOD, "sensor_id": pa.array(["x", "y", "x"]).dictionary_encode()})
+    open(os.path.join(day, "part-g.parquet"), "wb").write(b"junk")
+    put(folder, "2023-06-02.parquet", GOOD)
+    taken = files.ingest(spark, folder)
+    stats = {r.file_path.rsplit("/", 1)[1]: r for r in taken.stats.collect()}
+    assert {n: r.records_total for n, r in stats.items() if r.success} == {
+        **{f"part-{x}.parquet": 3 for x in "abcde"}, "part f.parquet": 3, "2023-06-02.parquet": 3
+    }
+    assert stats["part-e.parquet"].records_valid == 2 and not stats["part-g.parquet"].schema_valid
+    rows = taken.readings.collect()
+    assert len(rows) == 21 and sum(r.timestamp is None for r in rows) == 0
+    assert sum(r.timestamp.microsecond == 7 for r in rows) == 9 and sum(r.value is None for r in rows) >= 1
+    assert {r.sensor_id for r in rows} >= {"x", "y"}
+    plan = taken.readings._jdf.queryExecution().optimizedPlan().toString()
+    assert "part-a" not in plan and "part%20f" not in plan
+    # A part that comes after the check is not read.
+    checked = files.check_window(spark, folder)
+    put(day, "part-h.parquet", GOOD)
+    assert files.scan_checked(spark, folder, checked).count() == 21
