@@ -90,12 +90,12 @@ deductions AS (
 @query(
     "prj_type_validity",
     """
-SELECT 'sensor_id' AS "column", FALSE AS is_valid, 0 AS uncastable_count
-UNION ALL SELECT 'timestamp', TRUE, 0
-UNION ALL SELECT 'reading_type', TRUE, 0
-UNION ALL SELECT 'value', FALSE, count(*) FILTER (TRY_CAST(props AS DOUBLE) IS NULL) FROM events
-UNION ALL SELECT 'battery_level', TRUE, 0
-UNION ALL SELECT 'note', TRUE, 0""",
+SELECT 'sensor_id' AS "column", 'bigint' AS actual_type, FALSE AS is_valid, 0 AS uncastable_count
+UNION ALL SELECT 'timestamp', 'timestamp_ntz', TRUE, 0
+UNION ALL SELECT 'reading_type', 'string', TRUE, 0
+UNION ALL SELECT 'value', 'string', FALSE, count(*) FILTER (TRY_CAST(props AS DOUBLE) IS NULL) FROM events
+UNION ALL SELECT 'battery_level', 'double', TRUE, 0
+UNION ALL SELECT 'note', 'bigint', TRUE, 0""",
 )
 def _(spark, d):
     feed = b.table(spark, d, "events").select(
@@ -106,7 +106,7 @@ def _(spark, d):
         F.col("value").alias("battery_level"),
         F.col("event_id").alias("note"),
     )
-    return quality.type_validity(feed).drop("actual_type")
+    return quality.type_validity(feed)
 
 
 @query(

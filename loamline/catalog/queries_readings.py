@@ -10,6 +10,7 @@ from loamline.catalog import bridge as b
 from loamline.config import with_calibration, with_range
 from loamline.operators import cleaning, outliers, profiles, quality, series
 from loamline.plans.transform import transform, transform_stats
+from loamline.rows import one_row
 from loamline.sources import files, readings
 
 QUERIES = {}
@@ -166,13 +167,30 @@ def _(spark, d):
     f"""WITH {b.DIRTY_SQL}
 SELECT count(*) AS total_records,
        count(*) FILTER (sensor_id IS NOT NULL AND value IS NOT NULL) AS valid_records,
-       count(*) FILTER (sensor_id IS NULL OR value IS NULL) AS invalid_records
+       count(*) FILTER (sensor_id IS NULL OR value IS NULL) AS invalid_records,
+       (SELECT count(DISTINCT CAST("timestamp" AS DATE)) FROM readings_dirty WHERE extract(day FROM "timestamp") % 3 <> 0)
+         AS successful_days,
+       (SELECT count(DISTINCT CAST("timestamp" AS DATE)) FROM readings_dirty WHERE extract(day FROM "timestamp") % 3 = 0)
+         AS failed_days,
+       TRUE AS files_add_up
 FROM readings_dirty WHERE extract(day FROM "timestamp") % 3 <> 0""",
 )
 def _(spark, d):
-    # File counts and megabytes depend on how the writer splits a day; tests cover them.
-    summary = files.ingest_summary(files.ingest(spark, b.mixed_landing(spark, d)).stats)
-    return summary.select("total_records", "valid_records", "invalid_records")
+    # How many files and bytes a day has is the writer's choice: days are compared, and that the counts add up.
+    stats = files.ingest(spark, b.mixed_landing(spark, d)).stats
+    day, ok = files.day_of_path(F.col("file_path")), F.col("success")
+    days = stats.agg(
+        F.count_distinct(F.when(ok, day)).alias("successful_days"), F.count_distinct(F.when(~ok, day)).alias("failed_days")
+    )
+    told = files.ingest_summary(stats)
+    adds_up = (
+        (F.col("total_files") == F.col("successful_files") + F.col("failed_files"))
+        & (F.col("error_count") == F.col("failed_files"))
+        & (F.col("total_size_mb") > 0)
+    )
+    return one_row(told.withColumn("files_add_up", adds_up), days).select(
+        "total_records", "valid_records", "invalid_records", "successful_days", "failed_days", "files_add_up"
+    )
 
 
 @query(

@@ -179,16 +179,34 @@ def _(spark, d):
 @query(
     "snk_report_json",
     f"""WITH {SECTIONS_SQL}
-SELECT 'value_ranges' AS section, reading_type, total_count FROM ranges
-UNION ALL SELECT 'anomalies', reading_type, total_count FROM anomalies""",
+SELECT 'value_ranges' AS section, reading_type AS key, total_count::DOUBLE AS n, valid_count::DOUBLE AS m FROM ranges
+UNION ALL SELECT 'anomalies', reading_type, total_count, anomalous_count FROM anomalies
+UNION ALL SELECT 'missing_values', "column", total_count, missing_count FROM missing
+UNION ALL SELECT 'data_gaps', sensor_id || '/' || reading_type, missing_hours_count, NULL FROM gaps
+UNION ALL SELECT 'time_coverage', sensor_id || '/' || reading_type, count(*), count(DISTINCT date)
+  FROM enriched GROUP BY sensor_id, reading_type
+UNION ALL SELECT 'quality_score', NULL, round(greatest(0.0, 100.0 - coalesce(sum(deduction), 0.0)), 2), NULL
+  FROM deductions
+UNION ALL SELECT 'total_records', NULL, count(*), NULL FROM enriched""",
 )
 def _(spark, d):
     q = quality.validate(enriched(spark, d), b.CONFIG)
     json_path, _ = reports.write_report(q, new_path(spark, "report"))
-    body = F.from_json("body", "reading_type string, total_count bigint")
+    kinds = (
+        "reading_type string, sensor_id string, `column` string, total_count double, valid_count double, "
+        "anomalous_count double, missing_count double, missing_hours_count double, reading_count double, "
+        "days_with_data double, quality_score double, total_records double"
+    )
     back = spark.read.schema("section string, body string").json(json_path)
-    return back.where(F.col("section").isin("value_ranges", "anomalies")).select(
-        "section", body["reading_type"].alias("reading_type"), body["total_count"].alias("total_count")
+    told = back.select("section", F.from_json("body", kinds).alias("b")).select("section", "b.*")
+    # Types of columns and spans of gaps have queries of their own.
+    shown = told.where(~F.col("section").isin("data_types", "data_gap_spans"))
+    series = F.when(F.col("sensor_id").isNotNull(), F.concat_ws("/", "sensor_id", "reading_type"))
+    return shown.select(
+        "section",
+        F.coalesce(series, "reading_type", "column").alias("key"),
+        F.coalesce("missing_hours_count", "reading_count", "quality_score", "total_records", "total_count").alias("n"),
+        F.coalesce("valid_count", "anomalous_count", "missing_count", "days_with_data").alias("m"),
     )
 
 
@@ -200,7 +218,10 @@ UNION ALL SELECT 'ingest', 'valid_records', count(*) FILTER (sensor_id IS NOT NU
   FROM readings_dirty
 UNION ALL SELECT 'ingest', 'invalid_records', count(*) FILTER (sensor_id IS NULL OR value IS NULL)
   FROM readings_dirty
-UNION ALL SELECT 'transform', 'records_after_cleaning', count(*) FROM cleaned
+UNION ALL SELECT 'transform', unnest(['records_after_cleaning', 'records_after_outlier_removal']), count(*) FROM cleaned
+UNION ALL SELECT 'transform', 'original_records', count(*) FROM readings_dirty
+UNION ALL SELECT 'transform', unnest(['unparsable_times', 'duplicates_of_earlier_batches']), 0
+UNION ALL SELECT 'ingest', unnest(['failed_files', 'error_count']), 0
 UNION ALL SELECT 'transform', 'records_final', count(*) FROM enriched
 UNION ALL SELECT 'transform', 'duplicates_removed',
   (SELECT count(*) FROM readings_dirty) - (SELECT count(*) FROM deduped)
@@ -223,7 +244,8 @@ def _(spark, d):
     )
     # File counts, bytes and ratios are the writer's; the rest is determined by the data.
     told = {
-        "total_records", "valid_records", "invalid_records", "records_after_cleaning", "records_final",
+        "records_after_outlier_removal", "original_records", "unparsable_times", "duplicates_of_earlier_batches",
+        "failed_files", "error_count", "total_records", "valid_records", "invalid_records", "records_after_cleaning", "records_final",
         "duplicates_removed", "missing_values_filled", "outliers_detected", "anomalous_readings",
         "quality_score", "records_loaded", "partition_count", "completed",
     }
