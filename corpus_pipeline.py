@@ -14,8 +14,8 @@ from loamline.llm.tables import fresh, table
 from loamline.staging import Scope, stage
 
 # How far above an even share of the learned languages the best one must be, as a part of the way to 1: with four
-# languages a text below 0.325 counts as unidentified. Texts of a few clean words reach 0.35 and more.
-MARGIN = 0.1
+# languages a text below 0.2875 counts as unidentified. Texts of a few clean words reach 0.35 and more.
+MARGIN = 0.05
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
