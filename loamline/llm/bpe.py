@@ -21,6 +21,7 @@ _PLAIN = re.compile(rf"[\x21-\x7e\n{_LETTERS}]*")
 _SPACE_BEFORE_SPACE = re.compile(r"\s ")
 _SPACE_AT_FEED = re.compile(r"\s[ \n]|\n\s")
 _LATIN = re.compile(r"[\x00-\xff]*")
+_ENDS = ".,;:!?"
 # Marks of chunks; noncharacters, so no chunk of a text begins with one (texts that do go whole).
 _WHOLE, _BARE, _FEED = "\ufdd0", "\ufdd1", "\ufdd2"
 _encoders: dict[tuple, "ChunkEncoder"] = {}
@@ -45,6 +46,19 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Chunks(dict):
+    """Chunk → ids. A missing chunk is encoded and kept, and noted in ``new``."""
+
+    def __init__(self, code):
+        super().__init__()
+        self.code, self.new = code, []
+
+    def __missing__(self, chunk: str) -> bytes:
+        self[chunk] = ids = self.code(chunk)
+        self.new.append(chunk)
+        return ids
+
+
 class ChunkEncoder:
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
@@ -55,7 +69,7 @@ class ChunkEncoder:
         self.limit = cache_chunks
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.letter = "H" if self.dtype.itemsize == 2 else "I"
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Chunks(self._chunk)
         self.letters = _byte_letters()
         contraction = "'s|'t|'re|'ve|'m|'ll|'d"
         if self.kind == "spaced":
@@ -63,24 +77,19 @@ class ChunkEncoder:
         else:
             rest = rf"[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+"
         self.pieces = re.compile(f"{contraction}|{rest}")
+        self.space = self.letters[32] if self.kind == "spaced" else ""
+        self.ends = {c: self._ids(c) for c in _ENDS} if self.kind else {}
+        self.packs = [struct.Struct(f"<{n}{self.letter}").pack for n in range(32)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids (``dtype``) of each text; null is empty."""
-        cut = [self._cut(text or "") for text in texts]
-        wanted: set[str] = set()
-        for chunks in cut:
-            wanted.update(chunks)
-        wanted.difference_update(self.cache)
-        cache = self.cache
-        for chunk in wanted:
-            cache[chunk] = self._chunk(chunk)
-        out = [b"".join(map(cache.__getitem__, chunks)) for chunks in cut]
-        if len(cache) > self.limit:  # what came first is what is frequent
-            for chunk in wanted:
-                del cache[chunk]
-        else:
-            for chunk in [c for c in wanted if c[:1] == _WHOLE]:
-                del cache[chunk]
+        get = self.cache.__getitem__  # encodes a chunk that is missing
+        out = [b"".join(map(get, self._cut(text or ""))) for text in texts]
+        new, full = self.cache.new, len(self.cache) > self.limit
+        for chunk in new:
+            if full or chunk[:1] == _WHOLE:  # what came first is what is frequent
+                del self.cache[chunk]
+        new.clear()
         return out
 
     def _cut(self, text: str) -> list[str]:
@@ -114,11 +123,22 @@ class ChunkEncoder:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+        n = len(ids)
+        return self.packs[n](*ids) if n < 32 else struct.pack(f"<{n}{self.letter}", *ids)
+
+    def _ids(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word)]
 
     def _chunk(self, chunk: str) -> bytes:
         if self.kind is None or chunk[:1] == _WHOLE:
             return self._library(chunk.removeprefix(_WHOLE))
+        # Most chunks are one word of ASCII letters, with or without one mark: their pieces are known.
+        if chunk.isascii():
+            end = self.ends.get(chunk[-1:])
+            word = chunk if end is None else chunk[:-1]
+            if word.isalpha():
+                ids = self._ids(self.space + (word if self.kind == "spaced" else word.lower()))
+                return self._pack(ids if end is None else ids + end)
         if chunk == _FEED:
             bare = chunk = "\n"
         elif chunk[:1] == _BARE:
@@ -135,7 +155,7 @@ class ChunkEncoder:
                 word = piece
             else:
                 word = piece.encode().decode("latin-1").translate(self.letters)
-            ids.extend([t.id for t in self.model.tokenize(word)])
+            ids.extend(self._ids(word))
         return self._pack(ids)
 
 

@@ -34,6 +34,19 @@ def test_chunks_give_the_librarys_ids(path):
     assert [np.frombuffer(b, small.dtype).tolist() for b in got] == want
 
 
+@pytest.mark.parametrize("path", [GPT, CLIP])
+def test_plain_words_need_no_search_for_pieces(path):
+    texts = ["Hello world, yes. No? A b; C: d! Zz", "the The THE the."]
+    coder = bpe.ChunkEncoder(path)
+    first = coder.encode(["Hello the A"])  # with the marks of a text's first chunk
+    coder.pieces = None
+    got = [coder._chunk(c) for t in texts for c in t.split(" ")]
+    space = " " if coder.kind == "spaced" else ""
+    want = [coder.tokenizer.encode(space + c, add_special_tokens=False).ids for t in texts for c in t.split(" ")]
+    assert [np.frombuffer(b, coder.dtype).tolist() for b in got] == want
+    assert np.frombuffer(first[0], coder.dtype).tolist() == coder.tokenizer.encode("Hello the A", add_special_tokens=False).ids
+
+
 def test_packing_cuts_every_document_gaplessly(spark):
     docs = clashing(documents(spark, odd_rows()))
     pieces = packing.pack_documents(docs, GPT).collect()
