@@ -71,7 +71,8 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = quality.rank(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    rows = stage(quality.described(docs), "quality-statistics")
+    scored = quality.scored(rows, quality.learn(rows, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 

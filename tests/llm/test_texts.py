@@ -3,10 +3,12 @@
 import itertools
 import random
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loamline.llm import html_text, language_id, pii, quality
 from tests.llm.frames import clashing, documents, empty, odd_rows, prose
@@ -250,6 +252,30 @@ def test_quality_learns_from_pairs_alone():
     assert abs((model.score(x) >= quality.CUT).mean() - y.mean()) < 0.05
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    rows = quality_rows(400, 3)
+    docs = documents(spark, [(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows], "doc_id long, quality int, toxic int")
+    used = sorted(i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2)
+    known = quality.labelled(quality.described(docs), labels, "doc_id", 2, 4)
+    assert sorted(r._id for r in known.collect()) == used
+    # Small blocks: each row is in one, those of a rare class in several, and every row is in a pair.
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 50)
+    good = known.where("quality = 1").count()
+    blocks = -(-len(used) // 50)
+    dealt = quality._blocks(known, good, len(used) - good)
+    assert dealt.distinct().count() >= known.select("x", "quality").distinct().count()
+    assert {r["block"] for r in dealt.groupBy("block").agg(F.countDistinct("quality").alias("k")).where("k = 2").collect()} == set(range(blocks))
+    x = np.array([np.frombuffer(r.x, np.float32) for r in known.collect()])
+    edges = quality._edges(known, len(used))
+    want = np.quantile(x, quality._QUANTILES, axis=0, method="lower").T
+    assert (edges <= want).all() and np.allclose(edges, want, rtol=2**-11, atol=0)
+    model = quality.fit(docs, labels)
+    got = {r.doc_id: r.score for r in quality.rank(docs, model).collect()}
+    assert np.mean([got[i] > got[j] for i, _, q in rows for j, _, p in rows if q and not p]) > 0.97
+    assert model.weights.tolist() == quality.fit(docs.repartition(5), labels).weights.tolist()
+
+
 def test_quality_odd_rows(spark):
     docs, labels = documents(spark, odd_rows()), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = quality.fit(docs, labels)
