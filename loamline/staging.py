@@ -17,29 +17,36 @@ from contextvars import ContextVar, copy_context
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+# (application, folder) of folders that all machines of a cluster share.
+_proven: set[tuple[str, str]] = set()
 # The scopes open in this thread or context, outermost first.
 _scopes: ContextVar[tuple["Scope", ...]] = ContextVar("scopes", default=())
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder for staged tables: the cluster's setting, else a local one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if configured:
-        if not sc.master.startswith("local") and _own_disk(spark, configured):
-            raise ValueError(
-                f"spark.checkpoint.dir is {configured}, which each machine reads on its own disk; if it is "
-                "a network mount, set spark.loamline.sharedMount to true"
-            )
-        return configured.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError(
-            "set spark.checkpoint.dir to a folder every executor can reach; "
-            "staged tables must not go to a machine-local disk on a cluster"
-        )
-    if sc.applicationId not in _local_roots:
-        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="loamline-stage-")
-    return _local_roots[sc.applicationId]
+    """The folder for staged tables: the cluster's setting, else its warehouse; in local mode any folder will do."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    if not _one_process(spark):
+        folder = folder or spark.conf.get("spark.sql.warehouse.dir")
+        if (app, folder) not in _proven:
+            if _own_disk(spark, folder) and not _seen_by_all(spark, folder):
+                raise ValueError(
+                    f"staged tables would go to {folder}, which each machine reads on its own disk; set "
+                    "spark.checkpoint.dir to a folder that the driver and every executor share"
+                )
+            _proven.add((app, folder))
+    if folder:
+        return folder.rstrip("/")
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="loamline-stage-")
+    return _local_roots[app]
+
+
+def _one_process(spark: SparkSession) -> bool:
+    """Whether tasks run within the driver; ``local-cluster`` has executors with folders of their own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def _own_disk(spark: SparkSession, folder: str) -> bool:
@@ -51,6 +58,21 @@ def _own_disk(spark: SparkSession, folder: str) -> bool:
     return folder.startswith("file:")
 
 
+def _seen_by_all(spark: SparkSession, folder: str) -> bool:
+    """Whether files that tasks write below a folder reach the driver's listing and other tasks, tried out.
+
+    A mount looks like a local path, so only a try tells them apart. There are several tasks for each core, so that
+    every executor at hand writes and reads.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    path = f"{folder.rstrip('/')}/loamline/{spark.sparkContext.applicationId}/probe-{uuid.uuid4().hex[:12]}"
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        return spark.read.schema("id bigint").parquet(path).count() == tasks
+    finally:
+        _delete(spark, path)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared folder, owned by the scopes open in this context."""
     app = spark.sparkContext.applicationId

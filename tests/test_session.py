@@ -4,10 +4,13 @@ import threading
 
 import pytest
 
+import __spark_entry__ as entry
+from loamline import staging
 from loamline.config import PipelineConfig, range_dim
 from loamline.rows import local_frame
 from loamline.session import shuffle_partitions, sized_shuffles
 from loamline.staging import Scope, _own_disk, new_path, shared_root, stage
+from tests.oracle import compare, connect
 
 
 def test_shuffle_counts_are_bounded():
@@ -91,3 +94,41 @@ def test_machine_local_folders_are_told(spark):
         assert not _own_disk(spark, "file:///mnt/x")
     finally:
         spark.conf.unset("spark.loamline.sharedMount")
+
+
+@pytest.fixture
+def cluster(spark, monkeypatch):
+    """The session as one of a cluster whose folders are mounted under local paths."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://driver:7077")
+    monkeypatch.setattr(staging, "_proven", set())
+    return spark
+
+
+@pytest.mark.parametrize("name", ["agg_type_moments", "agg_profile", "gen_gap_spans", "prj_outlier_flag"])
+def test_queries_stage_in_a_mounted_folder(cluster, name):
+    sf_dir = "/root/testdata/sf0.001"
+    found, sql = entry.queries()[name], entry.oracle_sql()[name]
+    assert compare(cluster, connect(sf_dir), found, sql, sf_dir) is None
+    assert staging._proven == {(cluster.sparkContext.applicationId, _cluster_folder(cluster))}
+
+
+def _cluster_folder(spark):
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+
+
+def test_a_folder_is_tried_once_and_left_clean(cluster, tmp_path):
+    assert staging._seen_by_all(cluster, f"file://{tmp_path}")
+    assert not [f for f in tmp_path.rglob("*") if f.is_file()]
+
+
+def test_folders_that_machines_do_not_share_are_refused(cluster, monkeypatch):
+    monkeypatch.setattr(staging, "_seen_by_all", lambda spark, folder: False)
+    with pytest.raises(ValueError, match="own disk"):
+        shared_root(cluster)
+    assert not staging._proven
+
+
+def test_executors_of_a_local_cluster_have_their_own_folders(spark, monkeypatch):
+    for master, one in (("local", True), ("local[4]", True), ("local-cluster[3,2,3000]", False), ("yarn", False)):
+        monkeypatch.setattr(spark.sparkContext, "master", master)
+        assert staging._one_process(spark) is one
