@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loamline.catalog import bridge as b
 from loamline.catalog.queries_quality import SECTIONS_SQL, enriched
@@ -12,7 +13,7 @@ from loamline.plans.pipeline import read_table, run_pipeline, stored_calendar
 from loamline.sinks import parquet as sink
 from loamline.sinks import reports
 from loamline.sinks.batches import BatchTable
-from loamline.staging import new_path
+from loamline.staging import new_path, share
 
 QUERIES = {}
 SQL = {}
@@ -363,18 +364,18 @@ _BORDERS_SQL = _batches_sql(
     "file_day <= TIMESTAMP '2024-01-16'",
 )
 
-_tables: dict[tuple[str, str], tuple[str, object]] = {}
-
-
 def batches_table(spark, d):
-    """(path, schema) of that table, loaded once per application and table folder."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _tables or not BatchTable(spark, _tables[key][0]).published:
+    """(path, schema) of that table, loaded once per application and table folder while queries use it."""
+
+    def loaded():
         landed, path = b.overlapping_landing(spark, d), new_path(spark, "batches")
         for start, end in (*_WINDOWS[:2], _WINDOWS[2], _WINDOWS[1]):
-            done = run_pipeline(spark, landed, path, b.CONFIG, start, end, validate_output=False, day_span=True)
-        _tables[key] = (path, done.output.schema)
-    return _tables[key]
+            run_pipeline(spark, landed, path, b.CONFIG, start, end, validate_output=False, day_span=True)
+        return path
+
+    path = share(spark, "batches", d, loaded)
+    stored = next(iter(BatchTable(spark, path).entries().values())).types
+    return path, T.StructType.fromDDL(", ".join(f"`{c}` {kind}" for c, kind in stored.items()))
 
 
 @query(

@@ -10,7 +10,9 @@ choose join strategies by.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import ContextVar, copy_context
 
@@ -102,12 +104,14 @@ class Scope:
     """Collects the tables staged while it is open, so that they can be dropped together.
 
     Scopes belong to the context that opened them: runs in other threads have their own. A scope
-    left by an exception drops its tables.
+    left by an exception drops its tables. Tables it shares with other scopes (:func:`share`) go with the last of
+    them.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
+        self.shared: list["_Shared"] = []
 
     def __enter__(self) -> "Scope":
         self._token = _scopes.set((*_scopes.get(), self))
@@ -124,9 +128,74 @@ class Scope:
         for path in self.paths:
             gone += _delete(self.spark, path)
         self.paths.clear()
+        for table in self.shared:
+            table.release(self)
+        self.shared.clear()
         return gone
 
 
+class _Shared:
+    """A table made for several scopes, with all that was staged to make it."""
+
+    def __init__(self, key: tuple, own: Scope, path: str):
+        self.key, self.own, self.path = key, own, path
+        self.size = _size(own.spark, path)
+        self.holders: set[Scope | None] = set()
+
+    def whole(self) -> bool:
+        return _size(self.own.spark, self.path) == self.size
+
+    def release(self, scope: Scope) -> None:
+        with _locks[self.key]:
+            self.holders.discard(scope)
+            if not self.holders:
+                self.own.drop()
+                if _shared.get(self.key) is self:
+                    del _shared[self.key]
+
+
+_shared: dict[tuple, _Shared] = {}
+_locks: dict[tuple, threading.Lock] = {}
+
+
+def share(spark: SparkSession, label: str, of: str, make: Callable[[], str]) -> str:
+    """The path of the table that ``make`` stages, made once per application and ``of`` and used by all who ask.
+
+    It is held by every scope open where it is asked for and deleted with the last of them, so nobody who still
+    reads it loses it because whoever asked first is done. Without an open scope it stays. A table whose files
+    have been deleted is made again.
+    """
+    key = (spark.sparkContext.applicationId, of, label)
+    with _locks.setdefault(key, threading.Lock()):
+        table = _shared.get(key)
+        if table is None or not table.whole():
+            own = Scope(spark)
+            token = _scopes.set((own,))  # what is staged meanwhile is the table's, not the first caller's
+            try:
+                table = _shared[key] = _Shared(key, own, make())
+            except BaseException:
+                own.drop()
+                raise
+            finally:
+                _scopes.reset(token)
+        for scope in _scopes.get() or (None,):
+            if scope not in table.holders:
+                table.holders.add(scope)
+                if scope is not None:
+                    scope.shared.append(table)
+        return table.path
+
+
+def _size(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """(files, bytes) below a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0, 0
+    found = fs.getContentSummary(path)
+    return found.getFileCount(), found.getLength()
+
+
 def drop_staged(spark: SparkSession) -> bool:
     """Delete every table this application staged."""
     return _delete(spark, f"{shared_root(spark)}/loamline/{spark.sparkContext.applicationId}")

@@ -1,6 +1,8 @@
 """Session and staging helpers."""
 
+import os
 import threading
+from pathlib import Path
 
 import pytest
 
@@ -9,7 +11,7 @@ from loamline import staging
 from loamline.config import PipelineConfig, range_dim
 from loamline.rows import local_frame
 from loamline.session import shuffle_partitions, sized_shuffles
-from loamline.staging import Scope, _own_disk, new_path, shared_root, stage
+from loamline.staging import Scope, _own_disk, new_path, share, shared_root, stage
 from tests.oracle import compare, connect
 
 
@@ -132,3 +134,58 @@ def test_executors_of_a_local_cluster_have_their_own_folders(spark, monkeypatch)
     for master, one in (("local", True), ("local[4]", True), ("local-cluster[3,2,3000]", False), ("yarn", False)):
         monkeypatch.setattr(spark.sparkContext, "master", master)
         assert staging._one_process(spark) is one
+
+
+# Spelled so that no other test has its shared tables.
+SF_DIR = "/root/testdata/./sf0.001"
+
+
+def _answers(spark, name, result):
+    """The difference between a result and its SQL, None if there is none."""
+    return compare(spark, connect(SF_DIR), lambda *_: result, entry.oracle_sql()[name], SF_DIR)
+
+
+def test_a_shared_table_outlives_the_query_that_made_it(spark):
+    first = entry.queries()["agg_stored_coverage"](spark, SF_DIR)
+    history = entry.queries()["cmp_batch_history"](spark, SF_DIR)
+    first.staged.drop()
+    assert _answers(spark, "cmp_batch_history", history) is None
+    history.staged.drop()
+
+
+def _shared_table(spark, made):
+    def make():
+        path = new_path(spark, "numbers")
+        spark.range(10).repartition(2).write.parquet(path)
+        made.append(path)
+        return path
+
+    return share(spark, "numbers", "here", make)
+
+
+def test_shared_tables_go_with_their_last_holder(spark):
+    made = []
+    with Scope(spark) as first:
+        _shared_table(spark, made)
+    with Scope(spark) as second:
+        path = _shared_table(spark, made)
+    assert made == [path] and not first.paths and not second.paths
+    first.drop()
+    assert spark.read.parquet(path).count() == 10
+    second.drop()
+    assert not os.path.exists(path.removeprefix("file:"))
+    with Scope(spark) as third:
+        assert _shared_table(spark, made) != path
+    third.drop()
+
+
+def test_shared_tables_that_lost_files_are_made_again(spark):
+    made = []
+    with Scope(spark) as first:
+        path = _shared_table(spark, made)
+    next(f for f in Path(path.removeprefix("file:")).glob("part-*")).unlink()
+    with Scope(spark) as second:
+        again = _shared_table(spark, made)
+    first.drop()
+    assert again != path and spark.read.parquet(again).count() == 10
+    second.drop()
