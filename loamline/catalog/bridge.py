@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from loamline import functions as fx
 from loamline.config import Calibration, PipelineConfig, ValueRange
-from loamline.staging import new_path
+from loamline.staging import new_path, share
 
 # Constants of the registered queries.
 READINGS_AS_OF = datetime(2024, 1, 31)
@@ -268,26 +268,9 @@ def utc_day():
     return F.to_date(fx.wall_time(F.col("timestamp"), "UTC")).cast("string")
 
 
-_landings: dict[tuple[str, str, str], str] = {}
-
-
-def _land_once(spark: SparkSession, sf_dir: str, label: str, frames) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, label)
-    known = _landings.get(key)
-    if known is None or not _exists(spark, known):
-        _landings[key] = land_by_day(frames(), label)
-    return _landings[key]
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hadoop_path))
-
-
 def landing(spark: SparkSession, sf_dir: str) -> str:
-    """The dirty readings as a landing folder, written once per application and table folder."""
-    return _land_once(spark, sf_dir, "landing", lambda: [readings_dirty(spark, sf_dir)])
+    """The dirty readings as a landing folder, written once per application and table folder while queries use it."""
+    return share(spark, "landing", sf_dir, lambda: land_by_day([readings_dirty(spark, sf_dir)], "landing"))
 
 
 def overlapping_landing(spark: SparkSession, sf_dir: str) -> str:
@@ -296,19 +279,13 @@ def overlapping_landing(spark: SparkSession, sf_dir: str) -> str:
     wall = fx.wall_time(F.col("timestamp"), "UTC")
     own = F.to_date(wall)
     days = F.when(F.hour(wall) == 23, F.array(own, F.date_add(own, 1))).otherwise(F.array(own))
-    return _land_once(
-        spark, sf_dir, "overlapping-landing",
-        lambda: [dirty.withColumn("day", F.explode(days)).withColumn("day", F.col("day").cast("string"))],
-    )
+    twice = dirty.withColumn("day", F.explode(days)).withColumn("day", F.col("day").cast("string"))
+    return share(spark, "overlapping-landing", sf_dir, lambda: land_by_day([twice], "overlapping-landing"))
 
 
 def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
     """The same, but every third day of the month lacks the battery column."""
     dirty = readings_dirty(spark, sf_dir)
     third = F.substring(utc_day(), 9, 2).cast("int") % 3 == 0
-    return _land_once(
-        spark,
-        sf_dir,
-        "mixed-landing",
-        lambda: [dirty.where(~third), dirty.where(third).drop("battery_level")],
-    )
+    frames = [dirty.where(~third), dirty.where(third).drop("battery_level")]
+    return share(spark, "mixed-landing", sf_dir, lambda: land_by_day(frames, "mixed-landing"))

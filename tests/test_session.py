@@ -8,7 +8,9 @@ import pytest
 
 import __spark_entry__ as entry
 from loamline import staging
+from loamline.catalog import queries_storage
 from loamline.config import PipelineConfig, range_dim
+from loamline.plans.pipeline import run_pipeline
 from loamline.rows import local_frame
 from loamline.session import shuffle_partitions, sized_shuffles
 from loamline.staging import Scope, _own_disk, new_path, share, shared_root, stage
@@ -153,6 +155,19 @@ def test_a_shared_table_outlives_the_query_that_made_it(spark):
     history.staged.drop()
 
 
+def test_a_landing_folder_outlives_the_query_that_made_it(spark, monkeypatch):
+    first = entry.queries()["cmp_batch_output"](spark, SF_DIR)
+
+    def run(*args, **options):
+        first.staged.drop()  # as by another thread, after the folder was found
+        return run_pipeline(*args, **options)
+
+    monkeypatch.setattr(queries_storage, "run_pipeline", run)
+    metrics = entry.queries()["cmp_batch_metrics"](spark, SF_DIR)
+    assert _answers(spark, "cmp_batch_metrics", metrics) is None
+    metrics.staged.drop()
+
+
 def _shared_table(spark, made):
     def make():
         path = new_path(spark, "numbers")
