@@ -195,3 +195,13 @@ def test_crc_of_little_endian_ids(spark):
 
     row = spark.sql("SELECT X'0100000002000000' AS x").select(F.crc32("x").alias("c")).first()
     assert row.c == zlib.crc32(np.array([1, 2], "<u4").tobytes())
+
+
+def test_white_space_and_word_shapes_are_encoded_as_the_library_does():
+    words = ["plain", "Häuser", "é", "x9", "12-ab", "don't", "(a)", "naïve,", "ÀÉ'll", "$5.00", ""]
+    gaps = [" ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "\t ", "\t\n", "\n\t", "  ", "　\n", "\n ", "\r\n"]
+    texts = [f"{a}{gap}{b}{gap}{a} {b}" for a in words for b in words for gap in gaps]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        coder = bpe.ChunkEncoder(public_tokenizers.path(name))
+        expected = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(c, coder.dtype).tolist() for c in coder.encode(texts)] == expected
